@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parsers import snake_case
+from ..sources.staging import stage
 from ..vocab import CLOSED_UNIVERSE, DEFAULT_ZERO_FAMILIES, SCALAR_FAMILIES
 
 #: Families whose continuous metrics are tested for outliers.
@@ -263,14 +264,15 @@ def default_zero_panel(observations: DataFrame, themes: DataFrame, bounds: DataF
 
 def survivors(observations: DataFrame, themes: DataFrame) -> DataFrame:
     """Observations without outliers, themes rolled up, rare metrics pruned."""
-    clean = without_outliers(observations, outliers(observations))
-    return prune(roll_up_themes(clean, themes))[0]
+    clean = stage(without_outliers(observations, stage(outliers(observations))))
+    return prune(stage(roll_up_themes(clean, themes)))[0]
 
 
 def build_panel(observations: DataFrame, prices: DataFrame, themes: DataFrame, fx: DataFrame, check: bool = True) -> DataFrame:
     """(product_id, as_of_date, feature_id, value) for every product with prices and observations."""
+    observations = stage(observations)  # read by the outlier test, the roll-up and the bounds
     if check:
         check_parent_themes(observations, themes)
-    bounds = trading_bounds(prices, observations)
-    kept = survivors(observations, themes)
+    bounds = stage(trading_bounds(prices, observations))
+    kept = stage(survivors(observations, themes))  # read by five branches
     return default_zero_panel(kept, themes, bounds).unionByName(scalar_panel(kept, fx, bounds))

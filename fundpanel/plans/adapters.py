@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.staging import stage
+
 _CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 _DATE = "CAST(l_shipdate AS DATE)"
 _MONTH = "CAST(date_trunc('month', l_shipdate) AS DATE)"
@@ -82,7 +84,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = VIEWS[name].replace("{text}", "STRING")
     parts = {x: view(spark, sf_dir, x) for x in set(re.findall(r"\{(\w+)\}", text))}
-    return spark.sql(text, **parts)
+    found = spark.sql(text, **parts)
+    return stage(found) if name == "observations" else found
 
 
 def duckdb(text: str) -> str:
