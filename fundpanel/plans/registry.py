@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .adapters import duckdb
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("panel_queries",)
+MODULES = ("panel_queries", "core_queries", "indicator_queries")
 
 
 def registered() -> dict[str, tuple[Query, str | None]]:
