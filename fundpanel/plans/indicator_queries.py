@@ -132,10 +132,6 @@ def view_alternatives(spark: SparkSession) -> DataFrame:
     )
 
 
-def gauge_effective_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gauges.effective_weights(view_nodes(spark))
-
-
 def gauge_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node scores of a small tree with alternatives, a reference and a size share."""
     rows = _rows(spark, sf_dir).filter("NOT (country_code = 'NATION_3' AND indicator_code = 'LOW')")
@@ -164,7 +160,7 @@ def macro_smoothed_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 def macro_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = view(spark, sf_dir, "obs_country").select("product_id", F.col("effective_date").alias("as_of_date"), F.when(F.col("metric") != "nation_4", F.upper("metric")).alias("country_code"), F.col("value").alias("weight"))
     rows = _rows(spark, sf_dir).filter("country_code <> 'NATION_5'").withColumn("value", F.col("value") / 1e6)
-    return _r(macro.collapse(w, rows), "value", "covered")
+    return _r(macro.collapse(w, rows), "value", "covered", digits=4)
 
 
 _W = "WITH y AS (SELECT year, row_number() OVER (ORDER BY year) AS i FROM (SELECT DISTINCT year FROM {indicators} WHERE indicator_code = '%s')), o AS (SELECT country_code, year, max(value) AS value FROM {indicators} WHERE indicator_code = '%s' GROUP BY 1, 2)"
@@ -175,8 +171,8 @@ def _o(code: str, name: str) -> str:
 
 
 def _trail(code: str, name: str, stat: str) -> str:
-    return f"""{name}y AS (SELECT year, row_number() OVER (ORDER BY year) AS i FROM (SELECT DISTINCT year FROM {{indicators}} WHERE indicator_code = '{code}')), {_o(code, name + "o")},
-{name} AS (SELECT c.country_code, y.year, CASE WHEN count({name}o) OVER w >= 3 THEN {stat}({name}o) OVER w END AS {name} FROM (SELECT DISTINCT country_code FROM {name}o) c CROSS JOIN {name}y y LEFT JOIN {name}o o ON o.country_code = c.country_code AND o.year = y.year WINDOW w AS (PARTITION BY c.country_code ORDER BY y.i ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))"""
+    return f"""q_{name}y AS (SELECT year, row_number() OVER (ORDER BY year) AS i FROM (SELECT DISTINCT year FROM {{indicators}} WHERE indicator_code = '{code}')), {_o(code, "q_" + name + "o")},
+{name} AS (SELECT c.country_code, y.year, CASE WHEN count(q_{name}o) OVER w >= 3 THEN {stat}(q_{name}o) OVER w END AS {name} FROM (SELECT DISTINCT country_code FROM q_{name}o) c CROSS JOIN q_{name}y y LEFT JOIN q_{name}o o ON o.country_code = c.country_code AND o.year = y.year WINDOW w AS (PARTITION BY c.country_code ORDER BY y.i ROWS BETWEEN 3 PRECEDING AND CURRENT ROW))"""
 
 
 QUERIES = {
@@ -233,7 +229,6 @@ r AS (SELECT a, b, rank() OVER (PARTITION BY a, b ORDER BY va) + (count(*) OVER
         """WITH d AS (SELECT DISTINCT * FROM (VALUES ('URGENT', 1), ('HIGH', 1), ('MEDIUM', -1), ('LOW', -1), ('NOT SPECIFIED', 1)) t(indicator_code, direction)), v AS (SELECT i.*, direction, floor(value / 5e5) * direction AS v FROM {indicators} i JOIN d USING (indicator_code)),
 r AS (SELECT *, count(*) OVER (PARTITION BY indicator_code, direction, year) AS n, rank() OVER (PARTITION BY indicator_code, direction, year ORDER BY v) + (count(*) OVER (PARTITION BY indicator_code, direction, year, v) - 1) / 2 AS k FROM v) SELECT indicator_code, direction, year, country_code, round((k - 1) / (n - 1) * 100, 6) AS score FROM r WHERE n >= 10""",
     ),
-    "gauge_effective_weights": (gauge_effective_weights, None),
     "gauge_scores": (gauge_scores, None),
     "gauge_agreement": (gauge_agreement, None),
     "gauge_series_health": (
@@ -246,6 +241,6 @@ r AS (SELECT *, count(*) OVER (PARTITION BY indicator_code, direction, year) AS
     "macro_collapse": (
         macro_collapse,
         """WITH w AS (SELECT product_id, effective_date AS as_of_date, upper(metric) AS country_code, value AS weight, CAST(year(effective_date) - CASE WHEN month(effective_date) < 6 THEN 1 ELSE 0 END AS INTEGER) AS year FROM {obs_country} WHERE metric <> 'nation_4'), t AS (SELECT product_id, as_of_date, sum(weight) AS total FROM w GROUP BY 1, 2),
-s AS (SELECT product_id, as_of_date, indicator_code, sum(weight * value / 1e6) AS s, sum(weight) AS covered FROM w JOIN {indicators} USING (country_code, year) WHERE country_code <> 'NATION_5' GROUP BY 1, 2, 3) SELECT product_id, as_of_date, indicator_code, round(s / total, 6) AS value, round(covered, 6) AS covered FROM s JOIN t USING (product_id, as_of_date)""",
+s AS (SELECT product_id, as_of_date, indicator_code, sum(weight * value / 1e6) AS s, sum(weight) AS covered FROM w JOIN {indicators} USING (country_code, year) WHERE country_code <> 'NATION_5' GROUP BY 1, 2, 3) SELECT product_id, as_of_date, indicator_code, round(s / total, 4) AS value, round(covered, 4) AS covered FROM s JOIN t USING (product_id, as_of_date)""",
     ),
 }
