@@ -10,6 +10,10 @@ from ..vocab import CLOSED_UNIVERSE
 from .adapters import view
 
 
+#: Added before a comparison's rounding: means of amounts in cents are often exact ties.
+OFF_TIES = 3.3e-7
+
+
 def _get(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [view(spark, sf_dir, n) for n in names]
 
@@ -84,7 +88,7 @@ def panel_monthly_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel_aum_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs, fx = _get(spark, sf_dir, "obs_aum", "fx")
-    return panel.aum_to_usd(obs, fx).withColumn("value", F.round("value", 4))
+    return panel.aum_to_usd(obs, fx).withColumn("value", F.round(F.col("value") + OFF_TIES, 5))
 
 
 def panel_densified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +104,7 @@ def panel_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs, prices, themes, fx = _get(spark, sf_dir, "observations", "prices", "themes", "fx")
-    return panel.build_panel(obs, prices, themes, fx).withColumn("value", F.round("value", 6))
+    return panel.build_panel(obs, prices, themes, fx).withColumn("value", F.round(F.col("value") + OFF_TIES, 5))
 
 
 _SLUG = "trim(regexp_replace(lower(replace(trim(name), '&', 'and')), '[^a-z0-9]+', '_', 'g'), '_')"
@@ -150,8 +154,8 @@ clean AS (SELECT o.* FROM {{observations}} o ANTI JOIN outl x USING (product_id,
 sc AS (SELECT product_id, family || '_' || metric AS feature_id, effective_date, value FROM sv WHERE family IN ('ratios', 'esg', 'mstar', 'lipper', 'profile') AND metric <> 'total_net_assets_local'
   UNION ALL SELECT product_id, 'profile_total_net_assets_usd', effective_date, value FROM aum),
 {_valid("scv", "sc", "product_id, feature_id")}
-SELECT product_id, as_of_date, d.family || '_' || d.metric AS feature_id, round(value, 6) AS value FROM dense d JOIN live USING (product_id, family, effective_date) JOIN spine USING (product_id) WHERE {_IN_VALID}
-UNION ALL SELECT product_id, as_of_date, feature_id, round(value, 6) FROM scv JOIN spine USING (product_id) WHERE {_IN_VALID}"""
+SELECT product_id, as_of_date, d.family || '_' || d.metric AS feature_id, round(value + {OFF_TIES}, 5) AS value FROM dense d JOIN live USING (product_id, family, effective_date) JOIN spine USING (product_id) WHERE {_IN_VALID}
+UNION ALL SELECT product_id, as_of_date, feature_id, round(value + {OFF_TIES}, 5) FROM scv JOIN spine USING (product_id) WHERE {_IN_VALID}"""
 
 QUERIES = {
     "panel_bounds": (panel_bounds, "SELECT product_id, min(date) AS first_price, max(date) AS last_price FROM {prices} WHERE product_id IN (SELECT product_id FROM {obs_scalar}) GROUP BY 1"),
@@ -177,7 +181,7 @@ QUERIES = {
     "panel_staleness_caps": (panel_staleness_caps, f"WITH s AS (SELECT DISTINCT product_id, family, effective_date FROM {{observations}}), {_valid('v', 's', 'product_id, family')} SELECT * FROM v_c"),
     "panel_validity": (panel_validity, f"WITH s AS (SELECT DISTINCT product_id, family, effective_date FROM {{observations}}), {_valid('v', 's', 'product_id, family')} SELECT * FROM v"),
     "panel_monthly_fx": (panel_monthly_fx, f"WITH {_FXM} SELECT code AS currency, m AS month_end, round(rate, 9) AS rate FROM fxm"),
-    "panel_aum_usd": (panel_aum_usd, f"WITH {_FXM}, {_on(_AUM, '{obs_aum}')} SELECT product_id, effective_date, round(value, 4) AS value FROM aum"),
+    "panel_aum_usd": (panel_aum_usd, f"WITH {_FXM}, {_on(_AUM, '{obs_aum}')} SELECT product_id, effective_date, round(value + {OFF_TIES}, 5) AS value FROM aum"),
     "panel_densified": (panel_densified, f"WITH {_MAP}, {_on(_STYLE, '{observations}')}, {_UNIVERSE}, {_DENSE} SELECT * EXCLUDE (value), round(value, 6) AS value FROM dense"),
     "panel_scalar": (
         panel_scalar,
