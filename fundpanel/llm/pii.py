@@ -23,7 +23,7 @@ PATTERNS = {
 }
 #: A character that every match of the kind has, to skip texts quickly.
 _NEEDS = {"email": "@", "phone": "+", "ip": "."}
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Score of a span without context, and words whose presence around it adds CONTEXT_BONUS.
 SCORES = {"email": 0.8, "ip": 0.5, "card": 0.7, "phone": 0.5, "iban": 0.8}
 CONTEXT = {
