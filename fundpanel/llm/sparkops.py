@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rounds after which components() gives up; label propagation by stars needs about log2 of the longest chain.
 MAX_ROUNDS = 60
+#: Bits of the bitmap of maybe_among(): 2 MB.
+BITMAP = 1 << 24
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,9 +38,26 @@ def own_columns(df: DataFrame, **named: str) -> DataFrame:
     return df.select(*(F.col(f"`{column}`").alias(alias) for alias, column in named.items()))
 
 
-def joined(parts: Column, by: str = ",") -> Column:
-    """An array of strings as one string; an empty array gives an empty string."""
-    return F.array_join(parts, by)
+def maybe_among(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """rows with __maybe: false only where no row of wanted has the same key.
+
+    A bitmap of BITMAP bits of the hashed keys is broadcast, whatever the number of keys.  It spares most rows
+    without a partner the shuffle of a join; when it fills up, more rows pass, and the join decides alone.
+    """
+    place = F.pmod(F.xxhash64(*key), F.lit(BITMAP))
+    bitmap = wanted.groupBy(F.floor(place / 32768).alias("__bucket")).agg(F.bitmap_construct_agg(place % 32768).alias("__bits"))
+    rows = rows.withColumns({"__bucket": F.floor(place / 32768), "__bit": (place % 32768).cast("int")}).join(F.broadcast(bitmap), "__bucket", "left")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = rows.withColumns({"__byte": byte, "__bit": F.col("__bit") % 8})
+    return rows.withColumn("__maybe", F.expr("coalesce((__byte >> __bit) & 1 = 1, false)")).drop("__bucket", "__bits", "__byte", "__bit")
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows of docs, all columns, whose id isn't in gone (one column); rows that can't be in it aren't shuffled."""
+    gone = materialize(gone.toDF("__id").filter("__id IS NOT NULL").distinct(), "gone")
+    marked = maybe_among(docs.withColumn("__id", F.col(f"`{id_col}`").cast("long")), gone, "__id")
+    kept = marked.filter("__maybe").join(gone.hint("merge"), "__id", "left_anti")
+    return marked.filter("NOT __maybe").unionByName(kept).select(*(f"`{c}`" for c in docs.columns))
 
 
 def components(edges: DataFrame) -> DataFrame:
