@@ -18,10 +18,9 @@ p AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.g = b.g AND a.id < b.id
       GROUP BY a.id, b.id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
 l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
 r AS (SELECT id AS node, id AS reached FROM c UNION SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a),
-m AS (SELECT node, min(reached) AS component FROM r GROUP BY node),
-d AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
-SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.component, k.doc_id) AS component_id, CAST(coalesce(d.n_links, 0) AS BIGINT) AS n_links
-FROM k LEFT JOIN c ON k.k = c.k LEFT JOIN m ON m.node = c.id LEFT JOIN d ON d.a = c.id
+m AS (SELECT node, min(reached) AS component FROM r GROUP BY node)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.component, k.doc_id) AS component_id
+FROM k LEFT JOIN c ON k.k = c.k LEFT JOIN m ON m.node = c.id
 """
 
 
