@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sparkops import materialize, own_columns
+from .sparkops import materialize, own_columns, without
 from .textops import U64, mix, seeded, slices, utf8, words
 
 MASKS = ("1101100111", "1110010111", "1011101011")
@@ -173,5 +173,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def keep_unleaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, without those whose id has a text with a leak."""
-    leaked = find_leaks(docs, benchmark, id_col, text_col).filter(F.size("leaks") > 0).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(leaked, F.col(f"`{id_col}`") == F.col("__leaked"), "left_anti")
+    return without(docs, find_leaks(docs, benchmark, id_col, text_col).filter(F.size("leaks") > 0).select("doc_id"), id_col)

@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sparkops import own_columns
+from .sparkops import own_columns, without
 from .textops import seeded
 
 BITS = 18
 SIZES = (3, 4, 5)
 #: Largest number of labelled texts of a class that are used for the fit.
-SAMPLE = 2500
+SAMPLE = 2000
+#: Features that the fit takes at a time.
+BLOCK = 1_000_000
 
 _MULTIPLIERS = seeded(8, 51).astype(np.uint32) | np.uint32(1)
 
@@ -57,37 +59,49 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, smooth: float = 1.0, ridge: float = 0.02, rounds: int = 150) -> Model:
+def _blocks(rows: list[np.ndarray]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Feature lists joined in blocks of BLOCK features or so: (first row, features, where each row begins)."""
+    out, lo = [], 0
+    sizes = np.array([len(x) for x in rows])
+    while lo < len(rows):
+        hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(sizes[lo:]), BLOCK)))
+        out.append((lo, np.concatenate(rows[lo:hi]), np.r_[0, np.cumsum(sizes[lo:hi])[:-1]]))
+        lo = hi
+    return out
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, smooth: float = 1.0, ridge: float = 0.02, rounds: int = 100) -> Model:
     """Fits the log-count ratios and then the regression by accelerated gradient steps on all rows."""
     size = 1 << BITS
     if not len(rows) or labels.min() == labels.max():
         share = float(np.clip(labels.mean() if len(rows) else 0.0, 0.001, 0.999))
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    index = np.concatenate(rows)
-    starts = np.r_[0, np.cumsum([len(x) for x in rows])[:-1]]
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
-    p = smooth + np.bincount(index, labels[owner].astype(np.float32), size)
-    q = smooth + np.bincount(index, minlength=size) - (p - smooth)
-    # document shares, so that a feature as common in both kinds of text has ratio 0
-    r = np.log(p / (labels.sum() + 2 * smooth)) - np.log(q / ((1 - labels).sum() + 2 * smooth))
-    r = (r * (np.abs(r) > 0.3)).astype(np.float32)
-    used = r[index] != 0
-    index, owner = index[used], owner[used]
-    counts = np.bincount(owner, minlength=len(rows))
-    starts = np.r_[0, np.cumsum(counts)[:-1]]
-    value = r[index]
-    norm = np.bincount(owner, value.astype(np.float64) ** 2, len(rows))
+    n, y = len(rows), labels.astype(np.float64)
+    blocks = _blocks(rows)
+    p = np.full(size, smooth)
+    q = np.full(size, smooth)
+    for lo, index, starts in blocks:
+        owner = np.repeat(y[lo : lo + len(starts)], np.diff(np.r_[starts, len(index)]))
+        toxic = np.bincount(index, owner, size)
+        p += toxic
+        q += np.bincount(index, minlength=size) - toxic
+    # shares of texts, so that a feature as common in both kinds has ratio 0
+    r = np.log(p / (y.sum() + 2 * smooth)) - np.log(q / ((1 - y).sum() + 2 * smooth))
+    r = np.where(np.abs(r) > 0.3, r, 0.0)
+    norm = np.concatenate([np.add.reduceat((r * r)[index], starts) for _, index, starts in blocks])
     step = 4.0 / max(1.0, float(np.percentile(norm, 90)))
-    y, n = labels.astype(np.float64), len(rows)
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     w, bias, at, at_bias, last, last_bias = (np.zeros(size), 0.0, np.zeros(size), 0.0, np.zeros(size), 0.0)
     for t in range(1, rounds + 1):
-        z = np.zeros(n)
-        some = counts > 0
-        z[some] = np.add.reduceat(at[index].astype(np.float32) * value, starts[some])
-        error = (1 / (1 + np.exp(-np.clip(z + at_bias, -500, 500))) - y) * balance
-        gradient = np.bincount(index, value * error[owner].astype(np.float32), size) + ridge * n * 0.01 * at
-        w, bias = at - step * gradient / np.sqrt(n), at_bias - error.mean() * 0.5
+        scaled, gradient, total = (at * r).astype(np.float32), np.zeros(size), 0.0
+        for lo, index, starts in blocks:
+            part = slice(lo, lo + len(starts))
+            z = np.add.reduceat(scaled[index], starts) + at_bias
+            error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[part]) * balance[part]
+            gradient += np.bincount(index, np.repeat(error, np.diff(np.r_[starts, len(index)])), size)
+            total += error.sum()
+        gradient = gradient * r + ridge * n * 0.01 * at
+        w, bias = at - step * gradient / np.sqrt(n), at_bias - total / n * 0.5
         at, at_bias = w + (t - 1) / (t + 2) * (w - last), bias + (t - 1) / (t + 2) * (bias - last_bias)
         last, last_bias = w, bias
     return Model((w * r).astype(np.float32), float(bias))
@@ -116,8 +130,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 found = [features(t).tobytes() for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], ["doc_id", "label", "found"])
 
-    got = rows.mapInArrow(run, "doc_id long, label boolean, found binary").toArrow().sort_by([("doc_id", "ascending"), ("found", "ascending")])
-    return fit([np.frombuffer(x.as_py(), np.int32) for x in got["found"]], np.array(got["label"].to_pylist(), np.float64))
+    got = rows.mapInArrow(run, "doc_id long, label boolean, found binary").toArrow()
+    found = [np.frombuffer(x.as_py(), np.int32) for x in got["found"]]
+    labelled = [x for x in zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), found, strict=True) if len(x[2])]
+    del got
+    labelled.sort(key=lambda x: (x[0], len(x[2])))  # the fit doesn't depend on the order of tasks
+    return fit([x for _, _, x in labelled], np.array([label for _, label, _ in labelled], np.float64))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,5 +166,4 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, whose text isn't predicted toxic."""
-    toxic = classify(docs, labels, id_col, text_col).filter("predicted = 1").select(F.col("doc_id").alias("__toxic")).distinct()
-    return docs.join(toxic, F.col(f"`{id_col}`") == F.col("__toxic"), "left_anti")
+    return without(docs, classify(docs, labels, id_col, text_col).filter("predicted = 1").select("doc_id"), id_col)
