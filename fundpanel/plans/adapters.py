@@ -22,7 +22,7 @@ def _share(family: str, metric: str, code: str = "nullif('', '')", joins: str =
     return f"""SELECT product_id, '{family}' AS family, metric, code, effective_date, depth AS date_source_depth, fetched_at,
   CAST(cents AS DOUBLE) / sum(cents) OVER (PARTITION BY product_id, effective_date) AS value
 FROM (SELECT l_suppkey AS product_id, {metric} AS metric, {code} AS code, {_MONTH} AS effective_date, max(l_linenumber) AS depth, max(l_shipdate) AS fetched_at,
-  sum({_CENTS}) AS cents FROM {{lineitem}} {joins} WHERE l_suppkey % 3 <> 1 OR l_linenumber > 5 GROUP BY 1, 2, 3, 4) x"""
+  sum({_CENTS}) AS cents FROM {{lineitem}} {joins} GROUP BY 1, 2, 3, 4) x"""
 
 
 _NATION = "JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"
@@ -38,14 +38,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY date DESC) A
     "obs_scalar": f"""SELECT product_id, family, metric, nullif('', '') AS code, effective_date, depth AS date_source_depth, fetched_at, CAST(cents AS DOUBLE) / n / 100 AS value
 FROM (SELECT l_suppkey AS product_id, CASE WHEN l_linenumber < 4 THEN 'ratios' ELSE 'esg' END AS family, lower(concat(l_returnflag, '_', l_linestatus)) AS metric, {_DATE} AS effective_date,
   max(l_linenumber) AS depth, max(l_shipdate) AS fetched_at, sum({_CENTS} * CASE WHEN l_orderkey % 211 = 0 THEN 60 ELSE 1 END) AS cents, count(*) AS n
-  FROM {{lineitem}} WHERE l_partkey % 4 = 0 GROUP BY 1, 2, 3, 4) x""",
+  FROM {{lineitem}} GROUP BY 1, 2, 3, 4) x""",
     "obs_aum": f"""SELECT product_id, 'profile' AS family, 'total_net_assets_local' AS metric, code, effective_date, 3 AS date_source_depth, fetched_at, CAST(cents AS DOUBLE) / 100 AS value
 FROM (SELECT l_suppkey AS product_id, max(CASE l_suppkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'URGENT' WHEN 2 THEN 'HIGH' ELSE 'XXX' END) AS code, {_DATE} AS effective_date, max(l_shipdate) AS fetched_at, sum({_CENTS}) AS cents
-  FROM {{lineitem}} WHERE l_partkey % 10 = 3 GROUP BY 1, 3) x""",
+  FROM {{lineitem}} GROUP BY 1, 3) x""",
     "obs_asset": _share("asset_class", "CASE l_linenumber % 3 WHEN 0 THEN 'equity' WHEN 1 THEN 'fixed_income' ELSE 'cash' END"),
     "obs_country": _share("country", "lower(n_name)", joins=_NATION),
     "obs_theme": _share("theme", "lower(n_name)", "CASE WHEN n_nationkey % 2 = 0 THEN concat('n', CAST(n_nationkey AS {text})) END", _NATION),
-    "obs_style": _share("style_box", "CASE l_linenumber % 3 WHEN 0 THEN 'large_value' WHEN 1 THEN 'mid_core' ELSE 'small_growth' END").replace("WHERE l_suppkey % 3", "WHERE l_partkey % 5 = 0 AND l_suppkey % 3"),
+    "obs_style": _share("style_box", "CASE l_linenumber % 3 WHEN 0 THEN 'large_value' WHEN 1 THEN 'mid_core' ELSE 'small_growth' END"),
     "obs_hist": _share("style_box_hist", "CASE l_linenumber % 2 WHEN 0 THEN 'large_core' ELSE 'multi_growth' END"),
     "observations": " UNION ALL ".join(f"SELECT product_id, family, metric, code, effective_date, date_source_depth, fetched_at, value FROM {{obs_{x}}}" for x in ("scalar", "aum", "asset", "country", "theme", "style", "hist")),
     "themes": """SELECT concat('r', CAST(r_regionkey AS {text})) AS theme_id, r_name AS name, nullif('', '') AS parent_id FROM {region}

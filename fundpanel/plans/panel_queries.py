@@ -12,6 +12,8 @@ from .adapters import view
 
 #: Added before a comparison's rounding: means of amounts in cents are often exact ties.
 OFF_TIES = 3.3e-7
+#: The observations that panel_pruned adds once more under the name of a metric of its own.
+RARE = "family = 'esg' AND metric = 'r_f' AND product_id = 1 AND date_source_depth > 6"
 
 
 def _get(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -62,8 +64,9 @@ def panel_theme_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = view(spark, sf_dir, "observations").filter("NOT (family = 'esg' AND metric = 'r_f') OR (product_id = 1 AND date_source_depth > 6)")
-    kept, gone = panel.prune(obs)
+    obs = view(spark, sf_dir, "observations")
+    # all observations, and a metric rare enough to go
+    kept, gone = panel.prune(obs.unionByName(obs.filter(RARE).withColumn("metric", F.lit("rare"))))
     return kept.groupBy("family", "metric").agg(F.count("*").alias("n"), F.lit(True).alias("kept")).unionByName(gone.select("family", "metric", "n", F.lit(False).alias("kept")))
 
 
@@ -175,7 +178,7 @@ QUERIES = {
     "panel_theme_rollup": (panel_theme_rollup, f"WITH {_MAP}, {_on(_ROLL, '{obs_theme}')} SELECT product_id, family, metric, code, effective_date, date_source_depth, round(value, 6) AS value FROM rolled"),
     "panel_pruned": (
         panel_pruned,
-        f"WITH o AS (SELECT * FROM {{observations}} WHERE NOT (family = 'esg' AND metric = 'r_f') OR (product_id = 1 AND date_source_depth > 6)), {_on(_PRUNE, 'o')} SELECT family, metric, n, n >= cutoff AS kept FROM mc, cut",
+        f"WITH o AS (SELECT * FROM {{observations}} UNION ALL SELECT * REPLACE ('rare' AS metric) FROM {{observations}} WHERE {RARE}), {_on(_PRUNE, 'o')} SELECT family, metric, n, n >= cutoff AS kept FROM mc, cut",
     ),
     "panel_style_merge": (panel_style_merge, f"WITH o AS (SELECT * FROM {{obs_style}} UNION ALL SELECT * FROM {{obs_hist}}), {_on(_STYLE, 'o')} SELECT * FROM st"),
     "panel_staleness_caps": (panel_staleness_caps, f"WITH s AS (SELECT DISTINCT product_id, family, effective_date FROM {{observations}}), {_valid('v', 's', 'product_id, family')} SELECT * FROM v_c"),

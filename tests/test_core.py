@@ -172,3 +172,36 @@ def test_rebuild(spark, tmp_path):
     for n in (3, 5):
         tables.rebuild(spark.range(n), str(tmp_path), "t")
     assert spark.read.parquet(f"{tmp_path}/t.parquet").count() == 5
+
+
+def test_views_read_all_of_lineitem(spark, tmp_path):
+    from fundpanel.plans import adapters, panel_queries
+
+    rows = [(order, 1 + order % 9, 1 + (order * 7 + line) % 11, line, dt.datetime(1996, 1 + (order + line) % 5, 1 + line), 10.0 * order + line, 1.0, "ANR"[order % 3], "FO"[line % 2]) for order in range(1, 41) for line in range(1, 8)]
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_partkey long, l_linenumber int, l_shipdate timestamp, l_extendedprice double, l_quantity double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(o, o % 4) for o in range(1, 41)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(c, c) for c in range(4)], "c_custkey long, c_nationkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(n, f"NATION_{n}") for n in range(4)], "n_nationkey long, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    metrics = {
+        "scalar": lambda r: (("ratios" if r[3] < 4 else "esg"), f"{r[7]}_{r[8]}".lower()),
+        "aum": lambda r: ("profile", "total_net_assets_local"),
+        "asset": lambda r: ("asset_class", ("equity", "fixed_income", "cash")[r[3] % 3]),
+        "country": lambda r: ("country", f"nation_{r[0] % 4}"),
+        "theme": lambda r: ("theme", f"nation_{r[0] % 4}"),
+        "style": lambda r: ("style_box", ("large_value", "mid_core", "small_growth")[r[3] % 3]),
+        "hist": lambda r: ("style_box_hist", ("large_core", "multi_growth")[r[3] % 2]),
+    }
+    total = 0
+    for name, metric in metrics.items():
+        cents, whole, n = {}, {}, {}
+        for r in rows:
+            day = r[4].date() if name in ("scalar", "aum") else r[4].date().replace(day=1)
+            key, amount = (r[1], *metric(r), day), round(r[5] * 100) * (60 if name == "scalar" and r[0] % 211 == 0 else 1)
+            cents[key], n[key] = cents.get(key, 0) + amount, n.get(key, 0) + 1
+            whole[r[1], day] = whole.get((r[1], day), 0) + amount
+        want = {k: v / n[k] / 100 if name == "scalar" else v / 100 if name == "aum" else v / whole[k[0], k[3]] for k, v in cents.items()}
+        got = {(r.product_id, r.family, r.metric, r.effective_date): r.value for r in adapters.view(spark, str(tmp_path), f"obs_{name}").collect()}
+        assert got == pytest.approx(want), name
+        total += len(want)
+    pruned = panel_queries.panel_pruned(spark, str(tmp_path)).collect()
+    assert sum(r.n for r in pruned if r.metric != "rare") == total
