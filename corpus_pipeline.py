@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of runs of two lines or more; those of which nothing is left go."""
+    """Documents without later copies of runs of two lines or more and of single lines that are passages; those of which nothing is left go."""
     done = linedup.dedup_lines(docs, min_lines=2)
     done = done.filter("n_deleted < n_lines OR n_deleted = 0").withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)

@@ -6,6 +6,9 @@ and numbers them in that order, so ranks order the suffixes as a suffix array do
 equal rank are an interval whose longest common prefix is at least the rank's length; only
 intervals of two suffixes or more go on.  In the intervals at the wanted length the first suffix
 stays, the lines under the others are deleted; overlapping ones join to maximal runs.
+
+A single line is a run of its own when it has PASSAGE words or more: its later copies are deleted, too,
+whatever stands around them.
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ from pyspark.sql import functions as F
 from .sparkops import materialize, maybe_among
 
 _KEY = ["d", "h"]
+#: Words (runs of non-white-space) from which on a single line is a passage.
+PASSAGE = 20
+_SPACE = r"\x20\x09-\x0D"
 
 
 def _sequences(rows: DataFrame) -> DataFrame:
@@ -57,8 +63,18 @@ def later_copies(rows: DataFrame, min_lines: int) -> DataFrame:
         length += step
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2) -> DataFrame:
-    """docs, all columns, with later copies of runs of min_lines lines or more deleted from the text.
+def later_passages(rows: DataFrame, words: int) -> DataFrame:
+    """(d, h, pos): the lines of so many words or more that stand at an earlier place, too.  rows: (d, h, lines)."""
+    # possessive, and no further than the last word needed; only ids of long lines are shuffled
+    long = F.col("line").rlike(rf"^[{_SPACE}]*+(?:[^{_SPACE}]++[{_SPACE}]++){{{words - 1}}}[^{_SPACE}]")
+    each = rows.select(*_KEY, F.posexplode("lines").alias("pos", "line")).filter(long).select(*_KEY, "pos", F.xxhash64("line").alias("r"))
+    repeated = each.groupBy("r").agg(F.min(F.struct("d", "h", "pos")).alias("first"), F.max(F.struct("d", "h", "pos")).alias("last")).filter("first < last")
+    # equal rows (id, text) give the same places
+    return each.join(materialize(repeated.select("r", "first"), "passages"), "r").filter(F.struct("d", "h", "pos") > F.col("first")).select(*_KEY, "pos")
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2, passage: int = PASSAGE) -> DataFrame:
+    """docs, all columns, with later copies of runs of min_lines lines or more, and of lines of passage words or more, deleted from the text.
 
     Adds n_lines, n_deleted and runs (start:length of each maximal deleted run, counted in lines from 0).
     Lines are what line feeds separate.  The earlier place is that with the smaller id, then the smaller
@@ -72,6 +88,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.split(text, "\n", -1)
     rows = docs.filter(text.isNotNull()).select(d.alias("d"), h.alias("h"), lines.alias("lines"))
     later = later_copies(rows, min_lines).select(*_KEY, F.explode(F.sequence("pos", F.col("pos") + (min_lines - 1))).alias("line"))
+    if min_lines > 1:
+        later = later.unionByName(later_passages(rows, passage).select(*_KEY, F.col("pos").alias("line")))
     gone = materialize(later.groupBy(*_KEY).agg(F.array_sort(F.collect_set("line")).alias("__gone")), "gone").withColumnsRenamed({"d": "__d", "h": "__h"})
     marked = maybe_among(docs.withColumns({"__d": d, "__h": h}), gone, "__d", "__h")
     # a text without deletions isn't shuffled

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import pii, secretscan
+from . import linedup, pii, secretscan
 
 _WORDS = r"list_filter(string_split_regex(coalesce({text}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -112,12 +112,14 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WH
   CASE WHEN n >= 1000 AND keeper <> page_id THEN keeper END AS refers_to FROM m
 """
 
-OP8 = """
+OP8 = rf"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(l))) AS p, l FROM l WHERE len(l) >= 2),
 h AS (SELECT doc_id, p, l[p] || chr(10) || l[p + 1] AS h FROM p),
 f AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS n FROM h),
-g AS (SELECT DISTINCT doc_id, p - 1 + unnest([0, 1]) AS p FROM f WHERE n > 1),
+o AS (SELECT doc_id, p, l FROM (SELECT doc_id, unnest(range(0, len(l))) AS p, unnest(l) AS l FROM l) WHERE len({_WORDS.format(text="l")}) >= {linedup.PASSAGE}),
+oo AS (SELECT doc_id, p, row_number() OVER (PARTITION BY l ORDER BY doc_id, p) AS n FROM o),
+g AS (SELECT doc_id, p - 1 + unnest([0, 1]) AS p FROM f WHERE n > 1 UNION SELECT doc_id, p FROM oo WHERE n > 1),
 i AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
 r AS (SELECT doc_id, run, min(p) AS p, count(*) AS n FROM i GROUP BY doc_id, run),
 k AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n, string_agg(p || ':' || n, ',' ORDER BY p) AS runs FROM r GROUP BY doc_id),

@@ -182,6 +182,29 @@ def test_line_runs_equal_brute_force(spark):
     assert len(some) == 8 and (1, 0, 0) in some
 
 
+def test_single_lines_that_are_passages(spark):
+    rng = random.Random(12)
+    long = [prose(rng, n, 10**6) for n in (20, 20, 35, 80)] + ["\t" + "  ".join(f"x{i}" for i in range(20)) + " "]
+    short = [prose(rng, 19, 10**6), "", "  ", " ".join(["a", " "] * 15)]
+    texts = [*long, *short, *long[2:], short[0]]
+    for i in range(60):
+        texts.append("\n".join(rng.choice([rng.choice(long), rng.choice(short), f"own {i} {rng.random()}"]) for _ in range(rng.randrange(1, 7))))
+    texts.append(f"{long[0]}\nbetween\n{long[0]}")
+    once, twice, want = set(), set(), []
+    for i, t in enumerate(texts):
+        lines, gone = t.split("\n"), set()
+        for p, line in enumerate(lines):
+            if len(line.split()) >= 20 and line in once:
+                gone.add(p)
+            once.add(line)
+            if p and (lines[p - 1], line) in twice:
+                gone |= {p - 1, p}
+            if p:
+                twice.add((lines[p - 1], line))
+        want.append((i, len(lines), len(gone), "\n".join(x for q, x in enumerate(lines) if q not in gone)))
+    assert rows(linedup.dedup_lines(docs(spark, texts), min_lines=2), "doc_id", "n_lines", "n_deleted", "text") == sorted(want, key=repr)
+
+
 def test_toxicity_learns(spark):
     rng = random.Random(2)
     texts = [prose(rng, 40) + (" you scumbag " + prose(rng, 20) if i % 4 == 0 else "") for i in range(400)] + [None, ""]
