@@ -12,15 +12,16 @@ WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_LOWER.format(text="text
 s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM w),
 k AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN sha256(array_to_string(s, '|')) END AS k, s FROM s),
-c AS (SELECT k, min(doc_id) AS id, any_value(n) AS n, any_value(s) AS s FROM k WHERE k IS NOT NULL GROUP BY k),
+c AS (SELECT k, min(doc_id) AS id, any_value(n) AS n, any_value(s) AS s, count(doc_id) AS copies FROM k WHERE k IS NOT NULL GROUP BY k),
 e AS (SELECT id, n, unnest(s) AS g FROM c),
 p AS (SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.g = b.g AND a.id < b.id
       GROUP BY a.id, b.id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
 l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
 r AS (SELECT id AS node, id AS reached FROM c UNION SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a),
-m AS (SELECT node, min(reached) AS component FROM r GROUP BY node)
-SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.component, k.doc_id) AS component_id
-FROM k LEFT JOIN c ON k.k = c.k LEFT JOIN m ON m.node = c.id
+m AS (SELECT node, min(reached) AS component FROM r GROUP BY node),
+d AS (SELECT l.a AS node, sum(c.copies) AS links FROM l JOIN c ON l.b = c.id GROUP BY l.a)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.component, k.doc_id) AS component_id, CAST(coalesce(c.copies - 1, 0) + coalesce(d.links, 0) AS BIGINT) AS n_links
+FROM k LEFT JOIN c ON k.k = c.k LEFT JOIN m ON m.node = c.id LEFT JOIN d ON d.node = c.id
 """
 
 

@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partenum.jaccard_join(_table(spark, sf_dir, "documents"), words=5, percent=75).select("doc_id", "n_shingles", "component_id")
+    return partenum.jaccard_join(_table(spark, sf_dir, "documents"), words=5, percent=75).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,22 @@ def test_jaccard_join_equals_brute_force(spark):
     assert got == sorted(linked(texts), key=repr)
 
 
+def test_numbers_of_links_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(13)
+    near = prose(rng, 60).split()
+    # near copies that differ from each other: a crowded bucket and a component in which not all link
+    texts = [" ".join(near[:i] + [f"edit{i}"] + near[i + 1 :]) for i in range(60)] * 2 + [" ".join(near), " ".join(near[:50])] + [prose(rng, 30) for _ in range(5)] + ["two words", "TWO words", None, ""]
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    want = [(i, sum(100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets) if j != i and a and b)) for i, a in enumerate(sets)]
+    for block in (partenum.BLOCK, 7):
+        monkeypatch.setattr(partenum, "BLOCK", block)
+        assert rows(partenum.jaccard_join(docs(spark, texts)), "doc_id", "n_links") == sorted(want, key=repr)
+    assert rows(partenum.jaccard_join(odd(spark)), "doc_id", "n_links") == sorted([(None, 0), (1, 0), (2, 0), (3, 0), (4, 1), (4, 1), (5, 0), (6, 0)], key=repr)
+
+
 def test_jaccard_join_of_odd_rows(spark):
     got = rows(partenum.jaccard_join(odd(spark)), "doc_id", "n_shingles", "component_id")
     assert got == sorted([(None, 2, None), (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (5, 1, 5), (6, 1, 6)], key=repr)
