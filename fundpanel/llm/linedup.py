@@ -7,6 +7,9 @@ equal rank are an interval whose longest common prefix is at least the rank's le
 intervals of two suffixes or more go on.  In the intervals at the wanted length the first suffix
 stays, the lines under the others are deleted; overlapping ones join to maximal runs.
 
+With min_lines = 2 the first round is the last: windows of two lines are counted, nothing is doubled.
+The runs reported are merged windows; a merged run may repeat nowhere as a whole.
+
 A single line is a run of its own when it has PASSAGE words or more: its later copies are deleted, too,
 whatever stands around them.
 """
