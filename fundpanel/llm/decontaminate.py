@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sparkops import materialize, own_columns, without
+from .sparkops import materialize, own_columns, row_key, without
 from .textops import U64, mix, seeded, slices, utf8, words
 
 MASKS = ("1101100111", "1110010111", "1011101011")
 #: A replaced token costs this much; a stretch of LEAST, or of SHARE of the item if that is less, is a leak.
 PENALTY = 2
 LEAST, SHARE = 15, 0.7
-#: Items of fewer tokens are ignored; those shorter than a mask are looked for whole.
+#: Default of the parameter `fewest`: items of fewer tokens ("yes", a number) are in clean texts, too, and are ignored.
 FEWEST = 5
 #: Bytes of item texts in a block that is sent at once.
 BLOCK_BYTES = 8 << 20
@@ -67,11 +67,11 @@ def seed_hashes(toks: np.ndarray, mask: str) -> np.ndarray:
 class Block:
     """The seeds of some test items, ready to be looked up."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], fewest: int = FEWEST):
         self.ids, self.toks = [], []
         for item, text in items:
             for toks, first in tokens(pa.array([text])):
-                if first[1] >= FEWEST:
+                if first[1] >= max(fewest, 1):
                     self.ids.append(item)
                     self.toks.append(toks)
         self.masks = sorted({*MASKS} | {"1" * len(t) for t in self.toks if len(t) < _SPAN})
@@ -130,33 +130,28 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, leaks (array of item_id, start, tokens, equal) over all test items.
+_KIND = "array<struct<item_id:long,start:int,tokens:int,equal:int>>"
+_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("tokens", pa.int32()), ("equal", pa.int32())]))
 
-    A leak is a stretch of the item laid over the text whose score (equal tokens less PENALTY for each
-    other) reaches LEAST, or SHARE of a shorter item.  Null and empty texts have none; items that are null or have fewer than
-    FEWEST tokens are ignored; repeated rows and null ids stay (rows of one id share what all
-    but the last of several blocks find); without items nothing leaks.
-    """
-    docs = own_columns(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+def _leaks(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, fewest: int) -> DataFrame:
+    """(doc_id, rid, leaks) of every row (doc_id, rid, text).  What one block of items finds is stored and joined by row."""
     items = own_columns(benchmark, item_id=item_col, text=item_text_col).filter("item_id is not null and text is not null").withColumn("item_id", F.col("item_id").cast("long"))
-    kind = "array<struct<item_id:long,start:int,tokens:int,equal:int>>"
-    arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("tokens", pa.int32()), ("equal", pa.int32())]))
 
     def scan(items: list[tuple[int, str]]) -> DataFrame:
-        sent = docs.sparkSession.sparkContext.broadcast(Block(items))
+        sent = rows.sparkSession.sparkContext.broadcast(Block(items, fewest))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
                 at = 0
-                for toks, first in tokens(batch.column(1)):
+                for toks, first in tokens(batch.column(2)):
                     for doc, item, start, size, equal in sent.value.leaks(toks, first):
                         found[at + doc].append({"item_id": item, "start": start, "tokens": size, "equal": equal})
                     at += len(first) - 1
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, arrow)], ["doc_id", "leaks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, _ARROW)], ["doc_id", "rid", "leaks"])
 
-        return docs.mapInArrow(run, f"doc_id long, leaks {kind}")
+        return rows.mapInArrow(run, f"doc_id long, rid long, leaks {_KIND}")
 
     last: list[tuple[int, str]] | None = None
     stored: list[DataFrame] = []
@@ -166,11 +161,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         last = block
     out = scan(last or [])
     if stored:
-        earlier = reduce(DataFrame.unionByName, stored).groupBy("doc_id").agg(F.flatten(F.collect_list("leaks")).alias("earlier"))
-        out = out.join(earlier, "doc_id", "left").select("doc_id", F.array_sort(F.array_distinct(F.concat("leaks", F.coalesce("earlier", F.array().cast(kind))))).alias("leaks"))
+        # equal rows (id, text) have equal leaks
+        earlier = reduce(DataFrame.unionByName, stored).select("rid", F.explode("leaks").alias("x")).distinct().groupBy("rid").agg(F.collect_list("x").alias("earlier"))
+        out = out.join(earlier, "rid", "left").select("doc_id", "rid", F.array_sort(F.array_distinct(F.concat("leaks", F.coalesce("earlier", F.array().cast(_KIND))))).alias("leaks"))
     return out
 
 
-def keep_unleaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, without those whose id has a text with a leak."""
-    return without(docs, find_leaks(docs, benchmark, id_col, text_col).filter(F.size("leaks") > 0).select("doc_id"), id_col)
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", fewest: int = FEWEST) -> DataFrame:
+    """One row per input row: doc_id, leaks (array of item_id, start, tokens, equal, in this order) over all test items.
+
+    A leak is a stretch of the item laid over the text whose score (equal tokens less PENALTY for each
+    other) reaches LEAST, or SHARE of a shorter item; items shorter than a mask are looked for whole.  Null and empty
+    texts have none; items that are null or have fewer than `fewest` tokens are ignored, and the items without any token
+    always are; repeated rows and null ids stay, each judged by its own text; without items nothing leaks; an empty
+    table gives an empty result; other columns are ignored.
+    """
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rid"), F.col(f"`{text_col}`").alias("text"))
+    return _leaks(rows, benchmark, item_col, item_text_col, fewest).select("doc_id", "leaks")
+
+
+def keep_unleaked(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", fewest: int = FEWEST) -> DataFrame:
+    """The rows of docs, all columns, whose text has no leak; each row is judged by itself, those with null ids, too."""
+    rows = docs.select(F.lit(None).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("rid"), F.col(f"`{text_col}`").alias("text"))
+    return without(docs, _leaks(rows, benchmark, item_col, item_text_col, fewest).filter(F.size("leaks") > 0).select("rid"), row_key(id_col, text_col))

@@ -96,8 +96,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = materialize(later.groupBy(*_KEY).agg(F.array_sort(F.collect_set("line")).alias("__gone")), "gone").withColumnsRenamed({"d": "__d", "h": "__h"})
     marked = maybe_among(docs.withColumns({"__d": d, "__h": h}), gone, "__d", "__h")
     # a text without deletions isn't shuffled
-    touched = marked.filter("__maybe").join(gone.hint("merge"), ["__d", "__h"], "left")
-    out = touched.unionByName(marked.filter("NOT __maybe").withColumn("__gone", F.lit(None).cast("array<int>")))
+    touched = marked.filter("maybe").join(gone.hint("merge"), ["__d", "__h"], "left")
+    out = touched.unionByName(marked.filter("NOT maybe").withColumn("__gone", F.lit(None).cast("array<int>")))
     gone = F.col("__gone")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     # a run starts where the line before stays
@@ -107,4 +107,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     new = F.when(gone.isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n"))
     return out.withColumns(
         {text_col: new, "n_lines": F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"), "n_deleted": F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long"), "runs": F.coalesce(F.array_join(runs, ","), F.lit(""))}
-    ).drop("__d", "__h", "__gone", "__maybe")
+    ).drop("__d", "__h", "__gone", "maybe")

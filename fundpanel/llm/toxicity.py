@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sparkops import own_columns, without
+from .sparkops import own_columns, row_key, without
 from .textops import seeded
 
 BITS = 18
@@ -165,5 +165,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, whose text isn't predicted toxic."""
-    return without(docs, classify(docs, labels, id_col, text_col).filter("predicted = 1").select("doc_id"), id_col)
+    """The rows of docs, all columns, whose text isn't predicted toxic; null ids and texts under one id are judged by their text, too."""
+    model = train(docs, labels, id_col, text_col, learn=f"NOT ({HELD_OUT})")
+    rows = docs.select(row_key(id_col, text_col).alias("rid"), F.col(f"`{text_col}`").alias("text"))
+    return without(docs, score(rows, model, "rid", "text").filter("predicted = 1").select("doc_id"), row_key(id_col, text_col))

@@ -89,18 +89,69 @@ def test_jaccard_join_of_odd_rows(spark):
 
 def test_signatures_meet():
     rng = np.random.default_rng(5)
-    hot = np.zeros(partenum.SLOTS, bool)
-    hot[rng.integers(0, partenum.SLOTS, partenum.SLOTS // 2)] = True
-    for _ in range(300):
+    levels = rng.integers(0, 64, partenum.SLOTS).astype(np.uint8)
+    linked_pairs = 0
+    for _ in range(600):
         n = int(rng.integers(1, 300))
         s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
         k = int(rng.integers(0, n // 4 + 1))
         t = np.unique(np.r_[s[k:] if len(s) > k else s, rng.integers(0, 2**63, int(rng.integers(0, max(1, n // 8 - k + 1)))).astype(np.uint64)])
         both = len(np.intersect1d(s, t))
         if 100 * both >= 75 * (len(s) + len(t) - both):
-            for sign in (lambda x: partenum.first_level(x, 75), lambda x: partenum.second_level(x, 75), lambda x: partenum.without_crowd(x, 75, hot)):
-                assert len(np.intersect1d(sign(s), sign(t)))
+            linked_pairs += 1
+            assert len(np.intersect1d(partenum.signatures_of(s, 75, levels), partenum.signatures_of(t, 75, levels)))
             assert partenum.sketch_distance(partenum.sketch(s), partenum.sketch(t)) <= len(s) + len(t) - 2 * both
+    assert linked_pairs > 300
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """2,000 texts that differ from each other, in several blocks; most pairs link, some texts link with few."""
+    rng, texts = random.Random(31), []
+    base = prose(rng, 90).split()
+    for i in range(2000):
+        t = list(base)
+        for j in rng.sample(range(90), rng.choice((1, 1, 1, 2, 3))):
+            t[j] = f"edit{i}x{j}"
+        texts.append(" ".join(t))
+    texts += [prose(rng, 80, 10**6) for _ in range(50)]
+    monkeypatch.setattr(partenum, "BLOCK", 300)
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    inside = {i: {e for e in range(86) if tuple(base[e : e + 5]) in sets[i]} for i in range(2000)}
+    kept = np.zeros((2000, 86), np.int64)
+    for i, own in inside.items():
+        kept[i, list(own)] = 1
+    both = kept @ kept.T  # edited words are all different: what two texts share is unedited
+    n = np.array([len(x) for x in sets[:2000]])
+    link = 100 * both >= 75 * (n[:, None] + n[None, :] - both)
+    np.fill_diagonal(link, False)
+    got = {r.doc_id: r for r in partenum.jaccard_join(docs(spark, texts)).collect()}
+    assert [got[i].n_links for i in range(2000)] == link.sum(axis=1).tolist()
+    label = np.arange(2000)
+    while True:
+        new = np.minimum(label, np.where(link, label[None, :], 2000).min(axis=1))
+        if (new == label).all():
+            break
+        label = new
+    assert [got[i].component_id for i in range(2000)] == label.tolist()
+    assert all(got[i].component_id == i and got[i].n_links == 0 for i in range(2000, 2050))
+
+
+def test_texts_under_one_id_and_clashing_columns(spark):
+    """Rows are judged by their texts, whatever the ids; columns of any name come through."""
+    rng = random.Random(8)
+    a, b, other = prose(rng, 60, 10**6), prose(rng, 60, 10**6), prose(rng, 30, 10**6)
+    given = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (None, other), (None, a + " end"), (7, other), (7, other), (8, None)]
+    names = ["doc_id", "text", "row", "rid", "k", "maybe", "goes", "__id", "_bits", "key", "n"]
+    for turned in (given, given[::-1]):
+        df = spark.createDataFrame([(*r, *"x" * 9) for r in turned], ", ".join(["doc_id long, text string", *(f"{c} string" for c in names[2:])]))
+        got = rows(partenum.jaccard_join(df), "doc_id", "component_id", "n_links")
+        assert got == sorted([(1, 1, 2), (1, 1, 1), (2, 1, 2), (3, 1, 1), (None, 7, 2), (None, 1, 2), (7, 7, 2), (7, 7, 2), (8, 8, 0)], key=repr)
+        kept = partenum.one_of_each(df)
+        assert kept.columns == names
+        assert rows(kept, "doc_id", "text") == sorted([(1, a), (1, b), (7, other), (8, None)], key=repr)
+    df = spark.createDataFrame([(1, a), (5, a + " tail"), (5, other), (6, ""), (6, "")], "doc_id long, text string")
+    assert rows(partenum.one_of_each(df), "doc_id", "text") == sorted([(1, a), (5, other), (6, ""), (6, "")], key=repr)
+    assert partenum.one_of_each(df.limit(0)).count() == 0
 
 
 def test_components(spark):
