@@ -1,14 +1,14 @@
 """Line dedup: repeated runs of lines over the whole corpus, by prefix doubling, with DataFrame functions only.
 
-Every line of every text starts a suffix of lines.  Suffixes are ranked by their first 1, 2, 4, ..
-lines: a round takes the pair of ranks at a line and k lines on, sorts the different pairs by range
+Every line of every text starts a suffix of lines.  Suffixes are ranked by their first 2, 4, 8, ..
+lines: a round takes the pair of ranks at a line and so many lines on, sorts the different pairs by range
 and numbers them in that order, so ranks order the suffixes as a suffix array does.  Suffixes of
-equal rank are an interval whose longest common prefix is at least the rank's length; only
-intervals of two suffixes or more go on.  In the intervals at the wanted length the first suffix
-stays, the lines under the others are deleted; overlapping ones join to maximal runs.
+equal rank are an interval whose common prefix is at least the rank's length; only intervals of two suffixes
+or more go on, and rounds follow until none is left.
 
-With min_lines = 2 the first round is the last: windows of two lines are counted, nothing is doubled.
-The runs reported are merged windows; a merged run may repeat nowhere as a whole.
+In an interval of the wanted length the first suffix stays; each other one is a later copy.  Its longest common
+prefix with the first one comes from the ranks of all rounds, from the longest down: where both have equal ranks the prefix
+grows by that rank's length.  Those lines are deleted; a run is maximal if no other of its text contains it.
 
 A single line is a run of its own when it has PASSAGE words or more: its later copies are deleted, too,
 whatever stands around them.
@@ -16,95 +16,150 @@ whatever stands around them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sparkops import materialize, maybe_among
+from .sparkops import Scratch, in_struct, maybe_among
 
 _KEY = ["d", "h"]
+_PLACE = [*_KEY, "pos"]
 #: Words (runs of non-white-space) from which on a single line is a passage.
 PASSAGE = 20
 _SPACE = r"\x20\x09-\x0D"
 
 
-def _sequences(rows: DataFrame) -> DataFrame:
-    """(d, h, ids) of each different row (id, text): the ids of its lines in order."""
+def adjacent(rows: DataFrame) -> DataFrame:
+    """(d, h, pos, r, q): the ids of each line and the next, once for rows that repeat.  rows: (d, h, lines)."""
     ids = F.transform(F.col("lines"), lambda x: F.xxhash64(x))
-    return rows.select("d", "h", ids.alias("ids")).groupBy(*_KEY).agg(F.first("ids").alias("ids"))
+    once = rows.filter(F.size("lines") > 1).select(*_KEY, ids.alias("ids")).groupBy(*_KEY).agg(F.first("ids").alias("ids"))
+    both = F.arrays_zip(F.expr("slice(ids, 1, size(ids) - 1)").alias("r"), F.expr("slice(ids, 2, size(ids) - 1)").alias("q"))
+    return once.select(*_KEY, F.posexplode(both).alias("pos", "x")).select(*_PLACE, "x.r", "x.q")
 
 
-def _pairs(suffixes: DataFrame, step: int) -> DataFrame:
-    """(d, h, pos, r, q): the rank at a line and the one step lines on; none beyond the end of a text or of the intervals."""
-    on = F.first("r").over(Window.partitionBy(*_KEY).orderBy("pos").rangeBetween(step, step))
-    return suffixes.withColumn("q", on).filter("q is not null")
+def _ranked(pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(d, h, pos, rank, first): the suffixes whose pair of ranks (r, q) another one has, too, numbered in sort order, and the first place of each interval."""
+    found = pairs.groupBy("r", "q").agg(F.count("*").alias("n"), F.min(F.struct(*_PLACE)).alias("first")).filter("n > 1")
+    ranks = found.repartitionByRange("r", "q").sortWithinPartitions("r", "q").select("r", "q", F.monotonically_increasing_id().alias("rank"), "first")
+    out = scratch.store(pairs.join(scratch.store(ranks, f"{name}-ranks"), ["r", "q"]).select(*_PLACE, "rank", "first"), name)
+    scratch.drop(f"{name}-ranks")
+    return out
 
 
-def _intervals(pairs: DataFrame) -> DataFrame:
-    """(r, q, rank, first): the pairs that occur twice or more, numbered in sort order, and their first place."""
-    found = pairs.groupBy("r", "q").agg(F.count("*").alias("n"), F.min(F.struct("d", "h", "pos")).alias("first")).filter("n > 1")
-    ranked = found.repartitionByRange("r", "q").sortWithinPartitions("r", "q").withColumn("rank", F.monotonically_increasing_id())
-    return materialize(ranked.select("r", "q", "rank", "first"), "ranks")
+def _on(level: DataFrame, step: int) -> DataFrame:
+    """(d, h, pos, r, q): the rank at a line and the one step lines on; none where that is in no interval."""
+    later = F.first("rank").over(Window.partitionBy(*_KEY).orderBy("pos").rangeBetween(step, step))
+    return level.select(*_PLACE, F.col("rank").alias("r"), later.alias("q")).filter("q is not null")
 
 
-def later_copies(rows: DataFrame, min_lines: int) -> DataFrame:
-    """(d, h, pos): where a run of min_lines lines begins that begins at an earlier place, too.  rows: (d, h, lines)."""
-    sequences = _sequences(rows).filter(F.size("ids") >= min_lines)
-    if min_lines == 1:
-        pairs = sequences.select(*_KEY, F.posexplode("ids").alias("pos", "r")).withColumn("q", F.lit(0).cast("long"))
-    else:
-        # the first pairs stand side by side in the row
-        both = F.arrays_zip(F.expr("slice(ids, 1, size(ids) - 1)").alias("r"), F.expr("slice(ids, 2, size(ids) - 1)").alias("q"))
-        pairs = sequences.select(*_KEY, F.posexplode(both).alias("pos", "x")).select(*_KEY, "pos", F.col("x.r").alias("r"), F.col("x.q").alias("q"))
-    length = min(2, min_lines)
+def double(rows: DataFrame, scratch: Scratch) -> list[tuple[int, DataFrame]]:
+    """The rounds of the doubling: (length, suffixes of equal prefixes of that length), until all intervals are single."""
+    levels, length, pairs = [], 2, adjacent(rows)
     while True:
-        ranks = _intervals(pairs)
-        suffixes = pairs.join(ranks, ["r", "q"])
-        if length == min_lines:
-            return suffixes.filter(F.struct("d", "h", "pos") > F.col("first")).select(*_KEY, "pos")
-        step = min(length, min_lines - length)
-        pairs = _pairs(materialize(suffixes.select(*_KEY, "pos", F.col("rank").alias("r")), "suffixes"), step)
-        length += step
-
-
-def later_passages(rows: DataFrame, words: int) -> DataFrame:
-    """(d, h, pos): the lines of so many words or more that stand at an earlier place, too.  rows: (d, h, lines)."""
+        level = _ranked(pairs, scratch, f"level{length}")
+        if not level.limit(1).count():
+            return levels
+        levels.append((length, level))
+        pairs = _on(level, length)
+        length *= 2
+
+
+def later_runs(rows: DataFrame, min_lines: int, scratch: Scratch) -> DataFrame:
+    """(d, h, pos, n): each place where a run of min_lines lines or more begins that has an earlier copy, and the lines it has in common with the first one."""
+    levels = double(rows, scratch)
+    below = [x for x in levels if x[0] <= min_lines]
+    if not below or 2 * below[-1][0] <= min_lines:
+        return rows.select(*_KEY, F.lit(0).alias("pos"), F.lit(0).alias("n")).limit(0)
+    length, wanted = below[-1]
+    if length < min_lines:
+        wanted = _ranked(_on(wanted, min_lines - length), scratch, "wanted")
+    state = wanted.filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE, F.col("first.d").alias("fd"), F.col("first.h").alias("fh"), F.col("first.pos").alias("fpos"), F.lit(0).alias("n"))
+
+    def grown(state: DataFrame, level: DataFrame, at: Column, by: int) -> DataFrame:
+        """state, its prefixes longer by `by` where copy and first have equal ranks at the place `at` lines on."""
+        mine = level.select(*_KEY, F.col("pos").alias("at"), F.col("rank").alias("x"))
+        theirs = level.select(F.col("d").alias("fd"), F.col("h").alias("fh"), F.col("pos").alias("fat"), F.col("rank").alias("y"))
+        both = state.withColumns({"at": F.col("pos") + at, "fat": F.col("fpos") + at}).join(mine, [*_KEY, "at"], "left").join(theirs, ["fd", "fh", "fat"], "left")
+        return both.select(*_PLACE, "fd", "fh", "fpos", (F.col("n") + F.when(F.col("x") == F.col("y"), by).otherwise(0)).alias("n"))
+
+    for length, level in reversed(levels):
+        state = grown(state, level, F.col("n"), length)
+    # an odd line at the end: the pair that ends with it
+    return grown(state, levels[0][1], F.col("n") - 1, 1).select(*_PLACE, "n")
+
+
+def later_passages(rows: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(d, h, pos, n): the lines of so many words or more that stand at an earlier place, too; n is 1.  rows: (d, h, lines)."""
     # possessive, and no further than the last word needed; only ids of long lines are shuffled
     long = F.col("line").rlike(rf"^[{_SPACE}]*+(?:[^{_SPACE}]++[{_SPACE}]++){{{words - 1}}}[^{_SPACE}]")
-    each = rows.select(*_KEY, F.posexplode("lines").alias("pos", "line")).filter(long).select(*_KEY, "pos", F.xxhash64("line").alias("r"))
-    repeated = each.groupBy("r").agg(F.min(F.struct("d", "h", "pos")).alias("first"), F.max(F.struct("d", "h", "pos")).alias("last")).filter("first < last")
+    each = rows.select(*_KEY, F.posexplode("lines").alias("pos", "line")).filter(long).select(*_PLACE, F.xxhash64("line").alias("r"))
+    repeated = each.groupBy("r").agg(F.min(F.struct(*_PLACE)).alias("first"), F.max(F.struct(*_PLACE)).alias("last")).filter("first < last")
     # equal rows (id, text) give the same places
-    return each.join(materialize(repeated.select("r", "first"), "passages"), "r").filter(F.struct("d", "h", "pos") > F.col("first")).select(*_KEY, "pos")
+    return each.join(scratch.store(repeated.select("r", "first"), "passages"), "r").filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE, F.lit(1).alias("n"))
+
+
+def maximal(runs: DataFrame) -> DataFrame:
+    """(d, h, runs): of each text the runs that no other one contains, in order: array of (pos, n, new), new the first line that no run before has."""
+    end = F.col("pos") + F.col("n")
+    before = F.max(end).over(Window.partitionBy(*_KEY).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    each = runs.groupBy(*_PLACE).agg(F.max("n").alias("n")).withColumn("before", F.coalesce(before, F.lit(0))).filter(end > F.col("before"))
+    return each.groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("pos", "n", F.greatest("pos", "before").alias("new")))).alias("runs"))
+
+
+def cut_lines(docs: DataFrame, id_col: str, text_col: str, min_lines: int, passage: int) -> DataFrame:
+    """(row, text, n_lines, n_deleted, runs): the caller's row and its text without later copies; see dedup_lines()."""
+    if min_lines < 2:
+        raise ValueError("a run has two lines at least; single lines are passages")
+    scratch = Scratch(docs.sparkSession, "lines")
+    text = F.col(f"`{text_col}`")
+    d = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63)))
+    h = F.xxhash64(F.coalesce(text, F.lit("")))
+    rows = docs.filter(text.isNotNull()).select(d.alias("d"), h.alias("h"), F.split(text, "\n", -1).alias("lines"))
+    runs = later_runs(rows, min_lines, scratch).unionByName(later_passages(rows, passage, scratch))
+    gone = scratch.store(maximal(runs), "gone")
+    scratch.drop(*(x for x in scratch.paths if x != "gone"))
+    marked = maybe_among(in_struct(docs, d=d, h=h), gone, *_KEY)
+    body = F.col("row").getField(text_col)
+    # a text without deletions isn't shuffled; what the lambdas below read are columns of the join, not expressions to evaluate again
+    touched = marked.filter("maybe").select("row", *_KEY, F.split(body, "\n", -1).alias("lines")).join(gone.hint("merge"), _KEY, "left")
+    starts = F.concat(F.array(F.lit(0)), F.transform("runs", lambda x: x["pos"] + x["n"]))
+    ends = F.concat(F.transform("runs", lambda x: x["new"]), F.array(F.size("lines")))
+    kept = F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("a"), (b - a).alias("n"))), lambda x: x["n"] > 0)
+    left = F.array_join(F.flatten(F.transform(kept, lambda x: F.slice("lines", x["a"] + 1, x["n"]))), "\n")
+    deleted = F.aggregate("runs", F.lit(0), lambda acc, x: acc + x["pos"] + x["n"] - x["new"])
+    named = F.array_join(F.transform("runs", lambda x: F.concat_ws(":", x["pos"].cast("string"), x["n"].cast("string"))), ",")
+    none = F.col("runs").isNull()
+    touched = touched.select("row", F.when(none, body).otherwise(left).alias("text"), F.when(body.isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"), F.when(none, 0).otherwise(deleted).cast("long").alias("n_deleted"), F.when(none, "").otherwise(named).alias("runs"))
+    n_lines = F.when(body.isNull(), 0).otherwise(F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1)
+    rest = marked.filter("NOT maybe").select("row", body.alias("text"), n_lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_deleted"), F.lit("").alias("runs"))
+    return touched.unionByName(rest)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 2, passage: int = PASSAGE) -> DataFrame:
     """docs, all columns, with later copies of runs of min_lines lines or more, and of lines of passage words or more, deleted from the text.
 
-    Adds n_lines, n_deleted and runs (start:length of each maximal deleted run, counted in lines from 0).
+    Adds n_lines, n_deleted and runs (start:length of each maximal run, counted in lines from 0; runs may overlap);
+    columns of these names in docs are replaced.
     Lines are what line feeds separate.  The earlier place is that with the smaller id, then the smaller
     hash of the text, then the smaller line number; the first copy of any line always stays.  A null text
     stays null without lines; an empty one is one empty line.  Rows with equal id and text are treated alike, and
-    null ids come before all others.  A text with nothing left becomes empty.
+    null ids come before all others.  A text with nothing left becomes empty.  An empty table gives an empty result.
     """
-    text = F.col(f"`{text_col}`")
-    d = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63)))
-    h = F.xxhash64(F.coalesce(text, F.lit("")))
-    lines = F.split(text, "\n", -1)
-    rows = docs.filter(text.isNotNull()).select(d.alias("d"), h.alias("h"), lines.alias("lines"))
-    later = later_copies(rows, min_lines).select(*_KEY, F.explode(F.sequence("pos", F.col("pos") + (min_lines - 1))).alias("line"))
-    if min_lines > 1:
-        later = later.unionByName(later_passages(rows, passage).select(*_KEY, F.col("pos").alias("line")))
-    gone = materialize(later.groupBy(*_KEY).agg(F.array_sort(F.collect_set("line")).alias("__gone")), "gone").withColumnsRenamed({"d": "__d", "h": "__h"})
-    marked = maybe_among(docs.withColumns({"__d": d, "__h": h}), gone, "__d", "__h")
-    # a text without deletions isn't shuffled
-    touched = marked.filter("maybe").join(gone.hint("merge"), ["__d", "__h"], "left")
-    out = touched.unionByName(marked.filter("NOT maybe").withColumn("__gone", F.lit(None).cast("array<int>")))
-    gone = F.col("__gone")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    # a run starts where the line before stays
-    number = F.transform(gone, lambda x, i: F.struct((x - i).alias("run"), x.alias("line")))
-    starts = F.filter(number, lambda x, i: (i == 0) | (F.element_at(number, F.greatest(i, F.lit(1)))["run"] != x["run"]))
-    runs = F.transform(starts, lambda x: F.concat_ws(":", x["line"].cast("string"), F.size(F.filter(number, lambda y: y["run"] == x["run"])).cast("string")))
-    new = F.when(gone.isNull(), text).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n"))
-    return out.withColumns(
-        {text_col: new, "n_lines": F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"), "n_deleted": F.when(gone.isNull(), 0).otherwise(F.size(gone)).cast("long"), "runs": F.coalesce(F.array_join(runs, ","), F.lit(""))}
-    ).drop("__d", "__h", "__gone", "maybe")
+    added = ["n_lines", "n_deleted", "runs"]
+    cut = cut_lines(docs, id_col, text_col, min_lines, passage)
+    own = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in added]
+    return cut.select(*own, *added)
+
+
+def without_later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", min_lines: int = 2, passage: int = PASSAGE) -> DataFrame:
+    """docs, exactly its columns, after dedup_lines(); rows of whose text nothing is left go, and length_col, if there, follows the text."""
+    cut = cut_lines(docs, id_col, text_col, min_lines, passage).filter("n_deleted < n_lines OR n_deleted = 0")
+
+    def column(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c == text_col:
+            return F.col("text").alias(c)
+        if c == length_col:
+            return F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(old).cast(docs.schema[c].dataType).alias(c)
+        return old.alias(c)
+
+    return cut.select(*map(column, docs.columns))

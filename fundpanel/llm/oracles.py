@@ -117,17 +117,18 @@ OP8 = rf"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(l))) AS p, l FROM l WHERE len(l) >= 2),
 h AS (SELECT doc_id, p, l[p] || chr(10) || l[p + 1] AS h FROM p),
-f AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS n FROM h),
+f AS (SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS fd, first_value(p) OVER w AS fp FROM h WINDOW w AS (PARTITION BY h ORDER BY doc_id, p)),
+m AS (SELECT f.doc_id, f.p, len(a.l) - f.p + 1 AS most, len(b.l) - f.fp + 1 AS theirs, a.l[f.p:] AS x, b.l[f.fp:] AS y FROM f JOIN l a ON a.doc_id = f.doc_id JOIN l b ON b.doc_id = f.fd WHERE f.n > 1),
+c AS (SELECT doc_id, p - 1 AS p, coalesce(list_position(list_transform(range(1, least(most, theirs) + 1), lambda i: x[i] = y[i]), false) - 1, least(most, theirs)) AS n FROM m),
 o AS (SELECT doc_id, p, l FROM (SELECT doc_id, unnest(range(0, len(l))) AS p, unnest(l) AS l FROM l) WHERE len({_WORDS.format(text="l")}) >= {linedup.PASSAGE}),
 oo AS (SELECT doc_id, p, row_number() OVER (PARTITION BY l ORDER BY doc_id, p) AS n FROM o),
-g AS (SELECT doc_id, p - 1 + unnest([0, 1]) AS p FROM f WHERE n > 1 UNION SELECT doc_id, p FROM oo WHERE n > 1),
-i AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
-r AS (SELECT doc_id, run, min(p) AS p, count(*) AS n FROM i GROUP BY doc_id, run),
-k AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n, string_agg(p || ':' || n, ',' ORDER BY p) AS runs FROM r GROUP BY doc_id),
-q AS (SELECT doc_id, list(p) AS gone FROM g GROUP BY doc_id)
+u AS (SELECT doc_id, p, max(n) AS n FROM (SELECT * FROM c UNION ALL SELECT doc_id, p, 1 FROM oo WHERE n > 1) GROUP BY doc_id, p),
+i AS (SELECT *, coalesce(max(p + n) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM u),
+r AS (SELECT * FROM i WHERE p + n > before),
+k AS (SELECT doc_id, CAST(sum(p + n - greatest(p, before)) AS BIGINT) AS n, string_agg(p || ':' || n, ',' ORDER BY p) AS runs, flatten(list(range(p, p + n))) AS gone FROM r GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, coalesce(k.n, 0) AS n_deleted, coalesce(runs, '') AS runs,
   sha256(array_to_string(CASE WHEN gone IS NULL THEN l ELSE list_transform(list_filter(range(0, len(l)), lambda x: NOT list_contains(gone, x)), lambda x: l[x + 1]) END, chr(10))) AS kept_sha256
-FROM l LEFT JOIN k USING (doc_id) LEFT JOIN q USING (doc_id)
+FROM l LEFT JOIN k USING (doc_id)
 """
 
 ORACLES = {"op1_ngram_jaccard_join": OP1, "op2_secret_scan": OP2, "op3_pii_scan": OP3, "op4_substring_dedup": OP4, "op6_warc_captures": OP6, "op8_line_dedup": OP8}

@@ -228,25 +228,70 @@ def test_substrings_of_odd_rows(spark):
     assert substrings.dedup_substrings(docs(spark, [])).count() == 0
 
 
+def line_runs(texts, m):
+    """(lines, deleted, left, runs) of each text, by the first place of each window of m lines; no line is a passage."""
+    first, out = {}, []
+    split = [t.split("\n") for t in texts]
+    for i, lines in enumerate(split):
+        for p in range(len(lines) - m + 1):
+            first.setdefault(tuple(lines[p : p + m]), (i, p))
+    for i, lines in enumerate(split):
+        runs, end, gone = [], 0, set()
+        for p in range(len(lines) - m + 1):
+            j, q = first[tuple(lines[p : p + m])]
+            if (j, q) != (i, p):
+                n = 0
+                while p + n < len(lines) and q + n < len(split[j]) and lines[p + n] == split[j][q + n]:
+                    n += 1
+                if p + n > end:
+                    runs.append(f"{p}:{n}")
+                    end = p + n
+                gone |= set(range(p, p + n))
+        out.append((i, len(lines), len(gone), "\n".join(x for q, x in enumerate(lines) if q not in gone), ",".join(runs)))
+    return out
+
+
 def test_line_runs_equal_brute_force(spark):
     rng, texts = random.Random(11), []
     for _ in range(60):
         texts.append("\n".join(f"line {rng.randrange(25)}" for _ in range(rng.randrange(0, 9))))
-    for m in (1, 2, 3, 4):
-        seen, want = set(), []
-        for i, t in enumerate(texts):
-            lines, gone = t.split("\n"), set()
-            for p in range(len(lines) - m + 1):
-                key = tuple(lines[p : p + m])
-                if key in seen:
-                    gone |= set(range(p, p + m))
-                seen.add(key)
-            want.append((i, len(lines), len(gone), "\n".join(x for q, x in enumerate(lines) if q not in gone)))
+    texts += ["\n".join(f"long {i}" for i in range(a, b)) for a, b in ((0, 37), (5, 30), (20, 37))] + ["\n".join(["same"] * 40)] * 2
+    for m in (2, 3, 4, 5):
         got = linedup.dedup_lines(docs(spark, texts), min_lines=m)
-        assert rows(got, "doc_id", "n_lines", "n_deleted", "text") == sorted(want, key=repr)
+        assert rows(got, "doc_id", "n_lines", "n_deleted", "text", "runs") == sorted(line_runs(texts, m), key=repr)
     assert set(docs(spark, []).columns) <= set(got.columns)
+    assert linedup.dedup_lines(docs(spark, [])).count() == 0 and linedup.dedup_lines(docs(spark, ["a\nb", None])).filter("n_deleted > 0").count() == 0
     some = rows(linedup.dedup_lines(odd(spark)), "doc_id", "n_lines", "n_deleted")
     assert len(some) == 8 and (1, 0, 0) in some
+    with pytest.raises(ValueError):
+        linedup.dedup_lines(docs(spark, []), min_lines=1)
+
+
+def test_rounds_of_doubling(spark):
+    """Forty equal lines: intervals of 2, 4, .., 32 lines, then none."""
+    table = docs(spark, ["\n".join(["same"] * 40), "other\nlines"]).select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), F.split("text", "\n", -1).alias("lines"))
+    levels = linedup.double(table, sparkops.Scratch(spark, "test"))
+    assert [(n, level.count()) for n, level in levels] == [(2, 39), (4, 37), (8, 33), (16, 25), (32, 9)]
+
+
+def test_lines_beside_clashing_columns(spark):
+    names = ["n_lines", "n_deleted", "runs", "gone", "d", "h", "row", "lines", "maybe", "__d", "__gone", "_bits", "n_chars"]
+    table = spark.createDataFrame([(i, t, *range(len(names))) for i, t in enumerate(("a\nb", "a\nb\nc", "a\nb", None))] + [(None, "a\nb", *range(len(names)))], "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    got = linedup.dedup_lines(table)
+    assert rows(got, "doc_id", "text", "n_deleted", "d", "__gone") == sorted([(None, "a\nb", 0, 4, 10), (0, "", 2, 4, 10), (1, "c", 2, 4, 10), (2, "", 2, 4, 10), (3, None, 0, 4, 10)], key=repr)
+    left = linedup.without_later_lines(table)
+    assert left.columns == table.columns and left.dtypes == table.dtypes
+    assert rows(left, "doc_id", "text", "n_lines", "n_chars") == sorted([(None, "a\nb", 0, 12), (1, "c", 0, 1), (3, None, 0, 12)], key=repr)
+
+
+def test_many_deleted_lines(spark):
+    """Rebuilding a text takes time in proportion to its lines."""
+    import time
+
+    text = "\n".join(x for i in range(20000) for x in (f"l {i // 2}", f"own {i}"))
+    started = time.time()
+    got = linedup.dedup_lines(docs(spark, ["\n".join(f"l {i}\nown {2 * i}" for i in range(10000)), text])).orderBy("doc_id").collect()
+    assert got[1].n_lines == 40000 and got[1].n_deleted >= 20000 and time.time() - started < 60
 
 
 def test_single_lines_that_are_passages(spark):
