@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fundpanel.llm import decontaminate, linedup, partenum, piecebpe, toxicity
 from fundpanel.llm.registry import model_path
@@ -24,13 +23,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of runs of two lines or more and of single lines that are passages; those of which nothing is left go."""
-    done = linedup.dedup_lines(docs, min_lines=2)
-    done = done.filter("n_deleted < n_lines OR n_deleted = 0").withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+    return linedup.without_later_lines(docs, length_col="n_chars", min_lines=2)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles at 0.75, the one with the smallest id."""
+    """Of each group of documents linked by five-word shingles at 0.75, the one with the smallest id; rows are judged by their texts."""
     return partenum.one_of_each(docs, words=5, percent=75)
 
 
