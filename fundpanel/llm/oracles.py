@@ -44,14 +44,14 @@ x AS (
 y AS (SELECT x.*, s + length(v) AS e, length(val) AS n, t.owner, t.repo,
   regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Za-z]') AND len(list_distinct(string_split(val, ''))) >= 8 AND NOT regexp_matches(val, '{secretscan.PLACEHOLDER}') AS looks
   FROM x JOIN t USING (rid) WHERE length(val) >= 12),
-o AS (SELECT val, count(DISTINCT owner) >= {secretscan.EXAMPLE_OWNERS} AS example FROM y GROUP BY val),
-j AS (SELECT y.*, o.example, y.looks AND NOT o.example AS live FROM y JOIN o USING (val)),
+o AS (SELECT val, count(DISTINCT coalesce(owner, '')) >= {secretscan.EXAMPLE_OWNERS} AS example, count(DISTINCT coalesce(repo, '')) AS repos FROM y GROUP BY val),
+j AS (SELECT y.*, o.example, o.repos, y.looks AND NOT o.example AS live FROM y JOIN o USING (val)),
 a AS (SELECT DISTINCT rid, s, k, e FROM j UNION SELECT rid, e - n, 3, e FROM j WHERE live),
-b AS (SELECT rid, sum(CAST(k = 0 AS INT)) AS n0, sum(CAST(k = 1 AS INT)) AS n1, sum(CAST(k = 2 AS INT)) AS n2, sum(CAST(live AS INT)) AS nl, sum(CAST(example AS INT)) AS ne,
+b AS (SELECT rid, sum(CAST(k = 0 AS INT)) AS n0, sum(CAST(k = 1 AS INT)) AS n1, sum(CAST(k = 2 AS INT)) AS n2, sum(CAST(live AS INT)) AS nl, sum(CAST(example AS INT)) AS ne, max(CASE WHEN live THEN repos END) AS lr,
   string_agg(['assign', 'access', 'hex'][k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k) AS base FROM j GROUP BY rid),
 c AS (SELECT rid, string_agg(['assign', 'access', 'hex', 'live'][k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans FROM a GROUP BY rid)
 SELECT doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0) AS BIGINT) AS n_access, CAST(coalesce(n2, 0) AS BIGINT) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(nl, 0) AS BIGINT) AS n_live, CAST(coalesce(ne, 0) AS BIGINT) AS n_example
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(nl, 0) AS BIGINT) AS n_live, CAST(coalesce(ne, 0) AS BIGINT) AS n_example, CAST(coalesce(lr, 0) AS BIGINT) AS live_repos
 FROM t LEFT JOIN b USING (rid) LEFT JOIN c USING (rid)
 """
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .spans import located, matches, text_of
+from .spans import around, matches, pieces, text_of, with_spans
 
 #: Kinds in output order.  The patterns give the leftmost non-overlapping matches of the plain forms;
 #: a look-behind (or the end of the match before) keeps long runs from being tried at every character,
@@ -73,27 +73,31 @@ def _valid(kind: str, v: Column) -> Column:
     return F.lit(True)
 
 
-def _confirmed(text: Column, number: int, kind: str) -> Column:
+def _confirmed(number: int, kind: str) -> Column:
     """The spans of one kind that their checksum or form confirms, with scores."""
 
     def scored(x: Column) -> Column:
-        near = F.concat(F.substring(text, F.greatest(x["s"] - CONTEXT_WIDTH, F.lit(0)) + 1, F.least(x["s"], F.lit(CONTEXT_WIDTH))), F.lit(" "), F.substring(text, x["e"] + 1, F.lit(CONTEXT_WIDTH)))
+        near = around(F.col("cut"), x["s"], x["e"], CONTEXT_WIDTH)
         score = F.lit(SCORES[kind]) + F.when(F.lower(near).rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
         return F.struct(F.lit(number).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("name"), F.round(score, 2).alias("score"))
 
-    spans = F.filter(located(text, PATTERNS[kind], F.col(kind)), lambda x: _valid(kind, x["v"]))
-    return F.transform(spans, scored)
+    return F.transform(F.filter(F.col(kind), lambda x: _valid(kind, x["v"])), scored)
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, found): all confirmed spans of a row, array<struct<k, s, e, name, score>> by kind, then start."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    text = F.col("text")
-    for kind, pattern in PATTERNS.items():
-        every = matches(text, pattern)
-        rows = rows.withColumn(kind, F.when(F.contains(text, F.lit(_NEEDS[kind])), every).otherwise(F.array().cast("array<string>")) if kind in _NEEDS else every)
-    found = [_confirmed(text, number, kind) for number, kind in enumerate(PATTERNS)]
-    return rows.select("doc_id", F.concat(*found).alias("found"))
+    text, none = F.col("text"), F.array().cast("array<string>")
+
+    def every(kind: str) -> Column:
+        found = matches(text, PATTERNS[kind])
+        return (F.when(F.contains(text, F.lit(_NEEDS[kind])), found).otherwise(none) if kind in _NEEDS else found).alias(kind)
+
+    rows = rows.select("doc_id", "text", *map(every, PATTERNS))
+    some = sum((F.size(kind) for kind in PATTERNS), F.lit(0)) > 0
+    rows = rows.withColumn("cut", F.when(some, pieces(text)).otherwise(none))
+    rows = with_spans(rows, "text", PATTERNS)
+    return rows.select("doc_id", F.concat(*(_confirmed(number, kind) for number, kind in enumerate(PATTERNS))).alias("found"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
