@@ -82,7 +82,9 @@ def later_runs(rows: DataFrame, min_lines: int, scratch: Scratch) -> DataFrame:
         return both.select(*_PLACE, "fd", "fh", "fpos", (F.col("n") + F.when(F.col("x") == F.col("y"), by).otherwise(0)).alias("n"))
 
     for length, level in reversed(levels):
-        state = grown(state, level, F.col("n"), length)
+        # stored each time: many small plans instead of a large one
+        state = scratch.store(grown(state, level, F.col("n"), length), f"state{length}")
+        scratch.drop(f"state{2 * length}")
     # an odd line at the end: the pair that ends with it
     return grown(state, levels[0][1], F.col("n") - 1, 1).select(*_PLACE, "n")
 

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .sparkops import own_columns
 
 MARK = "▁"
-#: Parts kept by a worker: two generations of this many.
-MEMORY = 300_000
+#: Parts kept by a worker: two generations of this many, and of so many characters in all; longer parts aren't kept.
+MEMORY, MEMORY_CHARS, LONGEST = 100_000, 1_500_000, 200
 #: Characters of new parts that are compared with the library at a time.
 COMPARE = 1 << 20
 
@@ -56,7 +56,7 @@ class PieceBpe:
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
         self.new: list[tuple[str, tuple[int, ...]]] = []
-        self.new_size = 0
+        self.new_size = self.young_chars = 0
 
     def merge(self, part: str) -> tuple[int, ...]:
         """The ids of one part, by the agenda."""
@@ -102,9 +102,11 @@ class PieceBpe:
             self.new_size += len(part)
             if self.new_size > COMPARE:
                 self.compare()
-        if len(self.young) >= MEMORY:
-            self.old, self.young = self.young, {}
-        self.young[part] = ids
+        if len(part) <= LONGEST:
+            if len(self.young) >= MEMORY or self.young_chars > MEMORY_CHARS:
+                self.old, self.young, self.young_chars = self.young, {}, 0
+            self.young[part] = ids
+            self.young_chars += len(part)
         return ids
 
     def encode(self, text: str) -> list[int]:
