@@ -86,13 +86,32 @@ def unskewed() -> Column:
     return F.when(F.col("skew") > 3, F.log(v - F.col("lo") + 1)).when(F.col("skew") < -3, F.log(F.col("hi") - v + 1)).otherwise(v)
 
 
-def outliers(observations: DataFrame, span: int = 7, fences: float = 5.0) -> DataFrame:
-    """Observations beyond `fences` interquartile ranges from the median of the span before to the span after."""
+def quantile(ordered: Column, share: float) -> Column:
+    """A quantile of an array in ascending order, with linear interpolation; null for an empty one."""
+    at = (F.size(ordered) - 1) * share
+    low = F.get(ordered, F.floor(at).cast("int"))
+    return low + (F.get(ordered, F.ceil(at).cast("int")) - low) * (at - F.floor(at))
+
+
+def flag_outliers(observations: DataFrame, span: int = 7, fences: float = 5.0) -> DataFrame:
+    """observations with is_outlier: beyond `fences` interquartile ranges from the median of the span before to the span after.
+
+    Only the candidate metrics, a row per metric, are dealt by series; a window's few values are sorted once.
+    """
+    metrics = continuous_metrics(observations).select("family", "metric", "skew", "lo", "hi")
+    rows = observations.join(F.broadcast(metrics.withColumn("candidate", F.lit(True))), ["family", "metric"], "left")
     window = Window.partitionBy("product_id", "family", "metric").orderBy("effective_date").rowsBetween(-span, span)
-    q = F.percentile("z", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(window)
-    rows = observations.join(F.broadcast(continuous_metrics(observations)), ["family", "metric"]).withColumn("z", unskewed()).withColumn("q", q)
-    iqr = F.col("q")[2] - F.col("q")[0]
-    return rows.filter((iqr > 0) & (F.abs(F.col("z") - F.col("q")[1]) > fences * iqr)).select("product_id", "family", "metric", "effective_date", "value")
+    tested = rows.filter("candidate").withColumn("z", unskewed()).withColumn("near", F.array_sort(F.collect_list("z").over(window)))
+    tested = tested.withColumns({"q1": quantile(F.col("near"), 0.25), "q2": quantile(F.col("near"), 0.5), "q3": quantile(F.col("near"), 0.75)})
+    iqr = F.col("q3") - F.col("q1")
+    flag = F.coalesce((iqr > 0) & (F.abs(F.col("z") - F.col("q2")) > fences * iqr), F.lit(False))
+    others = rows.filter("candidate IS NULL").select(*observations.columns, F.lit(False).alias("is_outlier"))
+    return tested.select(*observations.columns, flag.alias("is_outlier")).unionByName(others)
+
+
+def outliers(observations: DataFrame, span: int = 7, fences: float = 5.0) -> DataFrame:
+    """The observations that flag_outliers() marks."""
+    return flag_outliers(observations, span, fences).filter("is_outlier").select("product_id", "family", "metric", "effective_date", "value")
 
 
 def outlier_summary(found: DataFrame) -> DataFrame:
@@ -206,14 +225,26 @@ def open_universe(observations: DataFrame) -> DataFrame:
     return observations.filter("family = 'country'").select("product_id", "family", "metric").distinct()
 
 
+def dense_snapshots(observations: DataFrame, themes: DataFrame) -> DataFrame:
+    """(product_id, family, effective_date, members): each snapshot with all members (metric, value) of its universe, missing ones as zero.
+
+    A universe is a closed one, or the countries that the product ever reported.  Everything below works on one dealing of the
+    rows by product and family; of a metric's several values in one snapshot the largest counts.
+    """
+    dealt = observations.select("product_id", "family", "metric", "effective_date", "value").repartition("product_id", "family")
+    one = dealt.groupBy("product_id", "family", "effective_date", "metric").agg(F.max("value").alias("value"))
+    snaps = one.groupBy("product_id", "family", "effective_date").agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("found"))
+    closed = closed_universe(themes).groupBy("family").agg(F.array_sort(F.collect_set("metric")).alias("closed"))
+    ever = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("found")).over(Window.partitionBy("product_id", "family")))))
+    universe = F.when(F.col("family") == "country", ever).otherwise(F.coalesce("closed", F.array().cast("array<string>")))
+    rows = snaps.join(F.broadcast(closed), "family", "left").withColumn("universe", universe)
+    members = F.transform("universe", lambda m: F.struct(m.alias("metric"), F.coalesce(F.try_element_at("found", m), F.lit(0.0)).alias("value")))
+    return rows.select("product_id", "family", "effective_date", members.alias("members"))
+
+
 def densify(observations: DataFrame, themes: DataFrame) -> DataFrame:
-    """(product_id, family, effective_date, metric, value): each snapshot with all members of its universe, missing ones as zero."""
-    snaps = snapshot_dates(observations)
-    closed = snaps.join(F.broadcast(closed_universe(themes)), "family")
-    opened = snaps.join(open_universe(observations), ["product_id", "family"])
-    key = ["product_id", "family", "metric", "effective_date"]
-    every = closed.select(*key).unionByName(opened.select(*key))
-    return every.join(observations.select(*key, "value"), key, "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    """(product_id, family, effective_date, metric, value): a row per member of dense_snapshots()."""
+    return dense_snapshots(observations, themes).select("product_id", "family", "effective_date", F.inline("members"))
 
 
 def monthly_fx(fx: DataFrame, target: str = "USD") -> DataFrame:
@@ -242,7 +273,9 @@ def scalar_stream(observations: DataFrame, fx: DataFrame) -> DataFrame:
     own = observations.filter(F.col("family").isin(*SCALAR_FAMILIES) & ~is_local_aum())
     own = own.select("product_id", feature_id(F.col("family"), F.col("metric")).alias("feature_id"), "effective_date", F.col("fetched_at").cast("timestamp").alias("fetched_at"), "value")
     usd = aum_to_usd(observations, fx).select("product_id", F.lit("profile_total_net_assets_usd").alias("feature_id"), "effective_date", F.col("effective_date").cast("timestamp").alias("fetched_at"), "value")
-    return latest_fetched(own.unionByName(usd), ["product_id", "feature_id", "effective_date"]).drop("fetched_at")
+    # one dealing by series serves the choice per date and the windows of the validity
+    both = own.unionByName(usd).repartition("product_id", "feature_id")
+    return latest_fetched(both, ["product_id", "feature_id", "effective_date"]).drop("fetched_at")
 
 
 def latest_fetched(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -256,23 +289,25 @@ def scalar_panel(observations: DataFrame, fx: DataFrame, bounds: DataFrame) -> D
 
 
 def default_zero_panel(observations: DataFrame, themes: DataFrame, bounds: DataFrame) -> DataFrame:
-    merged = merge_style(observations)
-    live = validity(snapshot_dates(merged), ["product_id", "family"])
-    dense = densify(merged, themes).join(live, ["product_id", "family", "effective_date"])
-    return on_spine(dense, bounds).select("product_id", "as_of_date", feature_id(F.col("family"), F.col("metric")).alias("feature_id"), "value")
+    """Snapshots are carried to the month ends first; their members are laid out last."""
+    live = validity(dense_snapshots(merge_style(observations), themes), ["product_id", "family"])
+    rows = on_spine(live, bounds).select("product_id", "as_of_date", "family", F.inline("members"))
+    return rows.select("product_id", "as_of_date", feature_id(F.col("family"), F.col("metric")).alias("feature_id"), "value")
 
 
 def survivors(observations: DataFrame, themes: DataFrame) -> DataFrame:
     """Observations without outliers, themes rolled up, rare metrics pruned."""
-    clean = stage(without_outliers(observations, stage(outliers(observations))))
+    clean = flag_outliers(observations).filter("NOT is_outlier").drop("is_outlier")
     return prune(stage(roll_up_themes(clean, themes)))[0]
 
 
 def build_panel(observations: DataFrame, prices: DataFrame, themes: DataFrame, fx: DataFrame, check: bool = True) -> DataFrame:
-    """(product_id, as_of_date, feature_id, value) for every product with prices and observations."""
-    observations = stage(observations)  # read by the outlier test, the roll-up and the bounds
+    """(product_id, as_of_date, feature_id, value) for every product with prices and observations.
+
+    observations should be a stored table: the outlier test, the roll-up and the bounds read it.
+    """
     if check:
         check_parent_themes(observations, themes)
     bounds = stage(trading_bounds(prices, observations))
-    kept = stage(survivors(observations, themes))  # read by five branches
+    kept = survivors(observations, themes)  # a filter of one stored table
     return default_zero_panel(kept, themes, bounds).unionByName(scalar_panel(kept, fx, bounds))
