@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.parsers import blank_to_null
-from .keyed import upsert_last
+from .keyed import priority_merge, upsert_last
+
+#: Order of JSON values of different kinds.
+KINDS = (type(None), bool, int, float, str, list, dict)
 
 
 def normalise_listing(raw: DataFrame, renames: dict[str, str], key: str = "conid") -> DataFrame:
@@ -36,7 +42,9 @@ def target_products(products: DataFrame, blocked: Sequence[str]) -> DataFrame:
 
 
 def target_currencies(contracts: DataFrame, base: str = "USD") -> DataFrame:
-    """Currencies other than the base of contracts with a known kind that isn't cash."""
+    """Currencies other than the base of contracts with a known kind that isn't cash; raises on an empty table."""
+    if contracts.isEmpty():
+        raise ValueError("there are no contracts")
     return contracts.filter(F.col("currency").isNotNull() & (F.col("currency") != base) & (F.col("sec_type") != "CASH")).select("currency").distinct().orderBy("currency")
 
 
@@ -57,6 +65,44 @@ def content_hash(payload: Column) -> Column:
     return F.sha2(F.to_json(payload), 256)
 
 
+@F.pandas_udf(StringType())
+def canonical_json(payload: pd.Series) -> pd.Series:
+    """A JSON text with sorted keys and sorted list elements at every level, by kind and then by their text; null where it can't be read."""
+
+    def canonical(x: object) -> object:
+        if isinstance(x, dict):
+            return {k: canonical(x[k]) for k in sorted(x)}
+        if isinstance(x, list):
+            return sorted(map(canonical, x), key=lambda y: (KINDS.index(type(y)), text(y)))
+        return x
+
+    def text(x: object) -> str:
+        return json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+
+    def one(raw: str | None) -> str | None:
+        try:
+            return None if raw is None else text(canonical(json.loads(raw)))
+        except ValueError:
+            return None
+
+    return payload.map(one)
+
+
+def canonical_hash(payload: Column) -> Column:
+    """A digest of a JSON text that depends neither on the order of keys nor on that of list elements, at any level."""
+    return F.sha2(canonical_json(payload), 256)
+
+
+def table_freshness(rows: DataFrame, now: Column, hours: int) -> DataFrame:
+    """One row (last_checked_at, fresh): when the whole table was last checked, and whether within the hours before now."""
+    return rows.agg(F.max("last_checked_at").alias("last_checked_at")).withColumn("fresh", fresh(F.col("last_checked_at"), now, hours))
+
+
+def stamp(rows: DataFrame, now: Column) -> DataFrame:
+    """All rows marked as checked now."""
+    return rows.withColumn("last_checked_at", now)
+
+
 def ordered(items: Column) -> Column:
     """A list of records in an order of its own, for content_hash()."""
     return F.array_sort(F.transform(items, lambda x: F.to_json(x)))
@@ -117,7 +163,13 @@ def keep_last_good(new: DataFrame, stored: DataFrame) -> DataFrame:
     return stored if new.isEmpty() else new
 
 
+def append_pending(stored: DataFrame, fetched: DataFrame, key: Sequence[str] = ("indicator_code", "country_code", "year")) -> DataFrame:
+    """Stored rows and fetched ones, one per key: a stored row counts before a fetched one, among equals the least by all columns."""
+    return priority_merge([stored, fetched.select(*stored.columns)], list(key))
+
+
 def pending_codes(catalog: DataFrame, seen: DataFrame, code: str = "code") -> DataFrame:
+    """The catalog's rows whose code isn't among those seen."""
     return catalog.join(seen.select(code).distinct(), code, "left_anti")
 
 

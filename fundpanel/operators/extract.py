@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -22,12 +22,11 @@ from .keyed import upsert_newer
 COLUMNS = ("snapshot_id", "product_id", "family", "metric", "code", "effective_date", "date_source_depth", "fetched_at", "value", "raw_value", "ordinal", "error")
 _ITEM = "array<struct<name:string,weight:string,formatted_weight:string,country_code:string>>"
 _TAG = "array<struct<name:string,name_tag:string,value:string,value_fmt:string>>"
-_ESG = "struct<name:string,value:string"
 SCHEMAS = {
     "holdings": f"as_of_date string, top_10_weight string, allocation_self {_ITEM}, investor_country {_ITEM}, industry {_ITEM}, debtor {_ITEM}, maturity {_ITEM}",
     "ratios": f"as_of_date string, ratios {_TAG}, financials {_TAG}, fixed_income {_TAG}, dividend {_TAG}, zscore {_TAG}",
     "profile": "expenses_allocation array<struct<name:string,value:string,ratio:string>>, fund_and_profile array<struct<name:string,name_tag:string,value:string>>, reports array<struct<name:string,as_of_date:string,fields:array<struct<name:string,value:string>>>>, mstar struct<x_axis_tag:array<string>,y_axis_tag:array<string>,x_axis:array<string>,y_axis:array<string>,selected:array<array<int>>,hist:array<array<int>>>",
-    "esg": f"asOfDate string, coverage string, content array<{_ESG},children:array<{_ESG},children:array<{_ESG},children:array<{_ESG}>>>>>>>>",
+    "esg": "asOfDate string, coverage string",
     "mstar": "as_of_date string, summary array<struct<id:string,value:string,publish_date:string>>",
     "lipper": "universes array<struct<name:string,as_of_date:string," + ",".join(f"`{h}`:array<struct<name_tag:string,rating:struct<name:string,value:string>>>" for h in vocab.LIPPER_HORIZONS) + ">>",
     "theme_weights": "coverage string, themes array<struct<key:string,name:string,weight:string,rank_adjusted_weight:string>>",
@@ -168,21 +167,29 @@ def profile(snapshots: DataFrame, known: Column | None = None) -> DataFrame:
 
 
 def esg(snapshots: DataFrame) -> DataFrame:
-    """The coverage and every node of the score tree, four levels deep."""
+    """The coverage and every node of the score tree at any depth, parents before their children: one stored step per level."""
     df = parsed(snapshots, "esg")
     scope = _scope(F.col("j.asOfDate"), 1)
     cover = _rows(df, "profile", "esg_coverage", F.col("j.coverage").try_cast("double"), F.col("j.coverage"), scope)
-    flat = lambda nodes: F.transform(nodes, lambda n: F.struct(n["name"].alias("name"), n["value"].alias("value")))
-    levels = [F.col("j.content")]
-    none = F.array().cast("array<struct<name:string,value:string>>")
-    for _ in range(3):
-        levels.append(F.flatten(F.filter(F.transform(levels[-1], lambda n: n["children"]), lambda c: c.isNotNull())))
-    every = F.concat(*(F.coalesce(flat(level), none) for level in levels))
-    rows = df.select("*", F.posexplode(every).alias("i", "x")).filter("x.name <> '' AND x.value IS NOT NULL")
-    metric = p.snake_case(F.col("x.name"))
-    value = F.col("x.value").try_cast("double")
-    error = F.coalesce(_error(~metric.isin(*vocab.ESG_METRICS), "unknown esg ", metric), _error(value.isNull(), "bad number ", F.col("x.value")))
-    return cover.unionByName(_rows(rows, "esg", metric, value, F.col("x.value"), scope, ordinal=F.col("i") + 1, error=error))
+    held = ["snapshot_id", "product_id", "created_at", "j", "day"]
+
+    def level(rows: DataFrame, nodes: str, path: Column) -> DataFrame:
+        """The nodes of a variant array below each row, by their place in the tree."""
+        each = rows.withColumn("nodes", F.expr(f"try_variant_get({nodes}, 'array<variant>')")).select(*held, path.alias("above"), F.posexplode("nodes").alias("i", "node"))
+        return each.select(*held, F.concat("above", F.array("i")).alias("path"), "node")
+
+    step = stage(level(df.withColumn("v", F.expr("try_parse_json(payload)")), "v, '$.content'", F.array().cast("array<int>")))
+    levels = [step]
+    while not step.isEmpty():
+        step = stage(level(step.withColumn("v", F.col("node")), "v, '$.children'", F.col("path")))
+        levels.append(step)
+    nodes = reduce(DataFrame.unionByName, levels)
+    nodes = nodes.withColumns({"name": F.expr("try_variant_get(node, '$.name', 'string')"), "value": F.expr("try_variant_get(node, '$.value', 'string')")})
+    rows = nodes.withColumn("i", F.row_number().over(Window.partitionBy("snapshot_id").orderBy("path"))).filter("name <> '' AND value IS NOT NULL")
+    metric = p.snake_case(F.col("name"))
+    value = F.col("value").try_cast("double")
+    error = F.coalesce(_error(~metric.isin(*vocab.ESG_METRICS), "unknown esg ", metric), _error(value.isNull(), "bad number ", F.col("value")))
+    return cover.unionByName(_rows(rows, "esg", metric, value, F.col("value"), scope, ordinal=F.col("i"), error=error))
 
 
 def mstar(snapshots: DataFrame) -> DataFrame:
@@ -241,6 +248,11 @@ def theme_weights(snapshots: DataFrame) -> DataFrame:
 EXTRACTORS: dict[str, Callable[..., DataFrame]] = {"holdings": holdings, "ratios": ratios, "profile": profile, "esg": esg, "mstar": mstar, "lipper": lipper, "theme_weights": theme_weights}
 
 
+def known_currencies(contracts: DataFrame) -> list[str]:
+    """The different currencies of the contracts: at most a few hundred codes."""
+    return sorted(r.currency for r in contracts.filter("currency IS NOT NULL").select("currency").distinct().collect())
+
+
 def pending(snapshots: DataFrame, processed: DataFrame) -> DataFrame:
     """Snapshots without a watermark."""
     return snapshots.join(processed.select("snapshot_id"), "snapshot_id", "left_anti")

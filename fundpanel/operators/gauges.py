@@ -201,3 +201,84 @@ def deviation(rows: DataFrame, published: DataFrame) -> DataFrame:
     """Per code: median and largest relative deviation from published values, share within 0.3."""
     both = rows.join(published.select("country_code", "indicator_code", "year", F.col("value").alias("ref")), ["country_code", "indicator_code", "year"]).withColumn("d", F.try_divide(F.abs(F.col("value") - F.col("ref")), F.abs("ref")))
     return both.groupBy("indicator_code").agg(F.percentile("d", F.lit(0.5)).alias("median"), F.max("d").alias("largest"), (F.count_if(F.col("d") <= 0.3) / F.count("d")).alias("within"))
+
+
+def registry(rows: DataFrame, alternatives: DataFrame, carried: DataFrame, inputs: DataFrame) -> DataFrame:
+    """Per code: source, countries, first and last year, and why it is kept.
+
+    stand_in if the tree names it as a proxy alone, wired if it names it otherwise, carried or derived_input if one of those lists
+    (code) has it, else no_consumer.  Of several sources the first in the alphabet is given.
+    """
+    in_tree = alternatives.groupBy("code").agg(F.bool_and(F.col("tier") == "proxy").alias("proxies"), F.array_join(F.array_sort(F.collect_set("leaf")), "; ").alias("leaves"))
+    found = rows.groupBy(F.col("indicator_code").alias("code")).agg(F.min("source").alias("source"), F.count_distinct("country_code").alias("n_countries"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    found = found.join(in_tree, "code", "left")
+    for name, codes in (("carried", carried), ("derived_input", inputs)):
+        found = found.join(codes.select("code", F.lit(True).alias(name)).distinct(), "code", "left")
+    status = F.when(F.col("proxies"), "stand_in").when(~F.col("proxies"), "wired").when(F.col("carried"), "carried").when(F.col("derived_input"), "derived_input").otherwise("no_consumer")
+    return found.select("code", "source", "n_countries", "first_year", "last_year", status.alias("status"), F.coalesce("leaves", F.lit("")).alias("leaves"))
+
+
+def alternative_coverage(alternatives: DataFrame, rows: DataFrame, weights: DataFrame) -> DataFrame:
+    """Per alternative: reporting countries, their weight (country_code, weight), and whether it is dead: no data, but no declared gap either."""
+    reporting = rows.select(F.col("indicator_code").alias("code"), "country_code").distinct().join(weights, "country_code", "left")
+    by = reporting.groupBy("code").agg(F.count("*").alias("countries"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weighted"))
+    out = alternatives.join(by, "code", "left").fillna(0, ["countries"]).fillna(0.0, ["weighted"])
+    return out.select("leaf", "name", "idx", "code", "tier", "countries", "weighted", ((F.col("countries") == 0) & (F.col("tier") != "gap")).alias("dead"))
+
+
+def weight_shares(nodes: DataFrame, components: DataFrame, alternatives: DataFrame, rows: DataFrame) -> DataFrame:
+    """(gauge, by, value, share): the share of each gauge's nominal weight by the state and by the tier of its components.
+
+    A gauge is a child of a root.  A component is live with the tier of its first alternative that has data; without one it is a
+    gap if its first alternative is declared so, else dead, and its tier is gap.
+    """
+    alive = rows.select(F.col("indicator_code").alias("code")).distinct().withColumn("alive", F.lit(True))
+    alts = alternatives.join(alive, "code", "left")
+    state = alts.groupBy("leaf", "name").agg(F.min_by("tier", F.when(F.col("alive"), F.col("idx"))).alias("tier"), F.bool_or(F.coalesce("alive", F.lit(False))).alias("live"), F.min_by("tier", "idx").alias("first_tier"))
+    state = state.select("leaf", "name", F.when(F.col("live"), "live").when(F.col("first_tier") == "gap", "gap").otherwise("dead").alias("state"), F.when(F.col("live"), F.col("tier")).otherwise("gap").alias("tier"))
+    top = nodes.filter("parent IS NULL").select(F.col("path").alias("parent"))
+    gauge = nodes.join(top, "parent").select(F.col("path").alias("gauge"), "path")
+    step = gauge
+    for _ in range(DEEPEST):
+        step = nodes.select("path", "parent").join(step.select("gauge", F.col("path").alias("parent")), "parent").select("gauge", "path")
+        if step.isEmpty():
+            break
+        gauge = gauge.unionByName(step)
+    each = components.join(effective_weights(nodes).select(F.col("path").alias("leaf"), "effective"), "leaf").join(gauge.withColumnRenamed("path", "leaf"), "leaf").join(state, ["leaf", "name"], "left")
+    each = each.withColumn("w", F.col("effective") * F.col("weight"))
+    both = each.select("gauge", "w", F.explode(F.array(F.struct(F.lit("state").alias("by"), F.coalesce("state", F.lit("dead")).alias("value")), F.struct(F.lit("tier").alias("by"), F.coalesce("tier", F.lit("gap")).alias("value")))).alias("x"))
+    sums = both.groupBy("gauge", "x.by", "x.value").agg(F.sum("w").alias("w"))
+    return sums.select("gauge", "by", "value", (F.col("w") / F.sum("w").over(Window.partitionBy("gauge", "by"))).alias("share"))
+
+
+def direction_map(alternatives: DataFrame, ambiguous: str, costs: str = "GDP") -> DataFrame:
+    """(code, leaf, direction, tier, ambiguous): a code's sign in each leaf, the first alternative's by name and idx.
+
+    ambiguous is a pattern of codes whose sign deserves a second look; so does that of a cost measured by `costs`.
+    """
+    doubt = F.col("code").rlike(ambiguous) | (F.contains(F.col("name"), F.lit("cost")) & F.contains(F.col("code"), F.lit(costs)))
+    best = F.min(F.struct("name", "idx", "direction", "tier", doubt.alias("ambiguous"))).alias("x")
+    return alternatives.groupBy("code", "leaf").agg(best).select("code", "leaf", "x.direction", "x.tier", "x.ambiguous")
+
+
+def proxy_candidates(alternatives: DataFrame, scored: DataFrame, rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """(leaf, name, code, added, added_targets): the country-years that a component lacks and its proxy alternatives have.
+
+    scored: the whole grid (leaf, name, year, country_code, score), score null where the component has none; targets: (country_code).
+    """
+    proxies = alternatives.filter("tier = 'proxy' AND idx > 0").select("leaf", "name", "code")
+    lacking = scored.filter("score IS NULL").select("leaf", "name", "year", "country_code")
+    have = rows.select(F.col("indicator_code").alias("code"), "year", "country_code").distinct()
+    alive = proxies.join(have.select("code").distinct(), "code", "left_semi")
+    added = lacking.join(alive, ["leaf", "name"]).join(have, ["code", "year", "country_code"], "left_semi").join(targets.select("country_code", F.lit(1).alias("target")).distinct(), "country_code", "left")
+    counts = added.groupBy("leaf", "name", "code").agg(F.count("*").alias("added"), F.count("target").alias("added_targets"))
+    return alive.join(counts, ["leaf", "name", "code"], "left").fillna(0, ["added", "added_targets"])
+
+
+def published_agreement(scores: DataFrame, published: DataFrame, path: str, year: int, present: float = 0.6, least: int = 10) -> DataFrame:
+    """(which, n, rho): rank agreement of a node's scores with published ones (country_code, score), over all common countries and over those with enough weight present; rho is null below `least`."""
+    mine = scores.filter((F.col("path") == path) & (F.col("year") == year) & F.col("score").isNotNull()).select("country_code", "score", "weight_present")
+    both = mine.join(published.select("country_code", F.col("score").alias("ref")).filter("ref IS NOT NULL"), "country_code")
+    each = both.select(F.explode(F.filter(F.array(F.struct(F.lit("all").alias("which"), F.lit(True).alias("ok")), F.struct(F.lit("present").alias("which"), (F.col("weight_present") >= present).alias("ok"))), lambda x: x["ok"])).alias("x"), "score", "ref").select("x.which", "score", "ref")
+    each = each.withColumn("ra", rank_within(each, ["which"], "score")).withColumn("rb", rank_within(each, ["which"], "ref"))
+    return each.groupBy("which").agg(F.count("*").alias("n"), F.when(F.count("*") >= least, F.corr("ra", "rb")).alias("rho"))

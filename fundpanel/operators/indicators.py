@@ -243,13 +243,65 @@ def weighted_coverage(rows: DataFrame, weights: DataFrame) -> DataFrame:
     return rows.select("indicator_code", "country_code").distinct().join(F.broadcast(weights), "country_code").groupBy("indicator_code").agg(F.sum("weight").alias("weighted_coverage"))
 
 
-def fence_sweep(table: DataFrame, columns: Sequence[str], zs: Sequence[float]) -> DataFrame:
-    """For each z how many rows are below no column's median less z interquartile ranges."""
-    q = table.agg(*(F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{c}") for c in columns))
-    grid = table.sparkSession.createDataFrame([(float(z),) for z in zs], "z double")
-    rows = table.join(F.broadcast(q), how="cross").join(F.broadcast(grid), how="cross")
-    fails = reduce(Column.__or__, (F.col(c) < F.col(f"q_{c}")[1] - F.col("z") * (F.col(f"q_{c}")[2] - F.col(f"q_{c}")[0]) for c in columns))
-    return rows.groupBy("z").agg(F.count_if(~F.coalesce(fails, F.lit(False))).alias("kept"), F.count_if(fails).alias("failed"))
+def fence_sweep(table: DataFrame, columns: Sequence[str], zs: Sequence[float], variety: str | None = None) -> DataFrame:
+    """For each z how many rows are below no column's median less z interquartile ranges, their least values (least_*), and how many different values of `variety` they have (n_different).
+
+    One pass gives the quantiles, one more all counts.
+    """
+    q = table.agg(*(F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in columns)).first()
+    parts = []
+    for z in zs:
+        below = [F.col(c) < q[c][1] - z * (q[c][2] - q[c][0]) for c in columns if q[c] is not None]
+        fails = F.coalesce(reduce(Column.__or__, below), F.lit(False)) if below else F.lit(False)
+        least = [F.min(F.when(~fails, F.col(c))).alias(f"least_{c}") for c in columns]
+        parts.append(F.struct(F.lit(float(z)).alias("z"), F.count_if(~fails).alias("kept"), F.count_if(fails).alias("failed"), *least, *([F.count_distinct(F.when(~fails, F.col(variety))).alias("n_different")] if variety else [])))
+    return table.agg(F.array(*parts).alias("x")).select(F.inline("x"))
+
+
+def five_row_difference(rows: DataFrame, first: str, fallback: Sequence[str], name: str, lag: int = 5) -> DataFrame:
+    """A code's value, or where it has none the sum of the fallback codes, less the same `lag` rows earlier on the grid of years that any of them has."""
+    level = _code(rows, first, "a")
+    parts = [_code(rows, code, f"b{i}") for i, code in enumerate(fallback)]
+    other = reduce(lambda x, y: x.join(y, ["country_code", "year"]), parts)
+    both = level.join(other, ["country_code", "year"], "full_outer")
+    both = both.select("country_code", "year", F.coalesce("a", reduce(Column.__add__, (F.col(f"b{i}") for i in range(len(parts))))).alias("value"))
+    grid = both.select("year").distinct().withColumn("i", F.row_number().over(Window.orderBy("year")))  # a row per year
+    now = both.join(grid, "year")
+    before = now.select("country_code", (F.col("i") + lag).alias("i"), F.col("value").alias("old"))
+    return _named(now.join(before, ["country_code", "i"]).select("country_code", "year", (F.col("value") - F.col("old")).alias("value")), name).filter("value IS NOT NULL")
+
+
+def net_exports(rows: DataFrame, categories: dict[str, tuple[str, str]], exports: str, imports: str, gdp: str) -> DataFrame:
+    """Per category (its codes of export and import shares in percent): exports less imports, in percent of GDP."""
+    return derive(rows, {name: f"(`{x}` / 100 * `{exports}` - `{m}` / 100 * `{imports}`) / `{gdp}` * 100" for name, (x, m) in categories.items()}).filter("value IS NOT NULL")
+
+
+def vetting_gates(diagnostics: DataFrame, limits: dict[str, float]) -> DataFrame:
+    """diagnostics with a column per gate, and level_ok and change_ok.
+
+    limits: coverage, recent_coverage, n_distinct, modal_share, zero_share, recent_fill, recent_per_country, fill and per_country; the shares are
+    upper limits, all others lower ones.  The level tier needs coverage, recent and varied; the change tier needs all gates.
+    """
+    c = F.col
+    gates = {
+        "g_coverage": c("coverage") >= limits["coverage"],
+        "g_recent": c("recent_coverage") >= limits["recent_coverage"],
+        "g_varied": (c("n_distinct") >= limits["n_distinct"]) & (c("modal_share") <= limits["modal_share"]) & (c("zero_share") <= limits["zero_share"]) & (c("spread") > 0),
+        "g_recent_fill": c("recent_fill") >= limits["recent_fill"],
+        "g_recent_per_country": c("recent_per_country") >= limits["recent_per_country"],
+        "g_fill": c("fill") >= limits["fill"],
+        "g_per_country": c("per_country") >= limits["per_country"],
+        "g_moves": c("within") > 0,
+    }
+    rows = diagnostics.withColumns({name: F.coalesce(test, F.lit(False)) for name, test in gates.items()})
+    names = list(gates)
+    return rows.withColumns({"level_ok": reduce(Column.__and__, map(c, names[:3])), "change_ok": reduce(Column.__and__, map(c, names))})
+
+
+def scale_dependent(label: Column) -> Column:
+    """Whether a label names money at current or constant prices, and no ratio or per-head figure."""
+    money, ratio = r"(?i)\((?:current|constant)[^)]*\)", r"(?i)per capita|% of|per \d"
+    return label.rlike(money) & ~label.rlike(ratio)
 
 
 def rank_within(rows: DataFrame, by: Sequence[str], value: str = "value") -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsers import snake_case
 from ..sources.staging import stage
+from ..sources.tables import clear, rebuild
 from ..vocab import CLOSED_UNIVERSE, DEFAULT_ZERO_FAMILIES, SCALAR_FAMILIES
 
 #: Families whose continuous metrics are tested for outliers.
@@ -311,3 +312,12 @@ def build_panel(observations: DataFrame, prices: DataFrame, themes: DataFrame, f
     bounds = stage(trading_bounds(prices, observations))
     kept = survivors(observations, themes)  # a filter of one stored table
     return default_zero_panel(kept, themes, bounds).unionByName(scalar_panel(kept, fx, bounds))
+
+
+def refresh_panel(observations: DataFrame, prices: DataFrame, themes: DataFrame, fx: DataFrame, root: str) -> None:
+    """Builds and stores the panel; without observations, or without a product that has both prices and observations, an empty one."""
+    spark = observations.sparkSession
+    if observations.isEmpty() or trading_bounds(prices, observations).isEmpty():
+        clear(spark, root, "monthly_panel")
+    else:
+        rebuild(build_panel(observations, prices, themes, fx), root, "monthly_panel")

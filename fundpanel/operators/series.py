@@ -30,16 +30,34 @@ class SeriesSpec:
     ratio_spread: float = 1e-3
 
 
+#: Prices of a product, and rates between two currencies (no splits; a two-column entity).
+PRICES = SeriesSpec(entity=("product_id",))
+RATES = SeriesSpec(entity=("source_currency", "target_currency"), splits=False)
+#: Currencies that are priced as another one.
+PRICED_AS = {"CNH": "CNY"}
+
+
+def priced_currency(currency: Column) -> Column:
+    """The currency under which a rate is asked for."""
+    return F.coalesce(*(F.when(currency == a, b) for a, b in PRICED_AS.items()), currency)
+
+
+def normalise_rates(bars: DataFrame, source: Column, target: Column, max_date: Column | None = None) -> DataFrame:
+    """Bars of a currency pair: column names in lower case, whole dates in UTC, none without a finite close."""
+    rows = bars.select(*(F.col(f"`{c}`").alias(c.lower()) for c in bars.columns)).withColumns({"source_currency": source, "target_currency": target})
+    return normalise_bars(rows, RATES, max_date)
+
+
 def normalise_bars(bars: DataFrame, spec: SeriesSpec, max_date: Column | None = None) -> DataFrame:
-    """Bars with a whole date, none after max_date, none without a finite close; of one date the row last in `ordinal`."""
+    """Bars with a whole date, none after max_date, none without a finite close; of one date the row last in `ordinal`, without it or among equals the greatest by all columns."""
     day = F.coalesce(F.try_to_timestamp(F.col("date").cast("string"), F.lit("yyyyMMdd")), F.try_to_timestamp(F.substring(F.col("date").cast("string"), 1, 10), F.lit("yyyy-MM-dd"))).cast("date")
     rows = bars.withColumn("date", day).filter(F.col("date").isNotNull() & F.col(spec.close).isNotNull() & ~F.isnan(spec.close))
     if max_date is not None:
         rows = rows.filter(F.col("date") <= max_date)
     if "ordinal" not in rows.columns:
-        return rows.dropDuplicates([*spec.entity, "date"])
+        rows = rows.withColumn("ordinal", F.lit(0))
     rest = [c for c in rows.columns if c not in (*spec.entity, "date")]
-    return rows.groupBy(*spec.entity, "date").agg(F.max_by(F.struct(*rest), "ordinal").alias("r")).select(*spec.entity, "date", "r.*").drop("ordinal")
+    return rows.groupBy(*spec.entity, "date").agg(F.max_by(F.struct(*rest), F.struct("ordinal", *[c for c in rest if c != "ordinal"])).alias("r")).select(*spec.entity, "date", "r.*").drop("ordinal")
 
 
 def extent(rows: DataFrame, spec: SeriesSpec) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where the session has none (local runs)."""
+    """spark.checkpoint.dir; where it is unset, a local session gets a temporary folder, and a cluster an error: executors wouldn't see one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="fundpanel-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

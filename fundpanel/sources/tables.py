@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,22 @@ SCHEMAS = {
 }
 
 
+def _pointer(spark: SparkSession, root: str, name: str):
+    """The Hadoop path of a table's pointer, its file context, and the jvm."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.current")
+    return path, jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+
+def current(spark: SparkSession, root: str, name: str) -> str:
+    """Where a table is: the version that its pointer names, else {name}.parquet."""
+    path, files, _ = _pointer(spark, root, name)
+    return spark.read.text(path.toString()).first().value if files.util().exists(path) else f"{root}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A stored table by its fixed schema."""
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(current(spark, root, name))
 
 
 def read_delimited(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -42,18 +57,36 @@ def with_json(rows: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def rebuild(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> None:
-    """Replaces a table: written beside the old one, then swapped in, so a failed write leaves the old table."""
+    """Replaces a table: a new version is written beside the old one, then the pointer is swapped by one atomic rename.
+
+    A crash at any time leaves the old version or the new one as the table; versions that no pointer names go afterwards.
+    """
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(f"{root}/{name}{s}") for s in (".parquet", ".new", ".old"))
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(fresh.toString())
-    fs.delete(old, True)
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(fresh, target)
-    fs.delete(old, True)
+    path, files, jvm = _pointer(spark, root, name)
+    old, version = current(spark, root, name), f"{root}/{name}.versions/{uuid.uuid4().hex}"
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(version)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.current.{uuid.uuid4().hex[:8]}")
+    fs = fresh.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(fresh)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fresh, path, overwrite)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+
+
+def clear(spark: SparkSession, root: str, *names: str) -> None:
+    """Rebuilds tables without rows."""
+    for name in names:
+        rebuild(spark.createDataFrame([], SCHEMAS[name]), root, name)
+
+
+def reset_extraction(spark: SparkSession, root: str) -> None:
+    """Forgets all that was extracted: the panel, then the watermarks, then the observations."""
+    clear(spark, root, "monthly_panel", "processed_snapshots", "observations")
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,9 +170,61 @@ def test_streams_equal_batches(spark, tmp_path):
 
 
 def test_rebuild(spark, tmp_path):
+    root = str(tmp_path)
+    tables.clear(spark, root, "monthly_panel")
+    assert tables.read_table(spark, root, "monthly_panel").count() == 0
     for n in (3, 5):
-        tables.rebuild(spark.range(n), str(tmp_path), "t")
-    assert spark.read.parquet(f"{tmp_path}/t.parquet").count() == 5
+        rows = spark.range(n).select(F.col("id").alias("product_id"), F.lit("2024-01-31").cast("date").alias("as_of_date"), F.lit("f").alias("feature_id"), F.lit(1.0).alias("value"))
+        tables.rebuild(rows, root, "monthly_panel")
+        assert tables.read_table(spark, root, "monthly_panel").count() == n
+    with pytest.raises(Exception, match="boom"):
+        tables.rebuild(rows.withColumn("value", F.raise_error(F.lit("boom")).cast("double")), root, "monthly_panel")
+    assert tables.read_table(spark, root, "monthly_panel").count() == 5
+    tables.reset_extraction(spark, root)
+    assert [tables.read_table(spark, root, t).count() for t in ("monthly_panel", "processed_snapshots", "observations")] == [0, 0, 0]
+
+
+def test_panel_without_input_is_empty(spark, tmp_path):
+    from fundpanel.operators import panel
+
+    root = str(tmp_path)
+    empty = {t: spark.createDataFrame([], tables.SCHEMAS[t]) for t in ("observations", "prices", "themes", "fx")}
+    tables.rebuild(spark.createDataFrame([(1, None, "f", 1.0)], tables.SCHEMAS["monthly_panel"]), root, "monthly_panel")
+    panel.refresh_panel(empty["observations"], empty["prices"], empty["themes"], empty["fx"], root)
+    assert tables.read_table(spark, root, "monthly_panel").count() == 0
+    one = spark.createDataFrame([(1, "ratios", "pe", None, dt.date(2024, 1, 31), 1, dt.datetime(2024, 2, 1), 2.0, None)], tables.SCHEMAS["observations"])
+    other = spark.createDataFrame([(2, dt.date(2024, 1, 31), *[1.0] * 6, 1, None)], tables.SCHEMAS["prices"])
+    panel.refresh_panel(one, other, empty["themes"], empty["fx"], root)
+    assert tables.read_table(spark, root, "monthly_panel").count() == 0
+    panel.refresh_panel(one, other.withColumn("product_id", F.lit(1).cast("long")), empty["themes"], empty["fx"], root)
+    assert [(r.product_id, r.feature_id, r.value) for r in tables.read_table(spark, root, "monthly_panel").collect()] in ([], [(1, "ratios_pe", 2.0)])
+
+
+def test_tree_of_any_depth(spark):
+    node = {"name": "TRESGCGVSS", "value": "1"}
+    for name in ("TRESGCGSRS", "TRESGCGBDS", "TRESGCGS", "TRESGSOPRS", "TRESGS"):
+        node = {"name": name, "value": "2", "children": [node]}
+    payload = json.dumps({"asOfDate": "20240131", "coverage": 0.5, "content": [node]})
+    got = extract.esg(_snapshots(spark, [payload])).filter("family = 'esg'").orderBy("ordinal").collect()
+    assert [r.metric for r in got] == ["tresgs", "tresgsoprs", "tresgcgs", "tresgcgbds", "tresgcgsrs", "tresgcgvss"] and all(r.error is None for r in got)
+
+
+def test_canonical_json(spark):
+    from fundpanel.operators import capture
+
+    texts = ['{"b": [3, 1, {"y": 1, "x": [2, "a", null]}], "a": 1}', '{"a": 1, "b": [{"x": ["a", null, 2], "y": 1}, 1, 3]}', '{"a": 1, "b": [3, 1]}', "no json", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", capture.canonical_hash(F.col("t")).alias("h")).orderBy("i").collect()
+    assert got[0].h == got[1].h != got[2].h and got[3].h is None and got[4].h is None
+
+
+def test_currency_bars(spark):
+    from fundpanel.operators import series
+
+    bars = spark.createDataFrame([("20240102", 1.5, "x"), ("2024-01-03T00:00:00Z", float("nan"), "x"), ("2024-01-04", 1.7, "x"), ("2024-01-04", 1.8, "x"), ("bad", 1.0, "x")], "Date string, Close double, Note string")
+    got = series.normalise_rates(bars, F.lit("CNH"), F.lit("USD")).orderBy("date").collect()
+    assert [(r.source_currency, str(r.date), r.close) for r in got] == [("CNH", "2024-01-02", 1.5), ("CNH", "2024-01-04", 1.8)]
+    assert [r.c for r in spark.createDataFrame([("CNH",), ("EUR",)], "c string").select(series.priced_currency(F.col("c")).alias("c")).collect()] == ["CNY", "EUR"]
+
 
 
 def test_views_read_all_of_lineitem(spark, tmp_path):
