@@ -161,7 +161,7 @@ def source_ledger(alternatives: DataFrame, rows: DataFrame) -> DataFrame:
     alive = rows.select(F.col("indicator_code").alias("code")).distinct().withColumn("alive", F.lit(True))
     order = F.create_map(*[F.lit(x) for pair in {"exact": 0, "substitute": 1, "proxy": 2}.items() for x in pair])
     best = F.min(F.when(F.col("alive"), order[F.col("tier")]))
-    return alternatives.join(alive, "code", "left").groupBy("leaf", "name").agg(F.coalesce(F.element_at(F.array(*map(F.lit, ("live", "substitute", "proxy"))), best + 1), F.lit("gap")).alias("status"), F.count_if(F.col("alive").isNull()).alias("n_dead"))
+    return alternatives.join(alive, "code", "left").groupBy("leaf", "name").agg(F.when(best == 0, "live").when(best == 1, "substitute").when(best == 2, "proxy").otherwise("gap").alias("status"), F.count_if(F.col("alive").isNull()).alias("n_dead"))
 
 
 def series_health(rows: DataFrame, n_countries: int, least: int = 30) -> DataFrame:

@@ -56,8 +56,15 @@ FROM {orders} GROUP BY 1, 2, 3""",
     "indicators": """SELECT n_name AS country_code, split_part(o_orderpriority, '-', 2) AS indicator_code, y AS year, CAST(cents AS DOUBLE) / 100 AS value, y >= 2001 AS is_projection
 FROM (SELECT n_name, o_orderpriority, CAST(year(o_orderdate) AS INT) AS y, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey GROUP BY 1, 2, 3) x""",
+    "tree_nodes": """SELECT 'world' AS path, nullif('', '') AS parent, CAST(1 AS DOUBLE) AS weight, CAST(0 AS DOUBLE) AS size_share, nullif('', '') AS reference FROM (SELECT count(*) AS n FROM {region}) x
+UNION ALL SELECT concat('r', CAST(r_regionkey AS {text})), 'world', CAST(1 AS DOUBLE) / count(*) OVER (), CAST(0 AS DOUBLE), nullif('', '') FROM {region}
+UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), concat('r', CAST(n_regionkey AS {text})), CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY n_regionkey), CASE WHEN n_nationkey % 2 = 0 THEN CAST(0.4 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END, nullif('', '') FROM (SELECT n_nationkey, n_regionkey, 1 + count(c_custkey) AS n FROM {nation} LEFT JOIN {customer} ON c_nationkey = n_nationkey GROUP BY 1, 2) y""",
+    "tree_components": """SELECT concat('n', CAST(n_nationkey AS {text})) AS leaf, 'u' AS name, 'size' AS kind FROM {nation} WHERE n_nationkey % 2 = 0
+UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), 'h', 'intensity' FROM {nation} UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), 'm', 'intensity' FROM {nation}""",
+    "tree_alternatives": """SELECT leaf, name, 0 AS idx, CASE WHEN name = 'u' THEN 'URGENT' WHEN name = 'h' THEN 'NOWHERE' ELSE 'MEDIUM' END AS code, CASE WHEN leaf = 'n9' AND name = 'h' THEN 'gap' ELSE 'exact' END AS tier, CASE WHEN name = 'm' THEN -1 ELSE 1 END AS direction FROM {tree_components}
+UNION ALL SELECT leaf, name, 1, CASE WHEN name = 'm' THEN 'LOW' ELSE 'HIGH' END, CASE WHEN name = 'm' THEN 'proxy' ELSE 'substitute' END, 1 FROM {tree_components} WHERE name <> 'u' AND leaf <> 'n9' AND leaf <> 'n11'""",
     "numbers_text": """SELECT l_orderkey, l_linenumber,
-  concat(CASE l_linenumber % 4 WHEN 0 THEN '$' WHEN 1 THEN 'EUR ' WHEN 2 THEN '€' ELSE '' END, CAST(CAST(l_extendedprice AS BIGINT) AS {text}), '.', CAST(CAST(l_quantity AS BIGINT) AS {text}), CASE l_orderkey % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'K' WHEN 2 THEN 'B' ELSE '' END,
+  concat(CASE l_linenumber % 4 WHEN 0 THEN '$' WHEN 1 THEN 'EUR ' WHEN 2 THEN '€' ELSE '' END, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS {text}), '.', CAST(CAST(l_quantity AS BIGINT) AS {text}), CASE l_orderkey % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'K' WHEN 2 THEN 'B' ELSE '' END,
     CASE WHEN l_orderkey % 3 = 0 THEN concat(' (', CAST({date} AS {text}), ')') ELSE '' END) AS amount,
   concat(CASE WHEN l_orderkey % 5 = 0 THEN '<' ELSE '' END, CASE WHEN l_orderkey % 17 = 0 THEN 'n/a' WHEN l_orderkey % 23 = 0 THEN 'bad' ELSE concat(CAST(CAST(l_quantity AS BIGINT) AS {text}), '%') END) AS pct,
   CASE l_linenumber % 4 WHEN 0 THEN CAST({date} AS {text}) WHEN 1 THEN replace(CAST({date} AS {text}), '-', '/') WHEN 2 THEN replace(CAST({date} AS {text}), '-', '') ELSE 'n.a.' END AS day,

@@ -133,7 +133,7 @@ def extract_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs, themes = view(spark, sf_dir, "observations"), view(spark, sf_dir, "themes")
-    checks = [audit.duplicate_keys(obs, extract.KEY), audit.causality(obs.filter("family = 'ratios'")), audit.finite_values(obs), audit.known_themes(obs, themes)]
+    checks = [audit.duplicate_keys(obs, extract.KEY), audit.causality(obs), audit.finite_values(obs), audit.known_themes(obs, themes)]
     return audit.verdict(checks)
 
 
@@ -189,7 +189,14 @@ _PLAN = f"WITH {_BOTH}, {_CHANGE}, {_COUNTS.replace('{new}', _NEW)}, p AS (SELEC
 _AMOUNT = r"regexp_replace(regexp_replace(amount, '(\d{4}[-/]?\d{2}[-/]?\d{2}|\d{8})', ''), '[^0-9.,kKmMbBtT]', '', 'g')"
 
 QUERIES = {
-    "parse_text_columns": (parse_text_columns, None),
+    "parse_text_columns": (
+        parse_text_columns,
+        r"""SELECT DISTINCT l_orderkey, l_linenumber, round(CAST(regexp_extract(amount, '([0-9]+[.][0-9]+)', 1) AS DOUBLE) * CASE regexp_extract(amount, '[0-9]([KMB])', 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 ELSE 1 END, 2) AS assets,
+  round(CAST(nullif(regexp_extract(pct, '([0-9]+)%', 1), '') AS DOUBLE) / 100, 6) AS share, pct LIKE '%bad' OR pct = '<n/a' AS share_error,
+  CASE WHEN regexp_full_match(day, '[0-9]{8}') THEN CAST(try_strptime(day, '%Y%m%d') AS DATE) ELSE TRY_CAST(replace(day, '/', '-') AS DATE) END AS date, day = 'n.a.' AS date_error,
+  trim(regexp_replace(lower(replace(label, '&', 'and')), '[^a-z0-9]+', '_', 'g'), '_') AS slug, greatest(CAST(split_part(funds, ' ', 1) AS BIGINT), CAST(split_part(funds, ' ', 3) AS BIGINT)) AS peers,
+  CASE WHEN amount LIKE 'EUR%' THEN 'EUR' WHEN amount LIKE '€%' THEN NULL ELSE 'USD' END AS currency, round((ref - make_date(1980 + CAST(l_linenumber AS INTEGER), 1, 1)) / 365.25, 4) AS tenure FROM {numbers_text}""",
+    ),
     "series_extent": (series_extent, "SELECT product_id, max(date) AS last_date, count(*) AS n_bars FROM {prices} GROUP BY 1"),
     "series_verdict": (series_verdict, f"WITH {_BOTH} SELECT * FROM v"),
     "series_historical_change": (series_historical_change, f"WITH {_LAST}, {_CHANGE} SELECT * FROM h"),
@@ -248,7 +255,7 @@ SELECT count(*) AS pending, count(*) FILTER (landing OR NOT bad) AS watermarked,
     "audit_contract": (
         audit_contract,
         """WITH c AS (SELECT 'duplicate_keys' AS "check", count(*) AS failures, count(*) = 0 AS ok, false AS informational FROM (SELECT 1 FROM {observations} GROUP BY product_id, family, metric, effective_date HAVING count(*) > 1)
-UNION ALL SELECT 'causality', count(*) FILTER (effective_date > CAST(fetched_at AS DATE)), count(*) FILTER (effective_date > CAST(fetched_at AS DATE)) = 0, false FROM {observations} WHERE family = 'ratios'
+UNION ALL SELECT 'causality', count(*) FILTER (effective_date > CAST(fetched_at AS DATE)), count(*) FILTER (effective_date > CAST(fetched_at AS DATE)) = 0, false FROM {observations}
 UNION ALL SELECT 'finite_values', count(*) FILTER (value IS NULL OR isnan(value) OR isinf(value)), count(*) FILTER (value IS NULL OR isnan(value) OR isinf(value)) = 0, false FROM {observations}
 UNION ALL SELECT 'unknown_themes', count(*), true, true FROM (SELECT DISTINCT code FROM {observations} WHERE family IN ('theme', 'rank_adj_theme') AND code IS NOT NULL AND code NOT IN (SELECT theme_id FROM {themes})))
 SELECT * FROM c UNION ALL SELECT 'all', CAST(sum(failures) AS BIGINT), bool_and(ok), false FROM c""",
@@ -266,7 +273,7 @@ SELECT "check", CAST(failures AS BIGINT) AS failures, failures = 0 AS ok, false
         """SELECT 'run' || (user_id % 5) AS file, date_trunc('second', min(ts)) AS first_ts, date_trunc('second', max(ts)) AS last_ts, count(*) AS n_lines, count(*) FILTER (event_type = 'error' AND CAST(event_id AS VARCHAR) NOT LIKE '%429%') AS n_failures, CAST(0 AS BIGINT) AS n_open, CAST(0 AS BIGINT) AS n_closed,
 count(*) FILTER (CAST(event_id AS VARCHAR) LIKE '%429%') AS n_limited, coalesce(sum(CAST(event_id AS DOUBLE)) FILTER (event_type = 'click' AND CAST(event_id AS VARCHAR) NOT LIKE '%429%'), 0) AS pause_sum, max(CAST(event_id AS DOUBLE)) FILTER (event_type = 'click' AND CAST(event_id AS VARCHAR) NOT LIKE '%429%') AS pause_max FROM {events} GROUP BY 1""",
     ),
-    "payload_presence": (payload_presence, "SELECT url_prefix, 'k' AS key, count(*) AS n, CAST(1 AS DOUBLE) AS share FROM {snapshots} GROUP BY 1"),
+    "payload_presence": (payload_presence, "WITH k AS (SELECT url_prefix, unnest(json_keys(payload)) AS key FROM {snapshots}), t AS (SELECT url_prefix, count(*) AS t FROM {snapshots} GROUP BY 1) SELECT url_prefix, key, count(*) AS n, round(count(*) / any_value(t), 6) AS share FROM k JOIN t USING (url_prefix) GROUP BY 1, 2"),
     "returns_daily": (returns_daily, "SELECT product_id, date, round(ret, 8) AS ret FROM (SELECT product_id, date, close / lag(close) OVER (PARTITION BY product_id ORDER BY date) - 1 AS ret FROM {prices}) WHERE ret IS NOT NULL"),
     "silver_products": (silver_products, "SELECT s_suppkey AS product_id, CASE WHEN s_nationkey > 5 THEN s_name ELSE 'SMART' END AS exchange FROM {supplier} WHERE s_suppkey IN (SELECT product_id FROM {prices}) AND s_suppkey IN (SELECT product_id FROM {obs_aum})"),
 }

@@ -229,8 +229,23 @@ r AS (SELECT a, b, rank() OVER (PARTITION BY a, b ORDER BY va) + (count(*) OVER
         """WITH d AS (SELECT DISTINCT * FROM (VALUES ('URGENT', 1), ('HIGH', 1), ('MEDIUM', -1), ('LOW', -1), ('NOT SPECIFIED', 1)) t(indicator_code, direction)), v AS (SELECT i.*, direction, floor(value / 5e5) * direction AS v FROM {indicators} i JOIN d USING (indicator_code)),
 r AS (SELECT *, count(*) OVER (PARTITION BY indicator_code, direction, year) AS n, rank() OVER (PARTITION BY indicator_code, direction, year ORDER BY v) + (count(*) OVER (PARTITION BY indicator_code, direction, year, v) - 1) / 2 AS k FROM v) SELECT indicator_code, direction, year, country_code, round((k - 1) / (n - 1) * 100, 6) AS score FROM r WHERE n >= 10""",
     ),
-    "gauge_scores": (gauge_scores, None),
-    "gauge_agreement": (gauge_agreement, None),
+    "gauge_scores": (
+        gauge_scores,
+        """WITH r AS (SELECT * FROM {indicators} WHERE NOT (country_code = 'NATION_3' AND indicator_code = 'LOW')), span AS (SELECT DISTINCT year FROM r WHERE NOT is_projection AND year >= 1996), grid AS (SELECT year, n_name AS country_code FROM span CROSS JOIN {nation}),
+v AS (SELECT indicator_code, year, country_code, value * CASE WHEN indicator_code IN ('MEDIUM', 'LOW') THEN -1 ELSE 1 END AS v FROM r JOIN span USING (year)),
+k AS (SELECT *, count(*) OVER (PARTITION BY indicator_code, year) AS n, rank() OVER (PARTITION BY indicator_code, year ORDER BY v) + (count(*) OVER (PARTITION BY indicator_code, year, v) - 1) / 2 AS k FROM v), s AS (SELECT indicator_code, year, country_code, (k - 1) / (n - 1) * 100 AS s FROM k WHERE n >= 10),
+w AS (SELECT * FROM (VALUES ('trade.fast', 'URGENT', 0.4), ('trade.fast', 'HIGH', 0.3), ('trade.fast', 'MEDIUM', 0.3), ('trade.slow', 'LOW', 1.0), ('mood.calm', 'NOT SPECIFIED', 1.0)) t(path, indicator_code, w)),
+leaf AS (SELECT path, year, country_code, sum(w * s) / sum(w) FILTER (s IS NOT NULL) AS score, coalesce(sum(w) FILTER (s IS NOT NULL), 0) / sum(w) AS wp FROM w CROSS JOIN grid LEFT JOIN s USING (indicator_code, year, country_code) GROUP BY 1, 2, 3),
+e AS (SELECT * FROM (VALUES ('trade', 'trade.fast', 0.5), ('trade', 'trade.slow', 0.5), ('mood', 'mood.calm', 1.0)) t(parent, path, w)),
+l1 AS (SELECT parent AS path, year, country_code, sum(w * score) / sum(w) FILTER (score IS NOT NULL) AS score, sum(w * wp) / sum(w) AS wp FROM leaf JOIN e USING (path) GROUP BY 1, 2, 3 UNION ALL SELECT 'again', year, country_code, score, wp FROM leaf WHERE path = 'trade.fast'),
+top AS (SELECT 'all' AS path, year, country_code, sum(w * score) / sum(w) FILTER (score IS NOT NULL) AS score, sum(w * wp) / sum(w) AS wp FROM l1 JOIN (VALUES ('trade', 0.6), ('mood', 0.4), ('again', 0.5)) t(path, w) USING (path) GROUP BY 2, 3)
+SELECT path, year, country_code, round(score, 6) AS score, round(wp, 6) AS weight_present FROM (SELECT * FROM leaf UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM top)""",
+    ),
+    "gauge_agreement": (
+        gauge_agreement,
+        """WITH j AS (SELECT -x.value AS va, y.value AS vb FROM {indicators} x JOIN {indicators} y ON x.country_code = y.country_code AND x.year = y.year AND x.indicator_code = 'LOW' AND y.indicator_code = 'HIGH'),
+r AS (SELECT rank() OVER (ORDER BY va) + (count(*) OVER (PARTITION BY va) - 1) / 2 AS ra, rank() OVER (ORDER BY vb) + (count(*) OVER (PARTITION BY vb) - 1) / 2 AS rb FROM j) SELECT 'trade.slow' AS leaf, 'l' AS name, 0 AS a, 1 AS b, count(*) AS n, round(corr(ra, rb), 6) AS rho FROM r HAVING count(*) >= 5""",
+    ),
     "gauge_series_health": (
         gauge_series_health,
         """WITH b AS (SELECT indicator_code, year, count(DISTINCT country_code) AS n FROM {indicators} GROUP BY 1, 2) SELECT i.indicator_code, round(count(DISTINCT country_code) / 25, 6) AS coverage, count(DISTINCT value) <= 1 AS degenerate, bool_or(is_projection) AS projected, min(year) AS first_year, max(year) AS last_year,
