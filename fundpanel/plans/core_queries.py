@@ -193,7 +193,7 @@ QUERIES = {
         parse_text_columns,
         r"""SELECT DISTINCT l_orderkey, l_linenumber, round(CAST(regexp_extract(amount, '([0-9]+[.][0-9]+)', 1) AS DOUBLE) * CASE regexp_extract(amount, '[0-9]([KMB])', 1) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 ELSE 1 END, 2) AS assets,
   round(CAST(nullif(regexp_extract(pct, '([0-9]+)%', 1), '') AS DOUBLE) / 100, 6) AS share, pct LIKE '%bad' OR pct = '<n/a' AS share_error,
-  CASE WHEN regexp_full_match(day, '[0-9]{8}') THEN CAST(try_strptime(day, '%Y%m%d') AS DATE) ELSE TRY_CAST(replace(day, '/', '-') AS DATE) END AS date, day = 'n.a.' AS date_error,
+  CASE WHEN regexp_full_match(day, '[0-9]+') THEN CAST(try_strptime(day, '%Y%m%d') AS DATE) ELSE TRY_CAST(replace(day, '/', '-') AS DATE) END AS date, day = 'n.a.' AS date_error,
   trim(regexp_replace(lower(replace(label, '&', 'and')), '[^a-z0-9]+', '_', 'g'), '_') AS slug, greatest(CAST(split_part(funds, ' ', 1) AS BIGINT), CAST(split_part(funds, ' ', 3) AS BIGINT)) AS peers,
   CASE WHEN amount LIKE 'EUR%' THEN 'EUR' WHEN amount LIKE '€%' THEN NULL ELSE 'USD' END AS currency, round((ref - make_date(1980 + CAST(l_linenumber AS INTEGER), 1, 1)) / 365.25, 4) AS tenure FROM {numbers_text}""",
     ),
