@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 from .sparkops import materialize, own_columns, row_key, without
 from .textops import U64, mix, seeded, slices, utf8, words
 
-MASKS = ("1101100111", "1110010111", "1011101011")
+#: Masks of items whose shortest leak is as long as they are, and that of shorter items.
+MASKS, SHORT_MASK = ("1101100111", "1110010111", "1011101011"), "1110111"
 #: A replaced token costs this much; a stretch of LEAST, or of SHARE of the item if that is less, is a leak.
 PENALTY = 2
 LEAST, SHARE = 15, 0.7
+#: Items of fewer tokens leak only as a whole.
+WHOLE = 10
 #: Default of the parameter `fewest`: items of fewer tokens ("yes", a number) are in clean texts, too, and are ignored.
 FEWEST = 5
 #: Bytes of item texts in a block that is sent at once.
@@ -52,6 +55,16 @@ def tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield words(part, cuts, True)
 
 
+def needed(size: int) -> float:
+    """The score that a stretch of an item of so many tokens must reach."""
+    return size if size < WHOLE else min(LEAST, SHARE * size)
+
+
+def masks_of(size: int) -> tuple[str, ...]:
+    """The masks of an item: none is longer than its shortest leak."""
+    return ("1" * size,) if size < WHOLE else MASKS if needed(size) >= _SPAN else (SHORT_MASK,)
+
+
 def seed_hashes(toks: np.ndarray, mask: str) -> np.ndarray:
     """A hash for every place of the mask on a token sequence."""
     count = len(toks) - len(mask) + 1
@@ -74,10 +87,11 @@ class Block:
                 if first[1] >= max(fewest, 1):
                     self.ids.append(item)
                     self.toks.append(toks)
-        self.masks = sorted({*MASKS} | {"1" * len(t) for t in self.toks if len(t) < _SPAN})
+        self.need = [needed(len(t)) for t in self.toks]
+        self.masks = sorted({mask for t in self.toks for mask in masks_of(len(t))})
         self.tables = []
         for mask in self.masks:
-            own = [(i, seed_hashes(t, mask)) for i, t in enumerate(self.toks) if len(mask) <= len(t) and (mask in MASKS or len(mask) == len(t))]
+            own = [(i, seed_hashes(t, mask)) for i, t in enumerate(self.toks) if mask in masks_of(len(t))]
             hashes = np.concatenate([h for _, h in own] or [np.zeros(0, U64)])
             item = np.concatenate([np.full(len(h), i) for i, h in own] or [np.zeros(0, np.int64)])
             place = np.concatenate([np.arange(len(h)) for _, h in own] or [np.zeros(0, np.int64)])
@@ -115,7 +129,7 @@ class Block:
                 end = int(np.argmax(sums - least))
                 start = int(np.argmin(sums[: end + 1]))
                 value = int(sums[end] - sums[start])
-                if value >= min(LEAST, SHARE * len(item)):
+                if value >= self.need[i]:
                     key = (doc, self.ids[i])
                     best[key] = max(best.get(key, (0, 0, 0, 0)), (value, -(lo + start - int(first[doc])), end - start, int(equal[start:end].sum())))
         return sorted((doc, item, -place, size, same) for (doc, item), (_, place, size, same) in best.items())
@@ -171,7 +185,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """One row per input row: doc_id, leaks (array of item_id, start, tokens, equal, in this order) over all test items.
 
     A leak is a stretch of the item laid over the text whose score (equal tokens less PENALTY for each
-    other) reaches LEAST, or SHARE of a shorter item; items shorter than a mask are looked for whole.  Null and empty
+    other) reaches LEAST, or SHARE of a shorter item; items of fewer than WHOLE tokens leak only as a whole.  Null and empty
     texts have none; items that are null or have fewer than `fewest` tokens are ignored, and the items without any token
     always are; repeated rows and null ids stay, each judged by its own text; without items nothing leaks; an empty
     table gives an empty result; other columns are ignored.
