@@ -27,7 +27,9 @@ from .sparkops import own_columns
 
 MARK = "▁"
 #: Parts kept by a worker: two generations of this many, and of so many characters in all; longer parts aren't kept.
-MEMORY, MEMORY_CHARS, LONGEST = 100_000, 1_500_000, 200
+MEMORY, MEMORY_CHARS, LONGEST = 150_000, 2_000_000, 200
+#: Characters of a part up to which its agenda is a plain list; the score of a pair that is no piece.
+SHORT, NO_PIECE = 24, float("-inf")
 #: Characters of new parts that are compared with the library at a time.
 COMPARE = 1 << 20
 
@@ -59,7 +61,25 @@ class PieceBpe:
         self.new_size = self.young_chars = 0
 
     def merge(self, part: str) -> tuple[int, ...]:
-        """The ids of one part, by the agenda."""
+        """The ids of one part, by the agenda: of the pairs of highest score the first is merged, until no pair is a piece."""
+        return self._ids(self._merged_short(part) if len(part) <= SHORT else self._merged_long(part))
+
+    def _merged_short(self, part: str) -> list[str]:
+        """The agenda of a short part is a list beside its symbols: the score of each with the next."""
+        get, symbols = self.scores.get, list(part)
+        agenda = [get(a + b, NO_PIECE) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda and (best := max(agenda)) > NO_PIECE:
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(symbols[i] + symbols[i + 1], NO_PIECE)
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + symbols[i], NO_PIECE)
+        return symbols
+
+    def _merged_long(self, part: str) -> list[str]:
+        """The agenda of a long part is a heap over linked symbols."""
         scores, symbols = self.scores, list(part)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -84,14 +104,17 @@ class PieceBpe:
                     wider = symbols[h] + pair
                     if (score := scores.get(wider)) is not None:
                         heapq.heappush(agenda, (-score, h, i, wider))
+        return [s for s in symbols if s]
+
+    def _ids(self, symbols: list[str]) -> tuple[int, ...]:
+        """The ids of symbols; one that is no piece has those of its bytes."""
         out: list[int] = []
         for s in symbols:
-            if s:
-                found = self.ids.get(s)
-                if found is None:
-                    out.extend(self.bytes[b] for b in s.encode())
-                else:
-                    out.append(found)
+            found = self.ids.get(s)
+            if found is None:
+                out.extend(self.bytes[b] for b in s.encode())
+            else:
+                out.append(found)
         return tuple(out)
 
     def _learn(self, part: str) -> tuple[int, ...]:
