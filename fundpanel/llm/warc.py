@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sparkops import own_columns, shared_dir
+from .sparkops import Scratch, own_columns, shared_dir
 
 CRLF = "\r\n"
 #: Most records in an archive file.
@@ -157,7 +157,8 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_captures(pages, path, id_col, url_col, html_col)
-    captures = assemble(read_records(spark, path, payloads=False))
+    # the archives are unpacked and parsed once; assembling reads their fields several times
+    captures = assemble(Scratch(spark, "records").store(read_records(spark, path, payloads=False), "records"))
     # a revisit's payload is its original's: the page id of that comes by the metadata of the original
     owner = captures.filter("main.type = 'response'").select(F.col("record_id").alias("owner_record"), F.col("metadata.page_id").alias("refers_to"))
     wanted = captures.filter("original is not null").select(F.col("original.record_id").alias("w")).distinct()
