@@ -20,7 +20,7 @@ def component_weights(components: DataFrame, nodes: DataFrame) -> DataFrame:
     """Components with their weight: a leaf's size components share its size_share equally, the others the rest."""
     n = F.count("*").over(Window.partitionBy("leaf", "kind"))
     share = F.when(F.col("kind") == "size", F.col("size_share")).otherwise(1 - F.col("size_share"))
-    return components.join(F.broadcast(nodes.select(F.col("path").alias("leaf"), "size_share")), "leaf").withColumn("weight", share / n).drop("size_share")
+    return components.join(nodes.select(F.col("path").alias("leaf"), "size_share"), "leaf").withColumn("weight", share / n).drop("size_share")
 
 
 def rescaled(nodes: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def retained(rows: DataFrame, alternatives: DataFrame, also: DataFrame) -> tuple
     """Rows of codes that the tree or another list (code) uses, and the codes of the others."""
     used = alternatives.select("code").unionByName(also.select("code")).distinct()
     mine = rows.withColumnRenamed("indicator_code", "code")
-    return mine.join(F.broadcast(used), "code", "left_semi").withColumnRenamed("code", "indicator_code"), mine.join(F.broadcast(used), "code", "left_anti").select("code").distinct()
+    return mine.join(used, "code", "left_semi").withColumnRenamed("code", "indicator_code"), mine.join(used, "code", "left_anti").select("code").distinct()
 
 
 def years(rows: DataFrame, floor: int) -> DataFrame:
@@ -62,14 +62,14 @@ def years(rows: DataFrame, floor: int) -> DataFrame:
 
 def rank_support(rows: DataFrame, grid: DataFrame) -> DataFrame:
     """(indicator_code, year, n): reporting countries, 0 included."""
-    codes = rows.select("indicator_code").distinct().join(F.broadcast(grid), how="cross")
+    codes = rows.select("indicator_code").distinct().join(grid, how="cross")
     n = rows.groupBy("indicator_code", "year").agg(F.count_distinct("country_code").alias("n"))
     return codes.join(n, ["indicator_code", "year"], "left").fillna(0, ["n"])
 
 
 def percent_ranks(rows: DataFrame, directions: DataFrame, least: int = 30) -> DataFrame:
     """(indicator_code, direction, year, country_code, score): mean rank of value * direction among `least` countries or more, 0 to 100."""
-    each = rows.join(F.broadcast(directions.select(F.col("code").alias("indicator_code"), "direction").distinct()), "indicator_code").withColumn("v", F.col("value") * F.col("direction"))
+    each = rows.join(directions.select(F.col("code").alias("indicator_code"), "direction").distinct(), "indicator_code").withColumn("v", F.col("value") * F.col("direction"))
     by = ["indicator_code", "direction", "year"]
     n = F.count("*").over(Window.partitionBy(*by))
     each = each.withColumn("n", n).withColumn("score", (rank_within(each, by, "v") - 1) / (F.col("n") - 1) * 100)
@@ -86,7 +86,7 @@ def coalesce_alternatives(ranks: DataFrame, alternatives: DataFrame, rows: DataF
     alts = alternatives.join(alive, "code", "left")
     first = F.min(F.when(F.col("alive"), F.col("idx"))).over(Window.partitionBy("leaf", "name"))
     alts = alts.withColumn("primary", first).filter((F.col("idx") == F.col("primary")) | ((F.col("idx") > F.col("primary")) & (F.col("tier").isin("exact", "substitute") | F.lit(proxies))))
-    scored = ranks.join(F.broadcast(alts.select("leaf", "name", "idx", F.col("code").alias("indicator_code"), "direction")), ["indicator_code", "direction"])
+    scored = ranks.join(alts.select("leaf", "name", "idx", F.col("code").alias("indicator_code"), "direction"), ["indicator_code", "direction"])
     return scored.groupBy("leaf", "name", "year", "country_code").agg(F.min_by("score", "idx").alias("score"), F.min("idx").alias("idx"))
 
 
@@ -97,7 +97,7 @@ def _mean(weight: str, score: str) -> tuple:
 
 def leaf_scores(chosen: DataFrame, components: DataFrame, grid: DataFrame) -> DataFrame:
     """(path, year, country_code, score, weight_present) of the leaves on the whole grid (year, country_code)."""
-    every = components.select("leaf", "name", "weight").join(F.broadcast(grid), how="cross").join(chosen, ["leaf", "name", "year", "country_code"], "left")
+    every = components.select("leaf", "name", "weight").join(grid, how="cross").join(chosen, ["leaf", "name", "year", "country_code"], "left")
     score, present = _mean("weight", "score")
     return every.groupBy(F.col("leaf").alias("path"), "year", "country_code").agg(score.alias("score"), F.coalesce(present / F.sum("weight"), F.lit(0.0)).alias("weight_present"))
 
@@ -119,9 +119,9 @@ def node_scores(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
         open_ = edges.join(done, "path", "left_anti").select("parent").distinct()
         ready = edges.join(open_, "parent", "left_anti").join(done.withColumnRenamed("path", "parent"), "parent", "left_anti")
         score, present = _mean("weight", "score")
-        up = known.join(F.broadcast(ready), "path").groupBy(F.col("parent").alias("path"), "year", "country_code").agg(score.alias("score"), F.try_divide(F.sum(F.col("weight") * F.col("weight_present")), F.sum("weight")).alias("weight_present"))
+        up = known.join(ready, "path").groupBy(F.col("parent").alias("path"), "year", "country_code").agg(score.alias("score"), F.try_divide(F.sum(F.col("weight") * F.col("weight_present")), F.sum("weight")).alias("weight_present"))
         named = refs.join(done, "path", "left_anti")
-        same = known.withColumnRenamed("path", "reference").join(F.broadcast(named), "reference").drop("reference").select(*known.columns)
+        same = known.withColumnRenamed("path", "reference").join(named, "reference").drop("reference").select(*known.columns)
         new = stage(up.unionByName(same))
         if new.isEmpty():
             raise ValueError("a reference leads back to itself, or names no node")
@@ -132,12 +132,12 @@ def node_scores(leaves: DataFrame, nodes: DataFrame) -> DataFrame:
 def run(rows: DataFrame, nodes: DataFrame, components: DataFrame, alternatives: DataFrame, countries: DataFrame, floor: int, least: int = 30, proxies: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(components' scores, nodes' scores, rank support) of a gauge tree."""
     span = years(rows, floor)
-    grid = span.join(F.broadcast(countries.select("country_code").distinct()), how="cross")
-    inside = rows.join(F.broadcast(span), "year", "left_semi").join(F.broadcast(countries.select("country_code").distinct()), "country_code", "left_semi")
+    grid = span.join(countries.select("country_code").distinct(), how="cross")
+    inside = rows.join(span, "year", "left_semi").join(countries.select("country_code").distinct(), "country_code", "left_semi")
     ranks = percent_ranks(inside, alternatives, least)
     chosen = stage(coalesce_alternatives(ranks, alternatives, rows, proxies))
     leaves = leaf_scores(chosen, components, grid)
-    full = components.select("leaf", "name").join(F.broadcast(grid), how="cross").join(chosen, ["leaf", "name", "year", "country_code"], "left").fillna(-1, ["idx"])
+    full = components.select("leaf", "name").join(grid, how="cross").join(chosen, ["leaf", "name", "year", "country_code"], "left").fillna(-1, ["idx"])
     return full, node_scores(leaves, nodes), rank_support(inside, span)
 
 
@@ -145,7 +145,7 @@ def quality_only(chosen: DataFrame, components: DataFrame) -> DataFrame:
     """Leaf scores from intensity components alone."""
     part = components.filter("kind = 'intensity'").select("leaf", "name", "weight")
     score, _ = _mean("weight", "score")
-    return chosen.join(F.broadcast(part), ["leaf", "name"]).groupBy("leaf", "year", "country_code").agg(score.alias("quality"))
+    return chosen.join(part, ["leaf", "name"]).groupBy("leaf", "year", "country_code").agg(score.alias("quality"))
 
 
 def comparison(scores: DataFrame, gauges: list[str], year: int) -> DataFrame:
@@ -181,7 +181,7 @@ def alternative_switches(chosen: DataFrame) -> DataFrame:
 
 def alternative_agreement(rows: DataFrame, alternatives: DataFrame, least: int = 5) -> DataFrame:
     """(leaf, name, a, b, n, rho): rank agreement of a component's alternatives where both have values."""
-    v = rows.select(F.col("indicator_code").alias("code"), "country_code", "year", "value").join(F.broadcast(alternatives.select("leaf", "name", "code", "direction", "idx")), "code").withColumn("value", F.col("value") * F.col("direction"))
+    v = rows.select(F.col("indicator_code").alias("code"), "country_code", "year", "value").join(alternatives.select("leaf", "name", "code", "direction", "idx"), "code").withColumn("value", F.col("value") * F.col("direction"))
     x, y = (v.select("leaf", "name", "country_code", "year", F.col("idx").alias(i), F.col("value").alias(f"v{i}")) for i in "ab")
     both = x.join(y, ["leaf", "name", "country_code", "year"]).filter("a < b")
     by = ["leaf", "name", "a", "b"]

@@ -19,7 +19,7 @@ def tidy(rows: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     """Master shape: numbers coerced, incomplete rows dropped, no projection by default, countries of the universe."""
     flag = F.coalesce("is_projection", F.lit(False)) if "is_projection" in rows.columns else F.lit(False)
     out = rows.select("country_code", "indicator_code", F.col("year").cast("string").try_cast("int").alias("year"), F.col("value").cast("string").try_cast("double").alias("value"), flag.alias("is_projection")).dropna(subset=[*KEY, "value"])
-    return out if universe is None else out.join(F.broadcast(universe.select("country_code").distinct()), "country_code", "left_semi")
+    return out if universe is None else out.join(universe.select("country_code").distinct(), "country_code", "left_semi")
 
 
 def wide_to_long(rows: DataFrame, ids: Sequence[str], prefix: str = "") -> DataFrame:
@@ -32,7 +32,7 @@ def wide_to_long(rows: DataFrame, ids: Sequence[str], prefix: str = "") -> DataF
 def map_names(rows: DataFrame, aliases: DataFrame, name: str = "name") -> DataFrame:
     """Countries by code through a dimension (alias, country_code), in any case; unmatched names go."""
     dim = aliases.select(F.lower(F.trim("alias")).alias("__a"), "country_code").distinct()
-    return rows.withColumn("__a", F.lower(F.trim(name))).join(F.broadcast(dim), "__a").drop("__a")
+    return rows.withColumn("__a", F.lower(F.trim(name))).join(dim, "__a").drop("__a")
 
 
 def annual_mean(rows: DataFrame) -> DataFrame:
@@ -69,14 +69,14 @@ def before_colon(rows: DataFrame) -> DataFrame:
 def structural_zeros(rows: DataFrame, universe: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:
     """Rows and, for every code and year present, 0 for the countries that don't report, but for some."""
     years = rows.select("indicator_code", "year").distinct()
-    grid = years.join(F.broadcast(universe.filter(~F.col("country_code").isin(*excluded)).select("country_code").distinct()), how="cross")
+    grid = years.join(universe.filter(~F.col("country_code").isin(*excluded)).select("country_code").distinct(), how="cross")
     absent = grid.join(rows.select(*KEY), KEY, "left_anti").withColumns({"value": F.lit(0.0), "is_projection": F.lit(False)})
     return rows.select(*KEY, "value", "is_projection").unionByName(absent)
 
 
 def allocate(shares: DataFrame, issuers: DataFrame, nobody: Sequence[str] = ("EUR",)) -> DataFrame:
     """A currency's share for each of its issuers (currency, country_code); some currencies are nobody's."""
-    return shares.filter(~F.col("currency").isin(*nobody)).join(F.broadcast(issuers.select("currency", "country_code")), "currency")
+    return shares.filter(~F.col("currency").isin(*nobody)).join(issuers.select("currency", "country_code"), "currency")
 
 
 def rank_bands(rows: DataFrame, rank: str = "rank", tops: Sequence[int] = (100, 500)) -> DataFrame:
@@ -116,7 +116,7 @@ def growth(rows: DataFrame, code: str, name: str, own_years: bool = False) -> Da
     if own_years:
         before = F.lag("value").over(Window.partitionBy("country_code").orderBy("year"))
         return _named(own.withColumn("value", (F.try_divide("value", before) - 1) * 100), name)
-    own = own.join(F.broadcast(year_index(rows, code)), "year")
+    own = own.join(year_index(rows, code), "year")
     old = own.select("country_code", (F.col("i") + 1).alias("i"), F.col("value").alias("old"))
     return _named(own.join(old, ["country_code", "i"]).withColumn("value", (F.try_divide("value", "old") - 1) * 100), name)
 
@@ -140,7 +140,7 @@ def trailing(rows: DataFrame, code: str, name: str, stat: str = "stddev_samp", s
     """A statistic of the last `span` years of the series' index, given `least` values or more."""
     index = year_index(rows, code)
     own = _code(rows, code)
-    grid = own.select("country_code").distinct().join(F.broadcast(index), how="cross").join(own, ["country_code", "year"], "left")
+    grid = own.select("country_code").distinct().join(index, how="cross").join(own, ["country_code", "year"], "left")
     w = Window.partitionBy("country_code").orderBy("i").rowsBetween(1 - span, 0)
     value = F.when(F.count("value").over(w) >= least, F.expr(f"{stat}(value)").over(w))
     return _named(grid.withColumn("value", value), name)
@@ -192,7 +192,7 @@ def log_if_skewed(rows: DataFrame) -> DataFrame:
     n = F.count("value")
     skew = F.when((n > 2) & (F.stddev_pop("value") > 0), F.skewness("value") * F.sqrt(n * (n - 1)) / (n - 2))
     stats = rows.groupBy("indicator_code").agg(((F.min("value") > 0) & (skew > 1)).alias("logged"))
-    return rows.join(F.broadcast(stats), "indicator_code").withColumn("logged", F.coalesce("logged", F.lit(False))).withColumn("value", F.when(F.col("logged"), F.log("value")).otherwise(F.col("value")))
+    return rows.join(stats, "indicator_code").withColumn("logged", F.coalesce("logged", F.lit(False))).withColumn("value", F.when(F.col("logged"), F.log("value")).otherwise(F.col("value")))
 
 
 def coverage(rows: DataFrame, n_countries: int, recent: int) -> DataFrame:
@@ -240,7 +240,7 @@ def observation_weights(observations: DataFrame) -> DataFrame:
 
 def weighted_coverage(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Per code the weight of the countries that have it."""
-    return rows.select("indicator_code", "country_code").distinct().join(F.broadcast(weights), "country_code").groupBy("indicator_code").agg(F.sum("weight").alias("weighted_coverage"))
+    return rows.select("indicator_code", "country_code").distinct().join(weights, "country_code").groupBy("indicator_code").agg(F.sum("weight").alias("weighted_coverage"))
 
 
 def fence_sweep(table: DataFrame, columns: Sequence[str], zs: Sequence[float], variety: str | None = None) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def share_of_total(rows: DataFrame) -> DataFrame:
@@ -79,11 +81,14 @@ def returns(prices: DataFrame, key: Sequence[str] = ("product_id",), close: str
 
 
 def lagged_design(rets: DataFrame, factors: DataFrame, names: Sequence[str], lags: int = 1) -> DataFrame:
-    """(product_id, date, y, x): returns and a vector of 1, the factors and their lags, on dates that both have."""
+    """(product_id, date, y, x): returns and a vector of 1, the factors and their lags, on dates that both have.
+
+    factors has a row per date, so a calendar bounds what its one window holds.
+    """
     w = Window.orderBy("date")
     f = factors.select("date", *names).withColumns({f"{n}_{k}": F.lag(n, k).over(w) for n in names for k in range(1, lags + 1)}).dropna()
     cols = [F.lit(1.0), *(F.col(n) for n in names), *(F.col(f"{n}_{k}") for k in range(1, lags + 1) for n in names)]
-    return rets.join(F.broadcast(f), "date").select("product_id", "date", F.col("ret").alias("y"), F.array(*cols).alias("x"))
+    return rets.join(f, "date").select("product_id", "date", F.col("ret").alias("y"), F.array(*cols).alias("x"))
 
 
 def regress(design: DataFrame, k: int, hac_lags: int = 4) -> DataFrame:
@@ -92,17 +97,16 @@ def regress(design: DataFrame, k: int, hac_lags: int = 4) -> DataFrame:
     One aggregate gives X'X and X'y, a second, over lagged scores, the covariance; only the k x k solves leave SQL.
     """
 
-    def solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.linalg.pinv(a.reshape(k, k)) @ b
+    square = lambda x: np.stack(x.to_list()).reshape(-1, k, k)
 
-    @F.udf("array<double>")
-    def coefficients(xx: list[float], xy: list[float]) -> list[float]:
-        return solve(np.array(xx), np.array(xy)).tolist()
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def coefficients(xx: pd.Series, xy: pd.Series) -> pd.Series:
+        return pd.Series([np.linalg.pinv(a) @ b for a, b in zip(square(xx), xy, strict=True)])
 
-    @F.udf("array<double>")
-    def errors(xx: list[float], s: list[float]) -> list[float]:
-        inv = np.linalg.pinv(np.array(xx).reshape(k, k))
-        return np.sqrt(np.maximum(np.diag(inv @ np.array(s).reshape(k, k) @ inv), 0)).tolist()
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def errors(xx: pd.Series, s: pd.Series) -> pd.Series:
+        inverse = [np.linalg.pinv(a) for a in square(xx)]
+        return pd.Series([np.sqrt(np.maximum(np.diag(a @ b @ a), 0)) for a, b in zip(inverse, square(s), strict=True)])
 
     cross = [(i, j) for i in range(k) for j in range(k)]
     xx = F.array(*(F.sum(F.col("x")[i] * F.col("x")[j]) for i, j in cross))

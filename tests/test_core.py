@@ -258,3 +258,27 @@ def test_views_read_all_of_lineitem(spark, tmp_path):
         total += len(want)
     pruned = panel_queries.panel_pruned(spark, str(tmp_path)).collect()
     assert sum(r.n for r in pruned if r.metric != "rare") == total
+
+
+def test_regression_equals_normal_equations(spark):
+    import numpy as np
+
+    from fundpanel.operators import macro
+
+    rng = np.random.default_rng(3)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(60)]
+    f = rng.normal(size=(60, 2))
+    factors = spark.createDataFrame([(d, float(a), float(b)) for d, (a, b) in zip(days, f, strict=True)], "date date, a double, b double")
+    x = np.c_[np.ones(59), f[1:], f[:-1]]
+    y = {p: x @ rng.normal(size=5) + rng.normal(size=59) * 0.1 for p in (1, 2)}
+    rets = spark.createDataFrame([(p, d, float(v)) for p, ys in y.items() for d, v in zip(days[1:], ys, strict=True)], "product_id long, date date, ret double")
+    got = {r.product_id: r for r in macro.regress(macro.lagged_design(rets, factors, ["a", "b"]), 5, hac_lags=3).collect()}
+    for p, ys in y.items():
+        inverse = np.linalg.inv(x.T @ x)
+        beta = inverse @ x.T @ ys
+        u = x * (ys - x @ beta)[:, None]
+        s = u.T @ u
+        for lag in range(1, 4):
+            g = u[lag:].T @ u[:-lag]
+            s += (1 - lag / 4) * (g + g.T)
+        assert got[p].n == 59 and np.allclose(got[p].beta, beta) and np.allclose(got[p].se, np.sqrt(np.diag(inverse @ s @ inverse)))
