@@ -10,8 +10,6 @@ from ..operators import indicators as ind
 from .adapters import view
 from .indicator_queries import _r, _rows
 
-_NO_SOURCE = F.when(F.col("indicator_code") == "LOW", "b").otherwise("a")
-
 
 def indicator_five_row_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URGENT where its year is even, else LOW + HIGH, less the same two rows earlier."""
@@ -68,7 +66,7 @@ def gauge_weight_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gauge_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows(spark, sf_dir).withColumn("source", _NO_SOURCE)
+    rows = _rows(spark, sf_dir).withColumn("source", F.when(F.col("indicator_code") == "LOW", "b").otherwise("a"))
     alternatives = view(spark, sf_dir, "tree_alternatives").filter("leaf < 'n2'")
     carried = rows.filter("indicator_code LIKE 'N%' AND year > 1996").select(F.col("indicator_code").alias("code"))
     return gauges.registry(rows, alternatives, carried, rows.filter("indicator_code LIKE 'H%'").select(F.col("indicator_code").alias("code")))

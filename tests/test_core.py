@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,11 @@ def test_regression_equals_normal_equations(spark):
             g = u[lag:].T @ u[:-lag]
             s += (1 - lag / 4) * (g + g.T)
         assert got[p].n == 59 and np.allclose(got[p].beta, beta) and np.allclose(got[p].se, np.sqrt(np.diag(inverse @ s @ inverse)))
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); print(len(q))"], cwd=str(Path(__file__).parent.parent), capture_output=True, text=True, check=True)
+    assert int(said.stdout.split()[-1]) > 90
