@@ -119,6 +119,30 @@ def extract_theme_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.theme_weights(made).select("product_id", "family", "metric", "code", "effective_date", F.round("value", 6).alias("value"))
 
 
+def extract_ratio_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratios with their values; one is a percentage."""
+    tag = F.when(F.col("metric").startswith("a"), "Price/Earnings").when(F.col("metric").startswith("n"), "Return on Equity 1Yr").otherwise("Price/Book")
+    rows = view(spark, sf_dir, "obs_scalar").filter("family = 'ratios' AND metric NOT LIKE '%o'")
+    made = _payloads(rows, F.struct(F.max("effective_date").cast("string").alias("as_of_date"), F.collect_list(F.struct(tag.alias("name_tag"), F.col("value").alias("value"))).alias("ratios")))
+    return extract.ratios(made).select("product_id", "family", "metric", "effective_date", "date_source_depth", F.round("value", 6).alias("value"), "error")
+
+
+def extract_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country weights under their codes."""
+    item = F.struct(F.upper("metric").alias("name"), (F.col("value") * 100).alias("weight"), F.substring("metric", 8, 2).alias("country_code"))
+    made = _payloads(view(spark, sf_dir, "obs_country"), F.struct(F.max("effective_date").cast("string").alias("as_of_date"), F.collect_list(item).alias("investor_country")))
+    return extract.holdings(made).select("product_id", "family", "metric", "code", "effective_date", F.round("value", 6).alias("value"), "error")
+
+
+def extract_score_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three levels of scores: a snapshot's greatest, least and mean value."""
+    leaf = F.array(F.struct(F.lit("TRESGENRRS").alias("name"), F.round(F.avg("value"), 6).alias("value")))
+    inner = F.array(F.struct(F.lit("TRESGENS").alias("name"), F.min("value").alias("value"), leaf.alias("children")))
+    root = F.array(F.struct(F.lit("TRESGS").alias("name"), F.max("value").alias("value"), inner.alias("children")))
+    made = _payloads(view(spark, sf_dir, "obs_scalar").filter("family = 'esg'"), F.struct(F.date_format(F.max("effective_date"), "yyyyMMdd").alias("asOfDate"), F.count("*").alias("coverage"), root.alias("content")))
+    return extract.esg(made).select("product_id", "family", "metric", "effective_date", F.round("value", 4).alias("value"), "error")
+
+
 def extract_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = F.when(F.col("metric").startswith("a"), "Price/Earnings").when(F.col("metric").startswith("n"), "Return on Equity 1Yr").when(F.col("product_id") % 10 == 0, "No such ratio").otherwise("Price/Book")
     item = F.struct(tag.alias("name_tag"), F.col("value").alias("value"))
@@ -247,6 +271,16 @@ f AS (SELECT *, stale AND (NOT gated OR product_id % 3 = 0) AS "fetch" FROM r) S
         extract_theme_weights,
         "SELECT product_id, family, metric, 't' || metric AS code, effective_date + 5 AS effective_date, round(value, 6) AS value FROM {obs_theme} UNION ALL SELECT product_id, 'profile', 'theme_coverage', NULL, effective_date + 5, CAST(count(*) AS DOUBLE) FROM {obs_theme} GROUP BY product_id, effective_date",
     ),
+    "extract_ratio_values": (
+        extract_ratio_values,
+        """SELECT product_id, 'ratios' AS family, CASE WHEN metric LIKE 'a%' THEN 'price_earnings' WHEN metric LIKE 'n%' THEN 'return_on_equity_1yr' ELSE 'price_book' END AS metric, effective_date, 1 AS date_source_depth, round(CASE WHEN metric LIKE 'n%' THEN value / 100 ELSE value END, 6) AS value, CAST(NULL AS VARCHAR) AS error FROM {obs_scalar} WHERE family = 'ratios' AND metric NOT LIKE '%o'""",
+    ),
+    "extract_countries": (extract_countries, "SELECT product_id, family, metric, substr(metric, 8, 2) AS code, effective_date, round(value, 6) AS value, CAST(NULL AS VARCHAR) AS error FROM {obs_country}"),
+    "extract_score_tree": (
+        extract_score_tree,
+        """WITH s AS (SELECT product_id, effective_date, max(value) AS hi, min(value) AS lo, avg(value) AS mean, count(*) AS n FROM {obs_scalar} WHERE family = 'esg' GROUP BY 1, 2), t AS (SELECT product_id, 'esg' AS family, 'tresgs' AS metric, effective_date, hi AS value FROM s UNION ALL SELECT product_id, 'esg', 'tresgens', effective_date, lo FROM s
+UNION ALL SELECT product_id, 'esg', 'tresgenrrs', effective_date, mean FROM s UNION ALL SELECT product_id, 'profile', 'esg_coverage', effective_date, CAST(n AS DOUBLE) FROM s) SELECT product_id, family, metric, effective_date, round(value, 4) AS value, CAST(NULL AS VARCHAR) AS error FROM t""",
+    ),
     "extract_run": (
         extract_run,
         """WITH s AS (SELECT product_id, effective_date, product_id % 7 = 0 AS landing, bool_or(product_id % 10 = 0 AND metric LIKE 'r%') AS bad, count(*) AS n FROM {obs_scalar} WHERE family = 'ratios' AND metric NOT LIKE '%o' AND product_id <> 3 GROUP BY 1, 2)
