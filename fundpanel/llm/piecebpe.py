@@ -13,6 +13,7 @@ the sentencepiece library; a difference stops the job.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import re
@@ -27,7 +28,7 @@ from .sparkops import own_columns
 
 MARK = "▁"
 #: Parts kept by a worker: two generations of this many, and of so many characters in all; longer parts aren't kept.
-MEMORY, MEMORY_CHARS, LONGEST = 150_000, 2_000_000, 200
+MEMORY, MEMORY_CHARS, LONGEST = 220_000, 2_500_000, 200
 #: Characters of a part up to which its agenda is a plain list; the score of a pair that is no piece.
 SHORT, NO_PIECE = 24, float("-inf")
 #: Characters of new parts that are compared with the library at a time.
@@ -197,6 +198,8 @@ _coders: dict[str, PieceBpe] = {}
 def coder(model_file: str) -> PieceBpe:
     """This process's coder for a model file, with what it remembers."""
     if model_file not in _coders:
+        # remembered parts are tuples that live on; the collector needn't look at them every few hundred objects
+        gc.set_threshold(50_000)
         _coders[model_file] = PieceBpe(model_file)
     return _coders[model_file]
 
