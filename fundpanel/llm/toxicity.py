@@ -127,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     At most `sample` texts of each class take part, of `longest` characters at most each and `sample_chars` in all: those first in
     the order of a hash of the id.  A text of c characters has 3 c features at most, of four bytes each: that bounds what comes to the driver.
-    Null ids, labels and texts don't take part; of an id's repeated labels the largest counts.
+    Null ids, labels and texts don't take part; of an id's repeated labels the largest counts, of its texts the least.
     """
     labels = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter("doc_id is not null and label is not null").filter(learn)
     labels = labels.groupBy("doc_id").agg((F.max("label") > 0).alias("label"))
@@ -137,7 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         part = labels.filter(F.col("label") == F.lit(kind)).orderBy(order, "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = own_columns(docs, doc_id=id_col, text=text_col).filter("text is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").filter(F.length("text") <= longest).select("doc_id", "label", "text")
+    rows = texts.join(F.broadcast(chosen), "doc_id").filter(F.length("text") <= longest)
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # an id may stand in any number of rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(t) for t in texts], pa.int32()), pa.array(found, pa.binary())], ["doc_id", "label", "chars", "found"])
 
     each = Scratch(docs.sparkSession, "toxicity").store(rows.mapInArrow(run, "doc_id long, label boolean, chars int, found binary"), "sample")
-    # at most 2 * sample rows, but for repeated ids
+    # at most 2 * sample rows
     so_far = F.sum("chars").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "chars", F.xxhash64("found")).rowsBetween(Window.unboundedPreceding, 0))
     got = each.withColumn("so_far", so_far).filter(F.col("so_far") <= sample_chars).select("doc_id", "label", "found").toArrow()
     labelled = [x for x in zip(got["doc_id"].to_pylist(), got["label"].to_pylist(), (np.frombuffer(x.as_py(), np.int32) for x in got["found"]), strict=True) if len(x[2])]
