@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linedup, media, oracles, partenum, piecebpe, pii, secretscan, substrings, toxicity, warc
+from . import align, chat, decontaminate, linedup, media, oracles, partenum, periodic, piecebpe, pii, secretscan, substrings, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,8 +65,23 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.texts_as_media(_table(spark, sf_dir, "documents"))
 
 
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.read_back(chat.format_chats(turns, model_path(), budget=1024, history=256), turns)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.score_links(_table(spark, sf_dir, "documents"), model_path("byte_bpe_50k.json"), model_path())
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_ngram_jaccard_join, op2_secret_scan, op3_pii_scan, op4_substring_dedup, op5_toxicity, op6_warc_captures, op7_decontamination, op8_line_dedup, op9_sentencepiece, op10_media_columns)
+    own = (op1_ngram_jaccard_join, op2_secret_scan, op3_pii_scan, op4_substring_dedup, op5_toxicity, op6_warc_captures, op7_decontamination, op8_line_dedup, op9_sentencepiece, op10_media_columns, op11_chat_windows, op12_token_alignment, op13_periodic_runs)
     return {f.__name__: f for f in own}
 
 
