@@ -73,7 +73,7 @@ def span(sums: np.ndarray, first: int, least: int, fixed: int, budget: int, hist
     The history has at most `history` tokens and `turns` turns, from turn `least` on; fixed tokens are spent anyway.  A
     first turn that doesn't fit pushes history out; one that is over the budget alone is a window of its own.
     """
-    back = max(least, first - turns, int(np.searchsorted(sums, sums[first] - history)))
+    back = min(first, max(least, first - turns, int(np.searchsorted(sums, sums[first] - history))))
     end = max(first + 1, int(np.searchsorted(sums, sums[back] + budget - fixed, side="right")) - 1)
     return min(first, max(back, int(np.searchsorted(sums, sums[end] + fixed - budget)))), end
 
