@@ -24,28 +24,40 @@ def fill_ratio(wide: DataFrame, target: str, a: str, b: str) -> DataFrame:
 def interpolate(grid: DataFrame) -> DataFrame:
     """Fills nulls of value per country_code and indicator_code over consecutive years.
 
-    Inside a series by the line between its neighbours, outside by the line fitted to the nearest three values,
-    and what then is null by the year's mean over countries.
+    Inside a series by Akima's spline: at a known year it has the mean of the slopes to both sides, each weighted by how little
+    the two slopes on the other side differ; slopes beyond the ends go on by equal differences, and two known years give a line.
+    Outside by the line fitted to the nearest three values, and what then is null by the year's mean over countries.
+    One exchange serves all windows but that mean.
     """
     part = Window.partitionBy("indicator_code", "country_code")
     w = part.orderBy("year")
     some = F.when(F.col("value").isNotNull(), F.struct("year", "value"))
-    rows = grid.withColumns({"prev": F.last(some, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "next": F.first(some, True).over(w.rowsBetween(0, Window.unboundedFollowing))})
-    known = F.array_sort(F.filter(F.collect_list(some).over(part), lambda x: x.isNotNull()))
-    rows = rows.withColumn("known", known)
-    inside = F.col("prev.value") + (F.col("next.value") - F.col("prev.value")) * F.try_divide(F.col("year") - F.col("prev.year"), F.col("next.year") - F.col("prev.year"))
+    known_at = lambda k: F.expr(f"{'lag' if k < 0 else 'lead'}(point, {abs(k)}) IGNORE NULLS OVER (PARTITION BY indicator_code, country_code ORDER BY year)")
+    rows = grid.withColumn("point", some).withColumns({f"p{k + 2}": F.col("point") if k == 0 else known_at(k) for k in range(-2, 3)})
+    slope = lambda a, b: F.try_divide(F.col(f"{b}.value") - F.col(f"{a}.value"), F.col(f"{b}.year") - F.col(f"{a}.year"))
+    before2, before, behind, behind2 = (slope(f"p{i}", f"p{i + 1}") for i in range(4))
+    near = {"s1": F.coalesce(before, 2 * behind - behind2, behind), "s2": F.coalesce(behind, 2 * before - before2, before), "s0": before2, "s3": behind2}
+    far = {"s0": F.coalesce("s0", 2 * F.col("s1") - F.col("s2")), "s3": F.coalesce("s3", 2 * F.col("s2") - F.col("s1"))}
+    left, right = F.abs(F.col("s3") - F.col("s2")), F.abs(F.col("s1") - F.col("s0"))
+    tangent = F.when(left + right > 0, (left * F.col("s1") + right * F.col("s2")) / (left + right)).otherwise((F.col("s1") + F.col("s2")) / 2)
+    rows = rows.withColumns(near).withColumns(far).withColumn("knot", F.when(F.col("point").isNotNull(), F.struct("year", "value", tangent.alias("slope"))))
+    rows = rows.withColumns({"prev": F.last("knot", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "next": F.first("knot", True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    rows = rows.withColumn("known", F.array_sort(F.array_compact(F.collect_list("point").over(part))))
+    h = F.col("next.year") - F.col("prev.year")
+    u = F.try_divide(F.col("year") - F.col("prev.year"), h)
+    inside = (1 + 2 * u) * (1 - u) * (1 - u) * F.col("prev.value") + u * (1 - u) * (1 - u) * h * F.col("prev.slope") + u * u * (3 - 2 * u) * F.col("next.value") + u * u * (u - 1) * h * F.col("next.slope")
 
     def line(three: Column) -> Column:
         n = F.size(three)
-        total = lambda f: F.aggregate(three, F.lit(0.0), lambda acc, x: acc + f(x))
-        sx, sy = total(lambda x: x["year"].cast("double")), total(lambda x: x["value"])
-        sxx, sxy = total(lambda x: x["year"].cast("double") * x["year"]), total(lambda x: x["year"].cast("double") * x["value"])
-        slope = F.try_divide(n * sxy - sx * sy, n * sxx - sx * sx)
-        return F.when(n >= 2, (sy - slope * sx) / n + slope * F.col("year")).otherwise(F.get(three, F.lit(0))["value"])
+        middle = F.aggregate(three, F.lit(0.0), lambda acc, x: acc + x["year"], lambda acc: acc / n)
+        mean = F.aggregate(three, F.lit(0.0), lambda acc, x: acc + x["value"], lambda acc: acc / n)
+        sxx = F.aggregate(three, F.lit(0.0), lambda acc, x: acc + (x["year"] - middle) * (x["year"] - middle))
+        sxy = F.aggregate(three, F.lit(0.0), lambda acc, x: acc + (x["year"] - middle) * (x["value"] - mean))
+        return F.when(n >= 2, mean + F.try_divide(sxy, sxx) * (F.col("year") - middle)).otherwise(F.get(three, F.lit(0))["value"])
 
     outside = F.when(F.col("next").isNull(), line(F.slice("known", F.greatest(F.size("known") - 2, F.lit(1)), F.lit(3)))).otherwise(line(F.slice("known", F.lit(1), F.lit(3))))
     value = F.coalesce("value", F.when(F.col("prev").isNotNull() & F.col("next").isNotNull(), inside).when(F.size("known") > 0, outside))
-    rows = rows.withColumn("value", value).drop("prev", "next", "known")
+    rows = rows.withColumn("value", value).select(*grid.columns)
     return rows.withColumn("value", F.coalesce("value", F.avg("value").over(Window.partitionBy("indicator_code", "year"))))
 
 

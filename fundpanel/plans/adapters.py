@@ -1,6 +1,6 @@
 """Views that give the warehouse tables the shapes of the data model.
 
-A view is one SQL text for Spark and DuckDB alike; table names stand in braces.  Sums are taken over whole
+A view is one SQL text for Spark and DuckDB alike; table names stand in braces, braces of the text itself are doubled.  Sums are taken over whole
 cents, so both engines get the same doubles whatever their order of summation.
 """
 
@@ -53,6 +53,16 @@ UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), n_name, concat('r', C
     "fx": """SELECT upper(split_part(o_orderpriority, '-', 2)) AS source_currency, 'USD' AS target_currency, CAST(o_orderdate AS DATE) AS date, 0.5 + CAST(sum(o_custkey % 100) AS DOUBLE) / count(*) / 100 AS close
 FROM {orders} GROUP BY 1, 2, 3""",
     "snapshots": """SELECT event_id AS snapshot_id, user_id AS product_id, event_type AS url_prefix, props AS payload, CAST(concat('h', CAST(user_id % 7 AS {text}), CAST(event_id % 3 AS {text})) AS {text}) AS hash, ts AS created_at FROM {events}""",
+    "payloads": """SELECT 'orders' AS url_prefix, concat(CASE WHEN o_orderkey % 97 = 0 THEN 'x' ELSE '' END, '{{"customer":{{"id":', CAST(o_custkey AS {text}), CASE WHEN o_custkey % 3 = 0 THEN ',"vip":true' ELSE '' END, '}},"financials":[{{"name_tag":"', lower(split_part(o_orderpriority, '-', 2)), '","value":', CAST(o_custkey % 100 AS {text}), '}}',
+  CASE WHEN o_orderkey % 5 = 0 THEN ',{{"as_of_date":0}}' ELSE '' END, '],"holdings":[', CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat('{{"code":', CASE WHEN o_custkey % 2 = 0 THEN 'null' ELSE '"[x{{"' END, ',"name":"n', CAST(o_custkey % 50 AS {text}), '","tags":["a",null,1.5,[', CAST(o_orderkey % 3 AS {text}), ']]}}') END,
+  '],"status":"', o_orderstatus, '"}}') AS payload FROM {orders} UNION ALL SELECT event_type, props FROM {events}""",
+    "log_lines": """SELECT concat('run', CAST(user_id % 5 AS {text})) AS file, concat(CAST(date_trunc('second', ts) AS {text}), ' app.ingest.', CASE WHEN user_id % 5 = 4 THEN 'prices' ELSE 'details' END, ' INFO ', CASE
+  WHEN user_id % 5 = 4 THEN concat('Product ', CAST(user_id AS {text}), ': incremental price update complete (', CAST(event_id % 40 AS {text}), ' bars)')
+  WHEN event_type = 'error' THEN concat('Request to https://host/', CASE WHEN event_id % 2 = 0 THEN 'mf_holdings/' ELSE 'mf_ratios/' END, CAST(user_id AS {text}), ' failed (status ', CASE WHEN event_id % 3 = 0 THEN '503' ELSE '429' END, '), attempt ', CAST(1 + event_id % 4 AS {text}), '/5')
+  WHEN event_type = 'click' THEN concat('HTTP 429 hit. Pausing outbound requests for ', CAST(event_id % 7 AS {text}), '.5s (next backoff: 9.0s)')
+  WHEN event_type = 'view' THEN concat('Landing for product ', CAST(user_id AS {text}), ': changed=', CASE WHEN event_id % 3 = 0 THEN 'True' ELSE 'False' END)
+  WHEN event_type = 'signup' THEN concat('Failed to fetch holdings for product ', CAST(user_id AS {text}), ': timeout') ELSE concat('Stored ', CAST(event_id AS {text})) END) AS value FROM {events}""",
+    "indicator_gaps": "SELECT country_code, indicator_code, year, CASE WHEN CAST(round(value * 100) AS BIGINT) % 5 < 2 THEN nullif(0.0, 0.0) ELSE value END AS value FROM {indicators}",
     "indicators": """SELECT n_name AS country_code, split_part(o_orderpriority, '-', 2) AS indicator_code, y AS year, CAST(cents AS DOUBLE) / 100 AS value, y >= 2001 AS is_projection
 FROM (SELECT n_name, o_orderpriority, CAST(year(o_orderdate) AS INT) AS y, sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey GROUP BY 1, 2, 3) x""",
@@ -97,8 +107,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def duckdb(text: str) -> str:
     """DuckDB's SQL for a query over tables and views in braces: views become CTEs."""
-    body = re.sub(r"\{(\w+)\}", lambda m: "v_" + m[1] if m[1] in VIEWS else m[1], text.replace("{text}", "VARCHAR"))
-    ctes = [f"v_{x} AS ({re.sub(r'\{(\w+)\}', lambda m: 'v_' + m[1] if m[1] in VIEWS else m[1], VIEWS[x].replace('{text}', 'VARCHAR'))})" for x in needed(text)]
+    named = lambda t: re.sub(r"\{(\w+)\}", lambda m: "v_" + m[1] if m[1] in VIEWS else m[1], t.replace("{text}", "VARCHAR"))
+    body = named(text)
+    ctes = [f"v_{x} AS ({named(VIEWS[x]).replace('{{', '{').replace('}}', '}')})" for x in needed(text)]
     if not ctes:
         return body
     if body.lstrip().upper().startswith("WITH RECURSIVE"):
