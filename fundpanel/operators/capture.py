@@ -33,6 +33,12 @@ def flatten_details(raw: DataFrame, attributes: Sequence[str], nested: str = "co
     return out
 
 
+def listed_products(products: DataFrame, prices: DataFrame, observations: DataFrame, default: str = "SMART") -> DataFrame:
+    """The products that have prices as well as observations, with an exchange: their own, else the default one."""
+    kept = products.join(prices.select("product_id"), "product_id", "left_semi").join(observations.select("product_id"), "product_id", "left_semi")
+    return kept.withColumn("exchange_id", F.coalesce("exchange_id", F.lit(default)))
+
+
 def target_products(products: DataFrame, blocked: Sequence[str]) -> DataFrame:
     """Products whose primary, else own, exchange is unknown or not blocked; raises on an empty table."""
     if products.isEmpty():

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
+from . import ranks
 from .indicators import rank_within
 
 #: Levels below the root that a tree may have, references included.
@@ -179,14 +180,19 @@ def alternative_switches(chosen: DataFrame) -> DataFrame:
     return by.groupBy("leaf", "name").agg(F.sum("n").alias("n_scored"), F.count_if(F.col("k") > 1).alias("n_switching")).join(total, ["leaf", "name"])
 
 
-def alternative_agreement(rows: DataFrame, alternatives: DataFrame, least: int = 5) -> DataFrame:
-    """(leaf, name, a, b, n, rho): rank agreement of a component's alternatives where both have values."""
-    v = rows.select(F.col("indicator_code").alias("code"), "country_code", "year", "value").join(alternatives.select("leaf", "name", "code", "direction", "idx"), "code").withColumn("value", F.col("value") * F.col("direction"))
-    x, y = (v.select("leaf", "name", "country_code", "year", F.col("idx").alias(i), F.col("value").alias(f"v{i}")) for i in "ab")
-    both = x.join(y, ["leaf", "name", "country_code", "year"]).filter("a < b")
-    by = ["leaf", "name", "a", "b"]
-    both = both.withColumn("ra", rank_within(both, by, "va")).withColumn("rb", rank_within(both, by, "vb"))
-    return both.groupBy(*by).agg(F.count("*").alias("n"), F.corr("ra", "rb").alias("rho")).filter(F.col("n") >= least)
+def alternative_agreement(rows: DataFrame, alternatives: DataFrame, targets: DataFrame | None = None, least: int = 5) -> DataFrame:
+    """(leaf, name, a, b, n, rho) of a component's alternatives a and b over the country-years with both, n at least `least`.
+
+    With targets (country_code) also n_target and rho_target, over those countries; rho_target is null below `least`.
+    """
+    marked = rows if targets is None else rows.join(targets.select("country_code", F.lit(True).alias("target")).distinct(), "country_code", "left")
+    found = ranks.vectors(marked, "indicator_code", ["country_code", "year"], mark=None if targets is None else F.col("target"))
+    alt = lambda s: alternatives.select("leaf", "name", F.col("idx").alias(f"i{s}"), F.col("code").alias(s), F.col("direction").alias(f"d{s}"))
+    pairs = alt("a").join(alt("b"), ["leaf", "name"]).filter("ia < ib")
+    both = ranks.named_pairs(found, pairs).filter(F.col("n") >= least)
+    sign = F.signum(F.col("da") * F.col("db"))
+    out = both.select("leaf", "name", F.col("ia").alias("a"), F.col("ib").alias("b"), "n", (sign * F.col("rho")).alias("rho"), F.col("n_marked").alias("n_target"), F.when(F.col("n_marked") >= least, sign * F.col("rho_marked")).alias("rho_target"))
+    return out.drop("n_target", "rho_target") if targets is None else out
 
 
 def structure_checks(nodes: DataFrame, components: DataFrame, alternatives: DataFrame) -> DataFrame:
@@ -226,6 +232,19 @@ def alternative_coverage(alternatives: DataFrame, rows: DataFrame, weights: Data
     return out.select("leaf", "name", "idx", "code", "tier", "countries", "weighted", ((F.col("countries") == 0) & (F.col("tier") != "gap")).alias("dead"))
 
 
+def _gauge_of(nodes: DataFrame) -> DataFrame:
+    """(gauge, path): the child of a root above each node, or the node itself."""
+    top = nodes.filter("parent IS NULL").select(F.col("path").alias("parent"))
+    gauge = nodes.join(top, "parent").select(F.col("path").alias("gauge"), "path")
+    step = gauge
+    for _ in range(DEEPEST):
+        step = nodes.select("path", "parent").join(step.select("gauge", F.col("path").alias("parent")), "parent").select("gauge", "path")
+        if step.isEmpty():
+            break
+        gauge = gauge.unionByName(step)
+    return gauge
+
+
 def weight_shares(nodes: DataFrame, components: DataFrame, alternatives: DataFrame, rows: DataFrame) -> DataFrame:
     """(gauge, by, value, share): the share of each gauge's nominal weight by the state and by the tier of its components.
 
@@ -236,14 +255,7 @@ def weight_shares(nodes: DataFrame, components: DataFrame, alternatives: DataFra
     alts = alternatives.join(alive, "code", "left")
     state = alts.groupBy("leaf", "name").agg(F.min_by("tier", F.when(F.col("alive"), F.col("idx"))).alias("tier"), F.bool_or(F.coalesce("alive", F.lit(False))).alias("live"), F.min_by("tier", "idx").alias("first_tier"))
     state = state.select("leaf", "name", F.when(F.col("live"), "live").when(F.col("first_tier") == "gap", "gap").otherwise("dead").alias("state"), F.when(F.col("live"), F.col("tier")).otherwise("gap").alias("tier"))
-    top = nodes.filter("parent IS NULL").select(F.col("path").alias("parent"))
-    gauge = nodes.join(top, "parent").select(F.col("path").alias("gauge"), "path")
-    step = gauge
-    for _ in range(DEEPEST):
-        step = nodes.select("path", "parent").join(step.select("gauge", F.col("path").alias("parent")), "parent").select("gauge", "path")
-        if step.isEmpty():
-            break
-        gauge = gauge.unionByName(step)
+    gauge = _gauge_of(nodes)
     each = components.join(effective_weights(nodes).select(F.col("path").alias("leaf"), "effective"), "leaf").join(gauge.withColumnRenamed("path", "leaf"), "leaf").join(state, ["leaf", "name"], "left")
     each = each.withColumn("w", F.col("effective") * F.col("weight"))
     both = each.select("gauge", "w", F.explode(F.array(F.struct(F.lit("state").alias("by"), F.coalesce("state", F.lit("dead")).alias("value")), F.struct(F.lit("tier").alias("by"), F.coalesce("tier", F.lit("gap")).alias("value")))).alias("x"))
@@ -282,3 +294,81 @@ def published_agreement(scores: DataFrame, published: DataFrame, path: str, year
     each = both.select(F.explode(F.filter(F.array(F.struct(F.lit("all").alias("which"), F.lit(True).alias("ok")), F.struct(F.lit("present").alias("which"), (F.col("weight_present") >= present).alias("ok"))), lambda x: x["ok"])).alias("x"), "score", "ref").select("x.which", "score", "ref")
     each = each.withColumn("ra", rank_within(each, ["which"], "score")).withColumn("rb", rank_within(each, ["which"], "ref"))
     return each.groupBy("which").agg(F.count("*").alias("n"), F.when(F.count("*") >= least, F.corr("ra", "rb")).alias("rho"))
+
+
+#: Tiers from the best to the worst, and the status that a source has through each.
+TIERS = {"exact": "live", "substitute": "substitute", "proxy": "proxy"}
+
+
+def cited_ledger(sources: DataFrame, cites: DataFrame, alternatives: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row per cited source: how many components cite it, what data they have, and its status with a reason.
+
+    sources: id, reason (why it may have no consumer); cites: leaf, name, id; alternatives: leaf, name, idx, code, tier, reason (of a declared gap).
+    skipped without a component, else live, substitute or proxy by the best tier with data, else gap with the reason of
+    its first declared one, else dead.
+    """
+    data = rows.groupBy(F.col("indicator_code").alias("code")).agg(F.count_distinct("country_code").alias("n"), F.max("year").alias("last"))
+    alts = cites.select("leaf", "name", "id").distinct().join(alternatives, ["leaf", "name"], "left").join(data, "code", "left")
+    order = F.create_map(*[F.lit(x) for i, t in enumerate(TIERS) for x in (t, i)])
+    alive = F.col("n").isNotNull()
+    found = alts.groupBy("id").agg(
+        F.count_distinct("leaf", "name").alias("n_components"), F.array_join(F.array_sort(F.collect_set(F.when(alive, F.col("code")))), ", ").alias("codes_with_data"), F.coalesce(F.max("n"), F.lit(0)).alias("n_countries"), F.max("last").alias("latest_year"),
+        F.min(F.when(alive, order[F.col("tier")])).alias("best"), F.min(F.when(F.col("tier") == "gap", F.struct("leaf", "name", "idx", "reason"))).alias("gap"),
+    )
+    out = sources.select("id", F.col("reason").alias("own_reason")).join(found, "id", "left").withColumn("n_components", F.coalesce("n_components", F.lit(0)))
+    status = F.when(F.col("n_components") == 0, "skipped").when(F.col("best").isNotNull(), F.get(F.array(*map(F.lit, TIERS.values())), F.col("best"))).when(F.col("gap").isNotNull(), "gap").otherwise("dead")
+    reason = F.when(F.col("status") == "skipped", F.coalesce("own_reason", F.lit("NO_CONSUMER"))).when(F.col("status") == "gap", F.col("gap.reason")).when(F.col("status") == "dead", "NO_ROWS").otherwise("")
+    out = out.withColumn("status", status).withColumn("reason", reason)
+    return out.select("id", "n_components", F.coalesce("codes_with_data", F.lit("")).alias("codes_with_data"), F.coalesce("n_countries", F.lit(0)).alias("n_countries"), "latest_year", "status", "reason")
+
+
+def weighted_health(rows: DataFrame, weights: DataFrame, n_countries: int, recent: int, least: int = 30, few: int = 5) -> DataFrame:
+    """Per code, over its actual values (over projected ones if it has no others): coverage by number and by weight (country_code, weight), the weight
+    that reports from the year `recent` on, the first year with enough countries, whether it has fewer than `few` different values, and whether any value is projected."""
+    some = F.bool_or(~F.col("is_projection")).over(Window.partitionBy("indicator_code"))
+    seen = rows.withColumn("some", some).filter(~F.col("some") | ~F.col("is_projection"))
+    by_year = seen.groupBy("indicator_code", "year").agg(F.count_distinct("country_code").alias("n"))
+    first = by_year.groupBy("indicator_code").agg(F.max("year").alias("latest_year"), F.min(F.when(F.col("n") >= least, F.col("year"))).alias("first_valid_year"))
+    reporting = seen.groupBy("indicator_code", "country_code").agg(F.max("year").alias("last")).join(weights, "country_code", "left")
+    covered = reporting.groupBy("indicator_code").agg(F.count("*").alias("countries"), (F.count("*") / n_countries).alias("coverage"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weighted"), F.coalesce(F.sum(F.when(F.col("last") >= recent, F.col("weight"))), F.lit(0.0)).alias("weighted_recent"))
+    values = seen.groupBy("indicator_code").agg((F.count_distinct("value") < few).alias("degenerate"))
+    projected = rows.groupBy("indicator_code").agg(F.bool_or("is_projection").alias("has_projection"))
+    return covered.join(first, "indicator_code").join(values, "indicator_code").join(projected, "indicator_code")
+
+
+def basis_shares(nodes: DataFrame, components: DataFrame, by: str = "basis") -> DataFrame:
+    """(gauge, value, share): the share of each gauge's nominal weight by a column of its components, such as the basis of their weights."""
+    each = components.join(effective_weights(nodes).select(F.col("path").alias("leaf"), "effective"), "leaf").join(_gauge_of(nodes).withColumnRenamed("path", "leaf"), "leaf")
+    sums = each.groupBy("gauge", F.col(by).alias("value")).agg(F.sum(F.col("effective") * F.col("weight")).alias("w"))
+    return sums.select("gauge", "value", (F.col("w") / F.sum("w").over(Window.partitionBy("gauge"))).alias("share"))
+
+
+def switches_by_alternative(chosen: DataFrame, targets: DataFrame) -> DataFrame:
+    """(leaf, name, idx, country_years, switching, switching_targets): the country-years each alternative scores, beside how many countries, and how many of the targets (country_code), use several alternatives of the component."""
+    by = chosen.groupBy("leaf", "name", "idx").agg(F.count("*").alias("country_years"))
+    several = chosen.groupBy("leaf", "name", "country_code").agg((F.min("idx") < F.max("idx")).alias("several")).filter("several")
+    several = several.join(targets.select("country_code", F.lit(1).alias("target")).distinct(), "country_code", "left")
+    counts = several.groupBy("leaf", "name").agg(F.count("*").alias("switching"), F.count("target").alias("switching_targets"))
+    return by.join(counts, ["leaf", "name"], "left").fillna(0, ["switching", "switching_targets"])
+
+
+def tree_checks(nodes: DataFrame, components: DataFrame, alternatives: DataFrame, cites: DataFrame, sources: DataFrame, reasons: DataFrame, stated: DataFrame) -> DataFrame:
+    """(check, item, value): what is wrong with a tree's tables, and how far its weights are from stated ones.
+
+    Beside structure_checks: gaps whose reason isn't among reasons (reason), cites of unknown sources, and for each leaf of
+    stated (leaf, name, weight; any scale) its largest difference and how many components are matched.
+    """
+    none = F.lit(None).cast("double")
+    base = structure_checks(nodes, components, alternatives).withColumn("value", none)
+    gaps = alternatives.filter("tier = 'gap'").join(reasons.select("reason").distinct(), "reason", "left_anti").select(F.lit("unknown reason").alias("check"), F.concat_ws("/", "leaf", "name", F.coalesce("reason", F.lit("?"))).alias("item"), none.alias("value"))
+    unknown = cites.join(sources.select("id").distinct(), "id", "left_anti").select(F.lit("unknown source").alias("check"), F.concat_ws("/", "leaf", "name", F.col("id").cast("string")).alias("item"), none.alias("value"))
+    share = stated.withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy("leaf"))).select("leaf", "name", "share")
+    apart = share.join(components.select("leaf", "name", F.col("weight").alias("own")), ["leaf", "name"], "left").groupBy("leaf").agg(F.max(F.abs(F.col("own") - F.col("share"))).alias("apart"), F.count("own").cast("double").alias("matched"))
+    weights = apart.select(F.explode(F.array(F.struct(F.lit("weight difference").alias("check"), F.col("leaf").alias("item"), F.col("apart").alias("value")), F.struct(F.lit("weights matched").alias("check"), F.col("leaf").alias("item"), F.col("matched").alias("value")))).alias("x")).select("x.*")
+    return base.unionByName(gaps).unionByName(unknown).unionByName(weights)
+
+
+def quality_view(scores: DataFrame, quality: DataFrame) -> DataFrame:
+    """Leaf scores of the whole (path, year, country_code, score) beside those from intensity alone (leaf, .., quality), and their difference; null where there are none."""
+    both = scores.join(quality.withColumnRenamed("leaf", "path"), ["path", "year", "country_code"], "left")
+    return both.select("path", "year", "country_code", "score", "quality", (F.col("quality") - F.col("score")).alias("difference"))

@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranks
+
 KEY = ["country_code", "indicator_code", "year"]
 
 
@@ -22,6 +24,11 @@ def tidy(rows: DataFrame, universe: DataFrame | None = None) -> DataFrame:
     return out if universe is None else out.join(universe.select("country_code").distinct(), "country_code", "left_semi")
 
 
+def flag_projections(rows: DataFrame, first_year: int, sources: Sequence[str] = ()) -> DataFrame:
+    """is_projection: the year is first_year or later, or the row's source is one that projects."""
+    return rows.withColumn("is_projection", (F.col("year") >= first_year) | (F.coalesce(F.col("source").isin(*sources), F.lit(False)) if sources else F.lit(False)))
+
+
 def wide_to_long(rows: DataFrame, ids: Sequence[str], prefix: str = "") -> DataFrame:
     """Year columns (prefix and four digits) as rows: ids.., year, value."""
     years = [c for c in rows.columns if c.startswith(prefix) and c[len(prefix) :].isdigit() and len(c) == len(prefix) + 4]
@@ -311,12 +318,8 @@ def rank_within(rows: DataFrame, by: Sequence[str], value: str = "value") -> Col
 
 
 def spearman(rows: DataFrame) -> DataFrame:
-    """(a, b, n, rho) for all pairs of codes over the country-years that both have."""
-    x = rows.select(F.col("indicator_code").alias("a"), "country_code", "year", F.col("value").alias("va"))
-    y = rows.select(F.col("indicator_code").alias("b"), "country_code", "year", F.col("value").alias("vb"))
-    both = x.join(y, ["country_code", "year"]).filter("a < b")
-    both = both.withColumn("ra", rank_within(both, ["a", "b"], "va")).withColumn("rb", rank_within(both, ["a", "b"], "vb"))
-    return both.groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("ra", "rb").alias("rho"))
+    """(a, b, n, rho) for all pairs of codes over the country-years that both have; rho is null where one is constant."""
+    return ranks.all_pairs(ranks.vectors(rows, "indicator_code", ["country_code", "year"]))
 
 
 def vif_prune(wide: DataFrame, columns: Sequence[str], threshold: float = 10.0) -> list[str]:

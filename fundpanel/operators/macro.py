@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -113,12 +114,15 @@ def regress(design: DataFrame, k: int, hac_lags: int = 4) -> DataFrame:
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def coefficients(xx: pd.Series, xy: pd.Series) -> pd.Series:
-        return pd.Series([np.linalg.pinv(a) @ b for a, b in zip(square(xx), xy, strict=True)])
+        """All products of a batch in one stacked solve."""
+        return pd.Series(list((np.linalg.pinv(square(xx)) @ np.stack(xy.to_list())[..., None])[..., 0])) if len(xx) else pd.Series([], dtype=object)
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def errors(xx: pd.Series, s: pd.Series) -> pd.Series:
-        inverse = [np.linalg.pinv(a) for a in square(xx)]
-        return pd.Series([np.sqrt(np.maximum(np.diag(a @ b @ a), 0)) for a, b in zip(inverse, square(s), strict=True)])
+        if not len(xx):
+            return pd.Series([], dtype=object)
+        inverse = np.linalg.pinv(square(xx))
+        return pd.Series(list(np.sqrt(np.maximum(np.diagonal(inverse @ square(s) @ inverse, axis1=1, axis2=2), 0))))
 
     cross = [(i, j) for i in range(k) for j in range(k)]
     xx = F.array(*(F.sum(F.col("x")[i] * F.col("x")[j]) for i, j in cross))
@@ -138,3 +142,10 @@ def regress(design: DataFrame, k: int, hac_lags: int = 4) -> DataFrame:
 
     s = rows.groupBy("product_id").agg(F.array(*(term(i, j) for i, j in cross)).alias("s"))
     return fit.join(s, "product_id").select("product_id", "n", "beta", errors("xx", "s").alias("se"))
+
+
+def summed_beta(fit: DataFrame, names: Sequence[str], lags: int = 1) -> DataFrame:
+    """A fit of lagged_design with summed: per factor the coefficients of all its lags added up."""
+    at = lambda i: [1 + i + step * len(names) for step in range(lags + 1)]
+    sums = {n: reduce(Column.__add__, (F.col("beta")[j] for j in at(i))) for i, n in enumerate(names)}
+    return fit.withColumn("summed", F.create_map(*(x for n, c in sums.items() for x in (F.lit(n), c))))

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 
 @dataclass(frozen=True)
 class SeriesSpec:
@@ -135,28 +137,65 @@ def upsert_tail(old: DataFrame, new: DataFrame, spec: SeriesSpec) -> DataFrame:
     return old.join(tail.select(*key), key, "left_anti").unionByName(tail)
 
 
+def decide(old: DataFrame, new: DataFrame, spec: SeriesSpec, refetched: DataFrame | None = None, share: float = 0.9) -> DataFrame:
+    """One row per (entity.., date) of all sides, with the bars o, n and f (old, batch, refetched) and the entity's verdict, changed, n_old, n_new and action.
+
+    All sides are dealt by entity once; bars of a date meet in an aggregate, what the overlap says comes from windows
+    over the entity, both on that partitioning.  See validate, historical_change and truncation for the rules, reconcile for the actions.
+    """
+    entity, key = list(spec.entity), [*spec.entity, "date"]
+    bar = F.struct(*(c for c in old.columns if c not in key))
+    sides = {"o": old, "n": new, "f": new if refetched is None else refetched}
+    kept = {m: rows for m, rows in sides.items() if m != "f" or refetched is not None}
+    rows = reduce(DataFrame.unionByName, (r.select(*key, *((bar if m == mark else F.lit(None).cast(old.select(bar.alias("b")).schema["b"].dataType)).alias(m) for m in kept)) for mark, r in kept.items()))
+    rows = rows.repartition(*entity).groupBy(*key).agg(*(F.first(m, ignorenulls=True).alias(m) for m in kept))
+    if refetched is None:
+        rows = rows.withColumn("f", F.col("n"))
+    of = Window.partitionBy(*entity)
+    has_old, has_new = F.col("o").isNotNull(), F.col("n").isNotNull()
+    rows = rows.withColumn("last_date", F.max(F.when(has_old, F.col("date"))).over(of))
+    inside = F.coalesce(F.col("date").between(F.date_sub("last_date", spec.overlap_days), F.col("last_date")), F.lit(False))
+    rows = rows.withColumn("inside", inside & (has_old | has_new))
+    place = F.row_number().over(of.orderBy((F.col("inside") & has_old).desc(), F.col("inside").desc(), F.col("date").desc()))
+
+    def differs(mark: str) -> Column:
+        return reduce(Column.__or__, (~is_close(F.col(f"o.{c}"), F.col(f"{mark}.{c}"), spec.rel_tol, spec.abs_tol) for c in spec.values))
+
+    rows = rows.withColumns({"recent": place <= spec.recent, "bad": F.col("inside") & has_old & has_new & differs("n")})
+    ratio = F.when(F.col("bad") & F.col("recent") & (F.col(f"o.{spec.close}") > 0), F.col(f"n.{spec.close}") / F.col(f"o.{spec.close}"))
+    beyond = [(F.abs(F.col(f"n.{c}") - F.col(f"o.{c}")) > spec.settle_abs) & (F.abs(F.col(f"n.{c}") - F.col(f"o.{c}")) > spec.settle_rel * F.abs(F.col(f"o.{c}"))) for c in spec.values]
+    earlier = has_old & (F.col("date") < F.date_sub("last_date", spec.overlap_days))
+    rows = rows.withColumns({
+        "dates": F.bool_or(F.col("inside") & (has_old != has_new)).over(of), "any_bad": F.bool_or("bad").over(of), "core": F.bool_or(F.col("bad") & ~F.col("recent")).over(of),
+        "n_ratio": F.count(ratio).over(of), "spread": F.stddev_pop(ratio).over(of), "ratio": F.avg(ratio).over(of), "beyond": F.bool_or(F.col("bad") & F.coalesce(reduce(Column.__or__, beyond), F.lit(False))).over(of),
+        "changed": F.bool_or(F.when(earlier, F.col("f").isNull() | differs("f"))).over(of), "n_old": F.count("o").over(of), "n_given": F.count("n").over(of), "n_new": F.count("f").over(of),
+    })
+    action = "corporate_action" if spec.splits else "restatement"
+    uniform = F.lit(spec.splits) & (F.col("n_ratio") >= 2) & (F.col("spread") <= spec.ratio_spread) & (F.abs(F.col("ratio") - 1) > spec.ratio_spread)
+    verdict = F.when(F.col("n_old") > 0, F.when(F.col("dates"), "date_mismatch").when(~F.col("any_bad"), "ok").when(F.col("core"), action).when(uniform, "corporate_action").when(F.col("beyond"), "value_mismatch").otherwise("ok"))
+    long_enough = F.col("n_new") >= F.when(F.col("n_old") > 5, F.floor(F.col("n_old") * share)).otherwise(1)
+    rows = rows.withColumn("verdict", verdict)
+    step = F.when(F.col("n_given") == 0, "none").when(F.col("n_old") == 0, "fill").when(F.col("verdict") == "ok", "extend").when(long_enough, "replace").otherwise("error")
+    rows = rows.filter("n_old > 0 OR n_given > 0").withColumn("action", step)
+    return rows.select(*key, "o", "n", "f", "last_date", "verdict", "changed", "n_old", "n_new", "action")
+
+
 def reconcile(old: DataFrame, new: DataFrame, spec: SeriesSpec, run_id: Column, refetched: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(series, archived, status) after a batch.
 
     Entities without old bars are filled, those in order extended.  Others are replaced by their refetched series (the
     batch itself if none is given) when that is long enough, and their old bars archived with run and reason
-    when history changed; otherwise the old bars stay and the status is error.
+    when history changed; otherwise the old bars stay and the status is error.  Each side has one bar of a date.  The decisions are made
+    in one pass and stored; the three results are filters of them.
     """
-    entity = list(spec.entity)
-    full = new if refetched is None else refetched
-    verdict = validate(old, new, spec)
-    known = old.select(*entity).distinct().withColumn("known", F.lit(True))
-    given = new.select(*entity).distinct().withColumn("given", F.lit(True))
-    plan = known.join(given, entity, "full_outer").join(verdict, entity, "left").join(truncation(old, full, spec), entity, "left").join(historical_change(old, full, spec), entity, "left")
-    action = F.when(F.col("given").isNull(), "none").when(F.col("known").isNull(), "fill").when(F.col("verdict") == "ok", "extend").when(F.col("kept"), "replace").otherwise("error")
-    plan = plan.withColumn("action", action)
-
-    def of(rows: DataFrame, *actions: str) -> DataFrame:
-        return rows.join(plan.filter(F.col("action").isin(*actions)).select(*entity), entity, "left_semi")
-
-    series = of(old, "none", "error").unionByName(of(full, "fill", "replace").select(*old.columns)).unionByName(upsert_tail(of(old, "extend"), of(new, "extend").select(*old.columns), spec))
-    gone = plan.filter((F.col("action") == "replace") & F.coalesce("changed", F.lit(False)))
-    archived = old.join(gone.select(*entity, F.col("verdict").alias("reason")), entity).withColumn("run_id", run_id)
+    entity, key = list(spec.entity), [*spec.entity, "date"]
+    bars = stage(decide(old, new, spec, refetched))
+    tail = F.col("n").isNotNull() & (F.col("date") >= F.date_sub("last_date", spec.overlap_days))
+    bar = F.when(F.col("action").isin("fill", "replace"), F.col("f")).when((F.col("action") == "extend") & tail, F.col("n")).otherwise(F.col("o"))
+    series = bars.withColumn("bar", bar).filter("bar IS NOT NULL").select(*key, "bar.*").select(*old.columns)
+    gone = (F.col("action") == "replace") & F.coalesce("changed", F.lit(False)) & F.col("o").isNotNull()
+    archived = bars.filter(gone).select(*key, "o.*", F.col("verdict").alias("reason")).select(*old.columns, "reason").withColumn("run_id", run_id)
+    plan = bars.groupBy(*entity).agg(*(F.first(c).alias(c) for c in ("action", "n_old", "n_new")))
     message = F.when(F.col("action") == "error", F.substring(F.concat_ws(" ", F.lit("kept"), F.col("n_old").cast("string"), F.lit("bars, refetch has"), F.col("n_new").cast("string")), 1, 500))
     status = plan.select(*entity, "action", F.when(F.col("action") == "error", "error").when(F.col("action") == "none", "no_data").otherwise("ok").alias("status"), message.alias("error_message"))
     return series, archived, status

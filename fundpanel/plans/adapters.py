@@ -73,6 +73,8 @@ UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), concat('r', CAST(n_re
 UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), 'h', 'intensity' FROM {nation} UNION ALL SELECT concat('n', CAST(n_nationkey AS {text})), 'm', 'intensity' FROM {nation}""",
     "tree_alternatives": """SELECT leaf, name, 0 AS idx, CASE WHEN name = 'u' THEN 'URGENT' WHEN name = 'h' THEN 'NOWHERE' ELSE 'MEDIUM' END AS code, CASE WHEN leaf = 'n9' AND name = 'h' THEN 'gap' ELSE 'exact' END AS tier, CASE WHEN name = 'm' THEN -1 ELSE 1 END AS direction FROM {tree_components}
 UNION ALL SELECT leaf, name, 1, CASE WHEN name = 'm' THEN 'LOW' ELSE 'HIGH' END, CASE WHEN name = 'm' THEN 'proxy' ELSE 'substitute' END, 1 FROM {tree_components} WHERE name <> 'u' AND leaf <> 'n9' AND leaf <> 'n11'""",
+    "tree_sources": "SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN 'PAYWALL' ELSE nullif('', '') END AS reason FROM {supplier}",
+    "tree_cites": "SELECT leaf, name, s_suppkey AS id FROM {tree_components} JOIN {supplier} ON leaf = concat('n', CAST(s_nationkey AS {text})) WHERE s_suppkey % 4 <> 0 AND (s_suppkey % 2 = 0 OR name = 'h')",
     "numbers_text": """SELECT l_orderkey, l_linenumber,
   concat(CASE l_linenumber % 4 WHEN 0 THEN '$' WHEN 1 THEN 'EUR ' WHEN 2 THEN '€' ELSE '' END, CAST(CAST(floor(l_extendedprice) AS BIGINT) AS {text}), '.', CAST(CAST(l_quantity AS BIGINT) AS {text}), CASE l_orderkey % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'K' WHEN 2 THEN 'B' ELSE '' END,
     CASE WHEN l_orderkey % 3 = 0 THEN concat(' (', CAST({date} AS {text}), ')') ELSE '' END) AS amount,

@@ -192,8 +192,8 @@ def returns_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = view(spark, sf_dir, "supplier")
     prices, obs = view(spark, sf_dir, "prices").select("product_id"), view(spark, sf_dir, "obs_aum").select("product_id")
-    rows = s.select(F.col("s_suppkey").alias("product_id"), F.coalesce(F.when(F.col("s_nationkey") > 5, F.col("s_name")), F.lit("SMART")).alias("exchange"))
-    return rows.join(prices, "product_id", "left_semi").join(obs, "product_id", "left_semi")
+    rows = s.select(F.col("s_suppkey").alias("product_id"), F.when(F.col("s_nationkey") > 5, F.col("s_name")).alias("exchange_id"))
+    return capture.listed_products(rows, prices, obs).withColumnRenamed("exchange_id", "exchange")
 
 
 _LAST = "l AS (SELECT product_id, max(date) AS last_date FROM {prices} GROUP BY 1)"
