@@ -73,7 +73,16 @@ def percentage_error(c: Column, bound: bool = False) -> Column:
     return F.coalesce(~F.lower(F.trim(c)).isin(*_BLANK) & s.try_cast("double").isNull(), F.lit(False))
 
 
+#: A date inside an amount, what isn't part of a number, and a number with its unit.
 _EMBEDDED_DATE = r"(\d{4}[-/]?\d{2}[-/]?\d{2}|\d{8})"
+_NOT_NUMBER = "[^0-9.,kKmMbBtT]"
+_NUMBER = r"([0-9]+(?:\.[0-9]+)?)\s*([kKmMbBtT]?)"
+UNITS = {"": 1.0, "k": 1e3, "m": 1e6, "b": 1e9, "t": 1e12}
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def embedded_date(c: Column) -> Column:
@@ -87,23 +96,20 @@ def net_assets(c: Column) -> Column:
     With both marks the one that comes first is for thousands; a comma alone is so when three digits
     follow the last and at most three characters precede the first.
     """
-    raw = F.trim(c)
-    date = F.regexp_extract(raw, _EMBEDDED_DATE, 1)
-    at = F.instr(raw, date)
-    rest = F.when(date == "", raw).otherwise(F.concat(F.substring(raw, F.lit(1), at - 1), F.substring(raw, at + F.length(date), F.length(raw))))
-    s = F.regexp_replace(rest, "[^0-9.,kKmMbBtT]", "")
-    comma, dot = F.instr(s, ","), F.instr(s, ".")
-    last = F.regexp_replace(F.element_at(F.split(s, ","), -1), "[^0-9]", "")
-    no_comma, no_dot = F.replace(s, F.lit(","), F.lit("")), F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    plain = (
-        F.when((comma > 0) & (dot > 0), F.when(comma < dot, no_comma).otherwise(no_dot))
-        .when(comma > 0, F.when((F.length(last) == 3) & (comma - 1 <= 3), no_comma).otherwise(F.replace(s, F.lit(","), F.lit("."))))
-        .otherwise(s)
-    )
-    number = F.regexp_extract(plain, r"([0-9]+(?:\.[0-9]+)?)\s*([kKmMbBtT]?)", 1).try_cast("double")
-    unit = F.lower(F.regexp_extract(plain, r"([0-9]+(?:\.[0-9]+)?)\s*([kKmMbBtT]?)", 2))
-    scale = F.when(unit == "k", 1e3).when(unit == "m", 1e6).when(unit == "b", 1e9).when(unit == "t", 1e12).otherwise(1.0)
-    return F.when(~F.lower(raw).isin(*_BLANK), number * scale)
+
+    def thousands(text: Column) -> Column:
+        """The mark for thousands: the first of two kinds, or commas that part groups of three; else none."""
+        comma, dot = F.instr(text, ","), F.instr(text, ".")
+        groups = text.rlike("^[^,]{0,3},(.*,)?[^0-9,]*([0-9][^0-9,]*){3}$")
+        return F.when((comma > 0) & (dot > 0), F.when(comma < dot, ",").otherwise(".")).when((comma > 0) & groups, ",").otherwise("")
+
+    def number(text: Column) -> Column:
+        plain = F.replace(F.replace(text, thousands(text), F.lit("")), F.lit(","), F.lit("."))
+        unit = F.element_at(F.create_map(*(F.lit(x) for pair in UNITS.items() for x in pair)), F.lower(F.regexp_extract(plain, _NUMBER, 2)))
+        return F.regexp_extract(plain, _NUMBER, 1).try_cast("double") * unit
+
+    undated = _let(F.trim(c), lambda raw: F.when(raw.rlike(_EMBEDDED_DATE), F.array_join(F.split(raw, _EMBEDDED_DATE, 2), "")).otherwise(raw))
+    return F.when(~F.lower(F.trim(c)).isin(*_BLANK), _let(F.regexp_replace(undated, _NOT_NUMBER, ""), number))
 
 
 def amount_currency(c: Column, contract_currency: Column, known: Column) -> Column:

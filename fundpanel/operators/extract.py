@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import parsers as p
 from ..sources.staging import stage
 from .keyed import upsert_newer
+from .profile import nesting
 
 COLUMNS = ("snapshot_id", "product_id", "family", "metric", "code", "effective_date", "date_source_depth", "fetched_at", "value", "raw_value", "ordinal", "error")
 _ITEM = "array<struct<name:string,weight:string,formatted_weight:string,country_code:string>>"
@@ -43,56 +44,78 @@ def _scope(raw: Column, depth: int, date: Column | None = None, level: Column |
 
 
 def _rows(df: DataFrame, family: Column | str, metric: Column | str, value: Column, raw: Column, scope: tuple[Column, Column] | None = None, code: Column | None = None, ordinal: Column | int = 0, error: Column | None = None) -> DataFrame:
-    """Observation rows of a frame; a row is kept if it has a finite value or an error."""
+    """Observation rows of a frame; a row is kept if it has a finite value or an error.
+
+    The row is laid out from an array of one struct, so that the test works on its fields and nothing is computed twice.
+    """
     lit = lambda x: F.lit(x) if isinstance(x, str | int) else x
     date, depth = scope or (F.col("day"), F.lit(0))
     none = F.lit(None).cast("string")
-    out = df.select(
-        "snapshot_id", "product_id", lit(family).alias("family"), lit(metric).alias("metric"), (none if code is None else code).alias("code"), date.alias("effective_date"),
-        depth.cast("int").alias("date_source_depth"), F.col("created_at").alias("fetched_at"), value.alias("value"), raw.alias("raw_value"), lit(ordinal).cast("long").alias("ordinal"), (none if error is None else error).alias("error"),
+    row = F.struct(
+        lit(family).alias("family"), lit(metric).alias("metric"), (none if code is None else code).alias("code"), date.alias("effective_date"), depth.cast("int").alias("date_source_depth"), F.col("created_at").alias("fetched_at"),
+        value.alias("value"), raw.alias("raw_value"), lit(ordinal).cast("long").alias("ordinal"), (none if error is None else error).alias("error"),
     )
-    return out.filter(p.finite(F.col("value")) | F.col("error").isNotNull())
+    return df.select("snapshot_id", "product_id", F.inline(F.array(row))).filter(p.finite(F.col("value")) | F.col("error").isNotNull())
 
 
 def _error(bad: Column, *text: Column | str) -> Column:
     return F.when(F.coalesce(bad, F.lit(False)), F.concat(*(F.lit(x) if isinstance(x, str) else F.coalesce(x, F.lit("?")) for x in text)))
 
 
-def simplex(df: DataFrame, items: str, family: str, members: Mapping[str, bool] | None, name: Callable[[Column], Column] = lambda c: c, residuals: Sequence[str] = (), code: Callable[[Column], Column] | None = None, ordinal: int = 0) -> DataFrame:
-    """One sleeve: weights clipped at 0 and divided by their sum; then residual members go.
+def _numbered(items: Column, fields: Callable[[Column, Column], Sequence[Column]], kind: str) -> Column:
+    """The items of a list as an array of structs of one type; a missing list has none."""
+    return F.coalesce(F.transform(items, lambda x, i: F.struct(*fields(x, i))).cast(kind), F.array().cast(kind))
 
-    The sum of a sleeve is taken inside its row, so nothing is shuffled.
-    """
-    given = F.filter(F.col(f"j.{items}"), lambda x: x["name"].isNotNull() & (x["name"] != "") & x["weight"].try_cast("double").isNotNull())
-    total = F.aggregate(given, F.lit(0.0), lambda acc, x: acc + F.greatest(x["weight"].try_cast("double") / 100, F.lit(0.0)))
-    rows = df.withColumn("total", total).select("snapshot_id", "product_id", "created_at", "day", "j", "total", F.posexplode(given).alias("i", "x"))
-    label = p.snake_case(name(F.col("x.name")))
-    share = F.greatest(F.col("x.weight").try_cast("double") / 100, F.lit(0.0)) / F.col("total")
-    gone = list(residuals) + [k for k, residual in (members or {}).items() if residual]
-    error = _error(~label.isin(*members), f"unknown {family} ", label) if members is not None else None
-    keep = (F.col("total") > 0) & ~label.isin(*gone) if gone else F.col("total") > 0
-    raw = F.coalesce("x.formatted_weight", "x.weight")
-    return _rows(rows, family, label, F.when(keep, share), raw, _scope(F.col("j.as_of_date"), 1), code(F.col("x")) if code else None, F.col("i") + ordinal, error)
 
+def _lookup(pairs: Mapping[str, str | None]) -> Column:
+    return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.lit(v).cast("string"))])
 
-def holdings(snapshots: DataFrame) -> DataFrame:
-    df = parsed(snapshots, "holdings")
-    top = F.col("j.top_10_weight")
-    remap = F.create_map(*[x for k, v in vocab.COUNTRY_CODE_REMAPS.items() for x in (F.lit(k), F.lit(v).cast("string"))])
-    renamed = F.create_map(*[F.lit(x) for pair in vocab.INDUSTRY_NAME_REMAPS.items() for x in pair])
 
-    def country(x: Column) -> Column:
-        return F.when(F.trim(x["name"]).isin(*vocab.COUNTRY_CODE_REMAPS), F.element_at(remap, F.trim(x["name"]))).otherwise(x["country_code"])
+def _by(kind: Column, cases: Mapping[str, Column]) -> Column:
+    """The case of a row's kind; null without one."""
+    out = F.lit(None)
+    for name, value in cases.items():
+        out = F.when(kind == name, value).otherwise(out)
+    return out
 
-    parts = [
-        _rows(df, "profile", "top_10_weight", p.percentage(top), top, _scope(F.col("j.as_of_date"), 1), error=_error(p.percentage_error(top), "bad percentage ", top)),
-        simplex(df, "allocation_self", "asset_class", vocab.ASSET_CLASS_METRICS, ordinal=1_000),
-        simplex(df, "investor_country", "country", None, residuals=vocab.COUNTRY_RESIDUALS, code=country, ordinal=2_000),
-        simplex(df, "industry", "industry", vocab.INDUSTRY_METRICS, lambda c: F.coalesce(F.element_at(renamed, c), c), ordinal=3_000),
-        simplex(df, "debtor", "credit_rating", vocab.CREDIT_RATING_METRICS, p.credit_label, ordinal=4_000),
-        simplex(df, "maturity", "maturity", vocab.MATURITY_METRICS, ordinal=5_000),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+
+#: The sleeves of holdings: family -> list, members (whether each is residual), first ordinal.
+SLEEVES = {
+    "asset_class": ("allocation_self", vocab.ASSET_CLASS_METRICS, 1_000),
+    "country": ("investor_country", None, 2_000),
+    "industry": ("industry", vocab.INDUSTRY_METRICS, 3_000),
+    "credit_rating": ("debtor", vocab.CREDIT_RATING_METRICS, 4_000),
+    "maturity": ("maturity", vocab.MATURITY_METRICS, 5_000),
+}
+
+
+def holdings(snapshots: DataFrame) -> DataFrame:
+    """The share of the ten largest, and sleeves: weights clipped at 0 and divided by their sum; then residual members go.
+
+    All sleeves of a snapshot are one array, which is laid out once; a sleeve's sum is taken inside it, so nothing is shuffled.
+    """
+    df = parsed(snapshots, "holdings")
+    weight = lambda x: x["weight"].try_cast("double")
+    given = lambda items: F.filter(F.col(f"j.{items}"), lambda x: x["name"].isNotNull() & (x["name"] != "") & weight(x).isNotNull())
+    top = F.array(F.struct(F.lit(None).alias("name"), F.col("j.top_10_weight").alias("weight"), F.lit(None).alias("formatted_weight"), F.lit(None).alias("country_code"))).cast(_ITEM)
+    parts = [F.struct(F.lit("profile").alias("family"), F.lit(0).alias("base"), top.alias("given"))]
+    parts += [F.struct(F.lit(family).alias("family"), F.lit(base).alias("base"), given(items).alias("given")) for family, (items, _, base) in SLEEVES.items()]
+    scope = _scope(F.col("j.as_of_date"), 1)
+    df = df.withColumns({"date": scope[0], "depth": scope[1]}).select("snapshot_id", "product_id", "created_at", "day", "date", "depth", F.inline(F.array(*parts)))
+    share = lambda x: F.greatest(weight(x) / 100, F.lit(0.0))
+    df = df.withColumn("total", F.aggregate("given", F.lit(0.0), lambda acc, x: acc + share(x)))
+    df = df.select("snapshot_id", "product_id", "created_at", "day", "date", "depth", "family", "base", "total", F.posexplode("given").alias("i", "x"))
+    family, name, raw = F.col("family"), F.col("x.name"), F.col("x.weight")
+    renamed = F.coalesce(F.element_at(_lookup(vocab.INDUSTRY_NAME_REMAPS), name), name)
+    df = df.withColumn("label", F.when(family == "profile", "top_10_weight").otherwise(p.snake_case(F.when(family == "industry", renamed).when(family == "credit_rating", p.credit_label(name)).otherwise(name))))
+    label = F.col("label")
+    member = _by(family, {f: label.isin(*members) for f, (_, members, _) in SLEEVES.items() if members is not None})
+    residual = _by(family, {f: label.isin(*gone) for f, (_, members, _) in SLEEVES.items() if (gone := [k for k, r in (members or {}).items() if r] or (vocab.COUNTRY_RESIDUALS if f == "country" else ()))})
+    sleeve = F.when((F.col("total") > 0) & ~F.coalesce(residual, F.lit(False)), share(F.col("x")) / F.col("total"))
+    value = F.when(family == "profile", p.percentage(raw)).otherwise(sleeve)
+    error = F.coalesce(_error((family == "profile") & p.percentage_error(raw), "bad percentage ", raw), _error(~member, "unknown ", family, " ", label))
+    remapped = F.when(F.trim(name).isin(*vocab.COUNTRY_CODE_REMAPS), F.element_at(_lookup(vocab.COUNTRY_CODE_REMAPS), F.trim(name))).otherwise(F.col("x.country_code"))
+    return _rows(df, family, label, value, F.coalesce("x.formatted_weight", raw), (F.col("date"), F.col("depth")), F.when(family == "country", remapped), F.col("i") + F.col("base"), error)
 
 
 def ratios(snapshots: DataFrame) -> DataFrame:
@@ -107,93 +130,116 @@ def ratios(snapshots: DataFrame) -> DataFrame:
     return _rows(rows, "ratios", metric, F.when(~skip, F.when(metric.isin(*vocab.RATIOS_PERCENTAGE_METRICS), value / 100).otherwise(value)), raw, _scope(F.col("j.as_of_date"), 1), ordinal=F.col("i"), error=error)
 
 
-def _tags(df: DataFrame, known: Column) -> DataFrame:
-    """Expense ratio, approach, fees, net assets and tenure of the profile's tag list."""
-    rows = df.select("*", F.posexplode("j.fund_and_profile").alias("i", "x")).filter("x.value IS NOT NULL")
-    tag, name, v = F.coalesce("x.name_tag", F.lit("")), F.coalesce("x.name", F.lit("")), F.col("x.value")
+#: One item of a profile: an expense, a tag, a report's field or a style box's cell.
+_PART = "array<struct<kind:string,ordinal:int,name:string,tag:string,value:string,ratio:string,title:string,as_of:string,cell:array<int>>>"
+#: The tags and names of the profile's list that are read, and those that are passed over.
+TAGS = {
+    "redemption_charge_max": ("Redemption_Charge_Max", "Redemption Charge Max"),
+    "redemption_charge_actual": ("Redemption_Charge_Actual", "Redemption Charge Actual"),
+    "total_expense_ratio": ("Total_Expense_Ratio", "Total Expense Ratio"),
+    "is_passive": ("Management_Approach", "Management Approach"),
+    "total_net_assets_local": ("Total_Net_Assets_Month_End", "Total Net Assets"),
+    "manager_tenure_years": ("Manager_Tenure", "Manager Tenure"),
+}
+PASSED_OVER = ("Inception_Date", "Maturity_Date", "Inception Date", "Maturity Date")
 
-    def named(a: str, b: str) -> Column:
-        return (tag == a) | (name == b)
 
-    approach = F.lower(F.trim(v))
-    skip = approach.isin(*vocab.SKIP_RATING_TOKENS)
-    start = p.embedded_date(v)
-    date, depth = _scope(start, 3)
-    kinds: list[tuple[Column, str, Column, Column | None, Column | None, tuple[Column, Column] | None]] = [
-        (named("Redemption_Charge_Max", "Redemption Charge Max") | (tag == "Redemption Charge Max"), "redemption_charge_max", p.percentage(v), _error(p.percentage_error(v), "bad percentage ", v), None, None),
-        (named("Redemption_Charge_Actual", "Redemption Charge Actual") | (tag == "Redemption Charge Actual"), "redemption_charge_actual", p.percentage(v), _error(p.percentage_error(v), "bad percentage ", v), None, None),
-        (named("Total_Expense_Ratio", "Total Expense Ratio"), "total_expense_ratio", p.percentage(v), _error(p.percentage_error(v), "bad percentage ", v), None, None),
-        (named("Management_Approach", "Management Approach"), "is_passive", F.when(approach == "passive", 1.0).when(approach == "active", 0.0), _error(~skip & ~approach.isin("passive", "active"), "unknown approach ", v), None, None),
-        ((tag == "Total_Net_Assets_Month_End") | name.startswith("Total Net Assets"), "total_net_assets_local", F.when(p.amount_currency(v, F.col("currency"), known).isNotNull(), p.net_assets(v)), None, p.amount_currency(v, F.col("currency"), known), (date, depth)),
-        (named("Manager_Tenure", "Manager Tenure"), "manager_tenure_years", p.manager_tenure(v, F.col("day")), _error(p.tenure_error(v), "bad tenure ", v), None, None),
-    ]
-    out = []
-    taken = tag.isin("Inception_Date", "Maturity_Date") | name.isin("Inception Date", "Maturity Date")
-    for test, metric, value, error, code, scope in kinds:
-        out.append(_rows(rows.filter(test & ~taken), "profile", metric, value, F.trim(v), scope, code, F.col("i") + 100, error))
-        taken = taken | test
-    return reduce(DataFrame.unionByName, out)
-
-
-def style_box(df: DataFrame) -> DataFrame:
-    """One-hot cells of the profile's style box; bad axes or coordinates are errors."""
-    x = F.transform(F.coalesce("j.mstar.x_axis_tag", "j.mstar.x_axis", F.array().cast("array<string>")), lambda t: F.lower(F.trim(t)))
-    y = F.transform(F.coalesce("j.mstar.y_axis_tag", "j.mstar.y_axis", F.array().cast("array<string>")), lambda t: F.lower(F.trim(t)))
-    bad_axes = (F.size(x) == 0) | (F.size(y) == 0) | (F.size(F.array_except(x, F.array(*map(F.lit, vocab.STYLE_STYLES)))) > 0) | (F.size(F.array_except(y, F.array(*map(F.lit, vocab.STYLE_SIZES)))) > 0)
-    out = []
-    for family, field in (("style_box", "selected"), ("style_box_hist", "hist")):
-        rows = df.withColumns({"xs": x, "ys": y, "bad": bad_axes}).select("*", F.posexplode(f"j.mstar.{field}").alias("i", "c"))
-        a, b = F.get("c", F.lit(0)), F.get("c", F.lit(1))
-        bad = F.col("bad") | (F.size("c") < 2) | a.isNull() | b.isNull() | (a < 0) | (b < 0) | (a >= F.size("xs")) | (b >= F.size("ys"))
-        metric = F.concat_ws("_", F.get("ys", b), F.get("xs", a))
-        out.append(_rows(rows, family, metric, F.when(~bad, 1.0), F.concat(F.lit("["), F.array_join(F.col("c").cast("array<string>"), ", "), F.lit("]")), ordinal=F.col("i") + 10_000, error=_error(bad, "bad style box")))
-    return out[0].unionByName(out[1])
+def _tag_metric(tag: Column, name: Column) -> Column:
+    """The metric of a tag or name, the first that fits; net assets by the beginning of the name, charges by either spelling of the tag."""
+    out = F.lit(None).cast("string")
+    for metric, (a, b) in reversed(TAGS.items()):
+        fits = (tag == a) | (name.startswith(b) if metric == "total_net_assets_local" else (name == b) | (tag == b if metric.startswith("redemption") else F.lit(False)))
+        out = F.when(fits, metric).otherwise(out)
+    return F.when(~tag.isin(*PASSED_OVER[:2]) & ~name.isin(*PASSED_OVER[2:]), out)
 
 
 def profile(snapshots: DataFrame, known: Column | None = None) -> DataFrame:
+    """Expenses, the tag list, report fees and the style box: all items of a snapshot are one array, laid out once."""
     known = F.array().cast("array<string>") if known is None else known
     df = parsed(snapshots, "profile")
-    expense = df.select("*", F.posexplode("j.expenses_allocation").alias("i", "x"))
-    metric = F.when(F.col("x.name") == "Management Expenses", "management_expense_ratio").when(F.col("x.name") == "Non-Management Expenses", "non_management_expense_ratio")
-    split = _rows(expense.filter(metric.isNotNull()), "profile", metric, F.col("x.ratio").try_cast("double"), F.coalesce("x.value", "x.ratio"), ordinal=F.col("i"))
-    report = df.select("*", F.posexplode("j.reports").alias("r", "report")).select("*", F.posexplode("report.fields").alias("f", "x"))
-    found = F.lit(None).cast("string")
-    for title, fields in (("Annual Report", vocab.ANNUAL_REPORT_METRICS), ("Prospectus Report", vocab.PROSPECTUS_REPORT_METRICS)):
-        of = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
-        found = F.when(F.col("report.name") == title, F.element_at(of, F.col("x.name"))).otherwise(found)
-    v = F.col("x.value")
-    fees = _rows(report.withColumn("m", found).filter("m IS NOT NULL"), "profile", F.col("m"), p.percentage(v), F.trim(v), _scope(F.col("report.as_of_date"), 2), ordinal=F.col("r") * 100 + F.col("f") + 1_000, error=_error(p.percentage_error(v), "bad percentage ", v))
-    return reduce(DataFrame.unionByName, (split, _tags(df, known), fees, style_box(df)))
+    nothing = F.lit(None)
+    item = lambda kind, ordinal, name=nothing, tag=nothing, value=nothing, ratio=nothing, title=nothing, as_of=nothing, cell=nothing: [c.alias(n) for c, n in zip((F.lit(kind), ordinal, name, tag, value, ratio, title, as_of, cell), ("kind", "ordinal", "name", "tag", "value", "ratio", "title", "as_of", "cell"), strict=True)]
+    reports = F.flatten(F.transform("j.reports", lambda r, i: F.coalesce(F.transform(r["fields"], lambda x, k: F.struct(*item("report", 1_000 + i * 100 + k, x["name"], value=x["value"], title=r["name"], as_of=r["as_of_date"]))).cast(_PART), F.array().cast(_PART))))
+    parts = [
+        _numbered(F.col("j.expenses_allocation"), lambda x, i: item("expense", i, x["name"], value=x["value"], ratio=x["ratio"]), _PART),
+        _numbered(F.col("j.fund_and_profile"), lambda x, i: item("tag", i + 100, x["name"], x["name_tag"], x["value"]), _PART),
+        F.coalesce(reports, F.array().cast(_PART)),
+        _cells("selected", "style_box"),
+        _cells("hist", "style_box_hist"),
+    ]
+    axis = lambda name: F.transform(F.coalesce(f"j.mstar.{name}_axis_tag", f"j.mstar.{name}_axis", F.array().cast("array<string>")), lambda t: F.lower(F.trim(t)))
+    df = df.withColumns({"xs": axis("x"), "ys": axis("y")})
+    rows = df.select("snapshot_id", "product_id", "created_at", "day", "currency", "xs", "ys", F.inline(F.concat(*parts)))
+    kind, name, v = F.col("kind"), F.col("name"), F.col("value")
+    fee = _by(F.col("title"), {title: F.element_at(_lookup(fields), name) for title, fields in (("Annual Report", vocab.ANNUAL_REPORT_METRICS), ("Prospectus Report", vocab.PROSPECTUS_REPORT_METRICS))})
+    expense = F.when(name == "Management Expenses", "management_expense_ratio").when(name == "Non-Management Expenses", "non_management_expense_ratio")
+    a, b = F.get("cell", F.lit(0)), F.get("cell", F.lit(1))
+    style = F.when(kind.startswith("style_box"), F.coalesce(F.concat_ws("_", F.get("ys", b), F.get("xs", a)), F.lit("")))
+    metric = _by(kind, {"expense": expense, "tag": F.when(v.isNotNull(), _tag_metric(F.coalesce("tag", F.lit("")), F.coalesce("name", F.lit("")))), "report": fee})
+    rows = rows.withColumn("metric", F.coalesce(metric.cast("string"), style)).filter("metric IS NOT NULL")
+    m = F.col("metric")
+    bad_axes = (F.size("xs") == 0) | (F.size("ys") == 0) | (F.size(F.array_except("xs", F.array(*map(F.lit, vocab.STYLE_STYLES)))) > 0) | (F.size(F.array_except("ys", F.array(*map(F.lit, vocab.STYLE_SIZES)))) > 0)
+    bad_box = kind.startswith("style_box") & (bad_axes | (F.size("cell") < 2) | a.isNull() | b.isNull() | (a < 0) | (b < 0) | (a >= F.size("xs")) | (b >= F.size("ys")))
+    approach = F.lower(F.trim(v))
+    skip = approach.isin(*vocab.SKIP_RATING_TOKENS)
+    amount, fees = _scope(p.embedded_date(v), 3), _scope(F.col("as_of"), 2)
+    # what several kinds of items read, each once
+    rows = rows.withColumns({
+        "share": p.percentage(v), "bad_share": p.percentage_error(v), "of": p.amount_currency(v, F.col("currency"), known), "assets": p.net_assets(v), "tenure": p.manager_tenure(v, F.col("day")), "bad_tenure": p.tenure_error(v),
+        "amount_date": amount[0], "amount_depth": amount[1], "fee_date": fees[0], "fee_depth": fees[1], "bad_box": F.coalesce(bad_box, F.lit(True)),
+    })
+    as_percentage = (kind == "report") | m.isin("redemption_charge_max", "redemption_charge_actual", "total_expense_ratio")
+    value = (
+        F.when(kind.startswith("style_box"), F.when(~F.col("bad_box"), 1.0))
+        .when(kind == "expense", F.col("ratio").try_cast("double"))
+        .when(as_percentage, F.col("share"))
+        .when(m == "is_passive", F.when(approach == "passive", 1.0).when(approach == "active", 0.0))
+        .when(m == "total_net_assets_local", F.when(F.col("of").isNotNull(), F.col("assets")))
+        .when(m == "manager_tenure_years", F.col("tenure"))
+    )
+    error = F.coalesce(
+        _error(F.col("bad_box"), "bad style box"), _error((kind != "expense") & as_percentage & F.col("bad_share"), "bad percentage ", v),
+        _error((m == "is_passive") & ~skip & ~approach.isin("passive", "active"), "unknown approach ", v), _error((m == "manager_tenure_years") & F.col("bad_tenure"), "bad tenure ", v),
+    )
+    date = F.when(m == "total_net_assets_local", F.col("amount_date")).when(kind == "report", F.col("fee_date")).otherwise(F.col("day"))
+    depth = F.when(m == "total_net_assets_local", F.col("amount_depth")).when(kind == "report", F.col("fee_depth")).otherwise(0)
+    raw = F.when(kind == "expense", F.coalesce(v, F.col("ratio"))).when(kind.startswith("style_box"), F.concat(F.lit("["), F.array_join(F.col("cell").cast("array<string>"), ", "), F.lit("]"))).otherwise(F.trim(v))
+    family = F.when(kind.startswith("style_box"), kind).otherwise("profile")
+    return _rows(rows, family, m, value, raw, (date, depth), F.when(m == "total_net_assets_local", F.col("of")), F.col("ordinal"), error)
+
+
+def _cells(field: str, family: str) -> Column:
+    """The cells of a style box as items."""
+    none = lambda n: F.lit(None).alias(n)
+    return _numbered(F.col(f"j.mstar.{field}"), lambda c, i: [F.lit(family).alias("kind"), (i + 10_000).alias("ordinal"), *map(none, ("name", "tag", "value", "ratio", "title", "as_of")), c.alias("cell")], _PART)
 
 
 def esg(snapshots: DataFrame) -> DataFrame:
-    """The coverage and every node of the score tree at any depth, parents before their children: one stored step per level."""
-    df = parsed(snapshots, "esg")
+    """The coverage and every node of the score tree at any depth, parents before their children.
+
+    A snapshot's nodes are one array, which each step lengthens by a level, as many steps as the deepest payload has.
+    """
+    df = parsed(snapshots, "esg").withColumn("v", F.expr("try_parse_json(payload)"))
+    levels = (df.agg(F.max(nesting(F.col("payload")))).first()[0] or 0) // 2
     scope = _scope(F.col("j.asOfDate"), 1)
-    cover = _rows(df, "profile", "esg_coverage", F.col("j.coverage").try_cast("double"), F.col("j.coverage"), scope)
-    held = ["snapshot_id", "product_id", "created_at", "j", "day"]
-
-    def level(rows: DataFrame, nodes: str, path: Column) -> DataFrame:
-        """The nodes of a variant array below each row, by their place in the tree."""
-        each = rows.withColumn("nodes", F.expr(f"try_variant_get({nodes}, 'array<variant>')")).select(*held, path.alias("above"), F.posexplode("nodes").alias("i", "node"))
-        return each.select(*held, F.concat("above", F.array("i")).alias("path"), "node")
-
-    step = stage(level(df.withColumn("v", F.expr("try_parse_json(payload)")), "v, '$.content'", F.array().cast("array<int>")))
-    levels = [step]
-    while not step.isEmpty():
-        step = stage(level(step.withColumn("v", F.col("node")), "v, '$.children'", F.col("path")))
-        levels.append(step)
-    nodes = reduce(DataFrame.unionByName, levels)
-    nodes = nodes.withColumns({"name": F.expr("try_variant_get(node, '$.name', 'string')"), "value": F.expr("try_variant_get(node, '$.value', 'string')")})
-    rows = nodes.withColumn("i", F.row_number().over(Window.partitionBy("snapshot_id").orderBy("path"))).filter("name <> '' AND value IS NOT NULL")
-    metric = p.snake_case(F.col("name"))
-    value = F.col("value").try_cast("double")
-    error = F.coalesce(_error(~metric.isin(*vocab.ESG_METRICS), "unknown esg ", metric), _error(value.isNull(), "bad number ", F.col("value")))
-    return cover.unionByName(_rows(rows, "esg", metric, value, F.col("value"), scope, ordinal=F.col("i"), error=error))
+    children = lambda nodes, path: f"transform(coalesce(try_variant_get({nodes}, 'array<variant>'), array()), (c, k) -> named_struct('path', concat({path}, array(k)), 'node', c, 'open', true))"
+    df = df.withColumn("nodes", F.expr(children("v, '$.content'", "cast(array() as array<int>)")))
+    for _ in range(levels):
+        below = children("n.node, '$.children'", "n.path")
+        df = df.withColumn("nodes", F.expr(f"flatten(transform(nodes, n -> CASE WHEN n.open THEN concat(array(named_struct('path', n.path, 'node', n.node, 'open', false)), {below}) ELSE array(n) END))"))
+    cover = F.array(F.struct(F.lit(0).alias("i"), F.lit("profile").alias("family"), F.lit("esg_coverage").alias("name"), F.col("j.coverage").alias("value")))
+    read = "array_sort(transform(nodes, n -> named_struct('path', n.path, 'name', try_variant_get(n.node, '$.name', 'string'), 'value', try_variant_get(n.node, '$.value', 'string'))), (a, b) -> CASE WHEN a.path < b.path THEN -1 WHEN a.path > b.path THEN 1 ELSE 0 END)"
+    each = F.transform(F.expr(read), lambda n, i: F.struct((i + 1).alias("i"), F.lit("esg").alias("family"), n["name"].alias("name"), n["value"].alias("value")))
+    rows = df.withColumns({"date": scope[0], "depth": scope[1]}).select("snapshot_id", "product_id", "created_at", "day", "date", "depth", F.inline(F.concat(cover, each)))
+    rows = rows.filter("i = 0 OR name <> '' AND value IS NOT NULL")
+    tree, value = F.col("i") > 0, F.col("value").try_cast("double")
+    metric = F.when(tree, p.snake_case(F.col("name"))).otherwise(F.col("name"))
+    error = F.coalesce(_error(tree & ~metric.isin(*vocab.ESG_METRICS), "unknown esg ", metric), _error(tree & value.isNull(), "bad number ", F.col("value")))
+    return _rows(rows, F.col("family"), metric, value, F.col("value"), (F.col("date"), F.col("depth")), ordinal=F.col("i"), error=error)
 
 
 def mstar(snapshots: DataFrame) -> DataFrame:
-    """Pillar coverage and ratings as numbers."""
+    """Pillar coverage and ratings as numbers: the coverage is an item before the pillars."""
     df = parsed(snapshots, "mstar")
 
     def base(i: Column) -> Column:
@@ -203,19 +249,26 @@ def mstar(snapshots: DataFrame) -> DataFrame:
     outer = _scope(F.col("j.as_of_date"), 1)
     n = F.size(F.filter("j.summary", lambda x: base(x["id"]).isin("people", "process", "parent")))
     missing = F.exists("j.summary", lambda x: F.coalesce(x["id"], F.lit("")) == "")
-    cover = _rows(df, "profile", "mstar_coverage", F.when(n > 0, n / 3.0), F.concat(n.cast("string"), F.lit("/3 pillars")), outer, error=_error(missing, "a pillar has no id"))
-    rows = df.select("*", F.posexplode("j.summary").alias("i", "x")).withColumn("m", base(F.col("x.id"))).withColumn("v", F.trim("x.value"))
-    rows = rows.filter(~F.lower(F.trim("x.id")).isin("category", "category_index") & F.col("v").isNotNull() & ~F.lower("v").isin(*vocab.SKIP_RATING_TOKENS))
-    score = F.lit(None).cast("double")
-    for metric, kind in vocab.PILLAR_KINDS.items():
-        of = F.create_map(*[F.lit(x) for pair in vocab.RATINGS[kind].items() for x in pair])
-        score = F.when(F.col("m") == metric, F.element_at(of, F.lower("v"))).otherwise(score)
-    error = F.coalesce(_error(~F.col("m").isin(*vocab.PILLAR_KINDS), "unknown pillar ", F.col("x.id")), _error(score.isNull(), "unknown rating ", F.col("v")))
-    return cover.unionByName(_rows(rows, "mstar", F.col("m"), score, F.col("v"), _scope(F.col("x.publish_date"), 3, *outer), ordinal=F.col("i") + 1, error=error))
+    kind = "array<struct<i:int,id:string,value:string,publish_date:string>>"
+    cover = F.array(F.struct(F.lit(0), F.lit(None), F.lit(None), F.lit(None))).cast(kind)
+    pillars = _numbered(F.col("j.summary"), lambda x, i: [(i + 1).alias("i"), x["id"].alias("id"), x["value"].alias("value"), x["publish_date"].alias("publish_date")], kind)
+    df = df.withColumns({"n": n, "missing": missing, "date": outer[0], "depth": outer[1]})
+    rows = df.select("snapshot_id", "product_id", "created_at", "day", "n", "missing", "date", "depth", F.inline(F.concat(cover, pillars)))
+    rows = rows.withColumn("m", base(F.col("id"))).withColumn("v", F.trim("value"))
+    rows = rows.filter((F.col("i") == 0) | ~F.lower(F.trim("id")).isin("category", "category_index") & F.col("v").isNotNull() & ~F.lower("v").isin(*vocab.SKIP_RATING_TOKENS))
+    first = F.col("i") == 0
+    score = _by(F.col("m"), {metric: F.element_at(F.create_map(*[F.lit(x) for pair in vocab.RATINGS[scale].items() for x in pair]), F.lower("v")) for metric, scale in vocab.PILLAR_KINDS.items()})
+    error = F.coalesce(_error(first & F.col("missing"), "a pillar has no id"), _error(~first & ~F.col("m").isin(*vocab.PILLAR_KINDS), "unknown pillar ", F.col("id")), _error(~first & score.isNull(), "unknown rating ", F.col("v")))
+    own = _scope(F.col("publish_date"), 3, F.col("date"), F.col("depth"))
+    pick = lambda a, b: F.when(first, a).otherwise(b)
+    return _rows(
+        rows, pick(F.lit("profile"), F.lit("mstar")), pick(F.lit("mstar_coverage"), F.col("m")), pick(F.when(F.col("n") > 0, F.col("n") / 3.0), score.cast("double")), pick(F.concat(F.col("n").cast("string"), F.lit("/3 pillars")), F.col("v")),
+        (pick(F.col("date"), own[0]), pick(F.col("depth"), own[1])), ordinal=F.col("i"), error=error,
+    )
 
 
 def lipper(snapshots: DataFrame) -> DataFrame:
-    """Scores of one universe per payload: the most peers, then the order of countries, then the first."""
+    """Scores of one universe per payload: the most peers, then the order of countries, then the first; all horizons are one array."""
     df = parsed(snapshots, "lipper")
 
     def peers(u: Column) -> Column:
@@ -225,24 +278,28 @@ def lipper(snapshots: DataFrame) -> DataFrame:
     tie = F.create_map(*[F.lit(x) for i, c in enumerate(vocab.LIPPER_TIEBREAK) for x in (c, -i)])
     ranked = F.transform("j.universes", lambda u, i: F.struct(peers(u).alias("n"), F.coalesce(F.element_at(tie, F.coalesce(u["name"], F.lit(""))), F.lit(-len(vocab.LIPPER_TIEBREAK))).alias("tie"), (-i).alias("i")))
     rows = df.withColumn("best", F.array_max(ranked)).filter("best IS NOT NULL").withColumn("u", F.get("j.universes", -F.col("best.i")))
-    out = []
-    for at, (horizon, suffix) in enumerate(vocab.LIPPER_HORIZONS.items()):
-        each = rows.select("*", F.posexplode(f"u.{horizon}").alias("i", "x")).filter("x.name_tag <> '' AND x.rating.value IS NOT NULL")
-        count = F.coalesce(F.nullif(p.largest_integer(F.coalesce("x.rating.name", F.lit(""))), F.lit(0).cast("bigint")), F.col("best.n"))
-        raw = F.concat("x.rating.value", F.lit(" ("), F.coalesce(F.nullif("u.name", F.lit("")), F.lit("global")), F.lit(": "), count.cast("string"), F.lit(" funds)"))
-        out.append(_rows(each, "lipper", F.concat(p.snake_case(F.col("x.name_tag")), F.lit(f"_{suffix}")), F.col("x.rating.value").try_cast("double"), raw, _scope(F.col("u.as_of_date"), 2), ordinal=F.col("i") + 1_000 * at))
-    return reduce(DataFrame.unionByName, out)
+    kind = "array<struct<ordinal:int,suffix:string,tag:string,peers:string,value:string>>"
+    parts = [_scores(horizon, suffix, at, kind) for at, (horizon, suffix) in enumerate(vocab.LIPPER_HORIZONS.items())]
+    each = rows.select("snapshot_id", "product_id", "created_at", "day", "best", F.col("u.name").alias("universe"), F.col("u.as_of_date").alias("as_of"), F.inline(F.concat(*parts))).filter("tag <> '' AND value IS NOT NULL")
+    count = F.coalesce(F.nullif(p.largest_integer(F.coalesce("peers", F.lit(""))), F.lit(0).cast("bigint")), F.col("best.n"))
+    raw = F.concat("value", F.lit(" ("), F.coalesce(F.nullif("universe", F.lit("")), F.lit("global")), F.lit(": "), count.cast("string"), F.lit(" funds)"))
+    return _rows(each, "lipper", F.concat(p.snake_case(F.col("tag")), F.lit("_"), F.col("suffix")), F.col("value").try_cast("double"), raw, _scope(F.col("as_of"), 2), ordinal=F.col("ordinal"))
+
+
+def _scores(horizon: str, suffix: str, at: int, kind: str) -> Column:
+    """The scores of one horizon as items."""
+    return _numbered(F.col(f"u.{horizon}"), lambda x, i: [(i + 1_000 * at).alias("ordinal"), F.lit(suffix).alias("suffix"), x["name_tag"].alias("tag"), x["rating"]["name"].alias("peers"), x["rating"]["value"].alias("value")], kind)
 
 
 def theme_weights(snapshots: DataFrame) -> DataFrame:
-    """Coverage, and each theme's weight and rank-adjusted weight under its key."""
+    """Coverage, and each theme's weight and rank-adjusted weight under its key, as one array."""
     df = parsed(snapshots, "theme_weights")
-    cover = _rows(df, "profile", "theme_coverage", F.col("j.coverage").try_cast("double"), F.col("j.coverage"))
-    rows = df.select("*", F.posexplode("j.themes").alias("i", "x")).filter("x.key <> '' AND x.name <> ''")
-    out = [cover]
-    for k, (family, field) in enumerate((("theme", "weight"), ("rank_adj_theme", "rank_adjusted_weight"))):
-        out.append(_rows(rows, family, p.snake_case(F.col("x.name")), F.col(f"x.{field}").try_cast("double"), F.col(f"x.{field}"), code=F.trim("x.key"), ordinal=F.col("i") * 2 + k + 1))
-    return reduce(DataFrame.unionByName, out)
+    kind = "array<struct<ordinal:int,family:string,key:string,name:string,value:string>>"
+    cover = F.array(F.struct(F.lit(0), F.lit("profile"), F.lit(None), F.lit(None), F.col("j.coverage"))).cast(kind)
+    both = F.flatten(F.transform("j.themes", lambda x, i: F.array(*(F.struct((i * 2 + k + 1).alias("ordinal"), F.lit(family).alias("family"), x["key"].alias("key"), x["name"].alias("name"), x[field].alias("value")) for k, (family, field) in enumerate((("theme", "weight"), ("rank_adj_theme", "rank_adjusted_weight")))))))
+    rows = df.select("snapshot_id", "product_id", "created_at", "day", F.inline(F.concat(cover, F.coalesce(both.cast(kind), F.array().cast(kind))))).filter("ordinal = 0 OR key <> '' AND name <> ''")
+    metric = F.when(F.col("ordinal") == 0, "theme_coverage").otherwise(p.snake_case(F.col("name")))
+    return _rows(rows, F.col("family"), metric, F.col("value").try_cast("double"), F.col("value"), code=F.trim("key"), ordinal=F.col("ordinal"))
 
 
 EXTRACTORS: dict[str, Callable[..., DataFrame]] = {"holdings": holdings, "ratios": ratios, "profile": profile, "esg": esg, "mstar": mstar, "lipper": lipper, "theme_weights": theme_weights}
