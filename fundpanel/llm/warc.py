@@ -2,8 +2,8 @@
 
 Archives are gzip files written by Spark's text sink: a row is one record, the sink's line
 separator is the record separator of the format (two CRLF).  They are read back with
-the binaryFile source and parsed record by record.  A file has at most RECORDS records, so
-a task never holds more than that.
+the binaryFile source and parsed record by record.  Pages are written by classes of size, each with so
+many records a file that a file stays near FILE_BYTES, so a task never holds much more than that, or one page.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sparkops import Scratch, own_columns, shared_dir
+from .sparkops import Scratch, maybe_among, own_columns, shared_dir
 
 CRLF = "\r\n"
-#: Most records in an archive file.
-RECORDS = 3000
+#: Most records in an archive file, bytes of an archive file before it is packed, and the largest page of each class but the last.
+RECORDS, FILE_BYTES, CLASSES = 3000, 1 << 28, (1 << 16, 1 << 20, 1 << 24)
+#: Equal rows that are laid out together.
+RUN = 1000
 #: Payloads of fewer bytes are stored each time.
 SMALLEST = 1000
 
@@ -40,16 +42,31 @@ def _urn(kind: str, key: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
+def _numbered(pages: DataFrame) -> DataFrame:
+    """pages with keys of their own: of rows with equal keys all but one have a number behind it.
+
+    Only rows whose page id stands twice are shuffled.  Equal rows are counted first, and laid out again in runs of RUN, so
+    that any number of them is no single task's work.
+    """
+    repeated = pages.groupBy("page_id").agg(F.count("*").alias("n")).filter("n > 1").select("page_id")
+    marked = maybe_among(pages.select("page_id", F.struct(*pages.columns).alias("row")), repeated, "page_id")
+    counted = marked.filter("maybe").groupBy("row.key").agg(F.any_value("row").alias("row"), F.count("*").alias("n"))
+    dealt = counted.select("key", "row", "n", F.explode(F.expr(f"sequence(0, (n - 1) div {RUN})")).alias("run")).repartition("key", "run")
+    each = dealt.select("row", F.explode(F.expr(f"sequence(run * {RUN}, least(n - 1, run * {RUN} + {RUN - 1}))")).alias("i"))
+    again = each.select("i", "row.*").withColumn("key", F.when(F.col("i") > 0, F.concat_ws("|", "key", "i")).otherwise(F.col("key"))).drop("i")
+    return marked.filter("NOT maybe").select("row.*").unionByName(again)
+
+
 def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "2024-01-01T00:00:00Z") -> None:
     """Writes a request, a response or revisit, and a metadata record for each page.
 
-    Of pages with equal payloads of SMALLEST bytes or more, the one with the largest id is a response,
-    the others are revisits that refer to it.  Null pages and urls count as empty; a page without id is
-    written as a response of its own.
+    Of pages with equal payloads of SMALLEST bytes or more, those with the largest id are responses,
+    the others are revisits that refer to one of them.  Null pages and urls count as empty; a page without id is
+    written as a response of its own.  Rows that repeat in id, url and page are numbered, and each has its own records.
     """
     pages = own_columns(pages, page_id=id_col, url=url_col, html=html_col).select(F.col("page_id").cast("long"), F.regexp_replace(F.coalesce("url", F.lit("")), "[\r\n]", " ").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     pages = pages.withColumn("sha", F.sha2("html", 256)).withColumn("size", F.octet_length("html").cast("long"))
-    pages = pages.withColumn("key", F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.md5("url"), "sha"))
+    pages = _numbered(pages.withColumn("key", F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.md5("url"), "sha")))
     keeper = F.max(F.struct("page_id", "key"))
     # copies are few against pages: only digests that repeat are joined back
     shared = pages.filter(F.col("size") >= SMALLEST).filter("page_id is not null").groupBy("sha").agg(keeper.alias("keeper"), F.count("*").alias("n")).filter("n > 1").select(F.col("sha").alias("shared_sha"), F.col("keeper.key").alias("keeper"), F.col("keeper.page_id").alias("keeper_id"))
@@ -65,8 +82,14 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     )
     request = _record([("WARC-Type", "request"), ("WARC-Record-ID", _urn("request", F.col("key"))), *common, ("WARC-Concurrent-To", main_id), ("Content-Type", "application/http; msgtype=request")], F.concat(F.lit("GET "), "url", F.lit(" HTTP/1.1\r\n\r\n")))
     meta = _record([("WARC-Type", "metadata"), ("WARC-Record-ID", _urn("metadata", F.col("key"))), *common, ("WARC-Concurrent-To", main_id), ("Content-Type", "application/warc-fields")], F.concat(F.lit("page-id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(CRLF)))
-    rows = pages.select(F.explode(F.array(request, F.when(revisit, again).otherwise(response), meta)).alias("value"))
-    rows.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+    bounds = (0, *(c + 1 for c in CLASSES))
+    held = pages.agg(*(F.count_if(F.col("size") >= b).alias(f"from{i}") for i, b in enumerate(bounds))).first()
+    for i, least in enumerate(bounds):
+        own = pages.filter((F.col("size") >= least) & (F.col("size") <= CLASSES[i]) if i < len(CLASSES) else F.col("size") >= least)
+        if not i or held[i] > (held[i + 1] if i < len(CLASSES) else 0):
+            rows = own.select(F.explode(F.array(request, F.when(revisit, again).otherwise(response), meta)).alias("value"))
+            records = min(RECORDS, 3 * max(1, FILE_BYTES // CLASSES[i])) if i < len(CLASSES) else 3
+            rows.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", records).text(f"{path}/class{i}")
 
 
 def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -151,8 +174,8 @@ def assemble(records: DataFrame) -> DataFrame:
 def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes pages as archives into the shared folder, reads them back and assembles the captures.
 
-    Returns page_id, payload_bytes, payload_digest (SHA-1), record_type, refers_to.  Rows that repeat in id,
-    url and page are one capture; an empty table gives an empty result; other columns are ignored.
+    Returns one row per input row: page_id, payload_bytes, payload_digest (SHA-1), record_type, refers_to.  Rows that repeat
+    in id, url and page, and rows without id, are captures of their own; an empty table gives an empty result; other columns are ignored.
     """
     spark = pages.sparkSession
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"

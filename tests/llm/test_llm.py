@@ -535,15 +535,33 @@ def test_texts_as_media(spark):
 
 def test_archives(spark):
     long, short = "<p>é\r\n\r\nWARC/1.1</p>" + "x" * 1200, "<p>small</p>"
-    rows_ = [(1, "http://a/1", long), (2, "http://a/2", long), (3, "http://a/3", short), (4, "http://a/4", short), (5, None, None), (9, "http://a/9\n", long), (9, "http://a/9\n", long)]
+    rows_ = [(1, "http://a/1", long), (2, "http://a/2", long), (3, "http://a/3", short), (4, "http://a/4", short), (5, None, None), (9, "http://a/9\n", long), (9, "http://a/9\n", long), (9, "http://a/other", long), (None, "http://a/n", long), (None, "http://a/n", long), (3, "http://a/3", short)]
     pages = spark.createDataFrame([(*r, "z") for r in rows_], "page_id long, url string, html string, sha string")
     got = rows(warc.archive_pages(pages), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     sha = lambda t: hashlib.sha1((t or "").encode()).hexdigest()
     n = len(long.encode())
-    assert got == [(1, n, sha(long), "revisit", 9), (2, n, sha(long), "revisit", 9), (3, 12, sha(short), "response", None), (4, 12, sha(short), "response", None), (5, 0, sha(""), "response", None), (9, n, sha(long), "response", None)]
+    assert got == [(1, n, sha(long), "revisit", 9), (2, n, sha(long), "revisit", 9), (3, 12, sha(short), "response", None), (3, 12, sha(short), "response", None), (4, 12, sha(short), "response", None), (5, 0, sha(""), "response", None)] + [(9, n, sha(long), "response", None)] * 3 + [(None, n, sha(long), "response", None)] * 2
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_archives_of_many_copies_and_large_pages(spark, monkeypatch, tmp_path):
+    """Rows that repeat in several runs are captures of their own; archives are bounded by bytes."""
+    monkeypatch.setattr(warc, "RUN", 4)
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 18)
+    monkeypatch.setattr(warc, "CLASSES", (1 << 12, 1 << 16))
+    sizes = [10, 5000, 70_000, 200_000, 4096, 4097, 65_536, 65_537]
+    rows_ = [(7, "u", "y" * 1500)] * 11 + [(i, f"u{i}", chr(97 + i) * size) for i, size in enumerate(sizes)] + [(100 + i, "v", chr(65 + i) * 60_000) for i in range(20)]
+    pages = spark.createDataFrame(rows_, "page_id long, url string, html string")
+    got = rows(warc.archive_pages(pages), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert got == sorted(((i, len(t), hashlib.sha1(t.encode()).hexdigest(), "response", None) for i, _, t in rows_), key=repr)
+    warc.write_captures(pages, f"{tmp_path}/w")
+    import gzip
+    from pathlib import Path
+
+    held = [sum(len(c) for _, c in warc.parse(p.read_bytes())) for p in Path(f"{tmp_path}/w").rglob("*.gz")]
+    assert max(held) <= (1 << 18) + 5000 and sum(h > 0 for h in held) > 5 and gzip.decompress(next(iter(Path(f"{tmp_path}/w").rglob("*.gz"))).read_bytes()).startswith(b"WARC/1.1")
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
