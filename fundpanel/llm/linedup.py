@@ -6,9 +6,9 @@ and numbers them in that order, so ranks order the suffixes as a suffix array do
 equal rank are an interval whose common prefix is at least the rank's length; only intervals of two suffixes
 or more go on, and rounds follow until none is left.
 
-In an interval of the wanted length the first suffix stays; each other one is a later copy.  Its longest common
-prefix with the first one comes from the ranks of all rounds, from the longest down: where both have equal ranks the prefix
-grows by that rank's length.  Those lines are deleted; a run is maximal if no other of its text contains it.
+In an interval the first suffix stays; each other one is a later copy.  The longest prefix that it shares with any earlier
+suffix comes from the ranks of all rounds, from the longest down: intervals are split by the rank of what follows, and each
+part's first suffix stands for the part among the others.  Those lines are deleted; a run is maximal if no other of its text contains it.
 
 A single line is a run of its own when it has PASSAGE words or more: its later copies are deleted, too,
 whatever stands around them.
@@ -63,30 +63,51 @@ def double(rows: DataFrame, scratch: Scratch) -> list[tuple[int, DataFrame]]:
         length *= 2
 
 
+def _beside(state: DataFrame) -> DataFrame:
+    """state without groups of one member."""
+    return state.join(state.groupBy("g").agg(F.count("*").alias("m")).filter("m > 1").select("g"), "g", "left_semi")
+
+
+def _split(state: DataFrame, level: DataFrame, at: Column, by: int) -> DataFrame:
+    """The groups of state (g, place, n), parted by the rank at the place `at` lines on.
+
+    Members that share that rank are a group of their own, `by` lines longer; the first of each part stays in the old group, too,
+    where it stands for all of its part: what the others have in common with later parts, it has.  So each member but the
+    first of a group is in one group that it isn't first of, and there are fewer rows than twice those.
+    """
+    ranks = level.select(*_KEY, F.col("pos").alias("at"), F.col("rank").alias("r"))
+    parted = state.withColumn("at", F.col("pos") + at).join(ranks, [*_KEY, "at"], "left")
+    parts = parted.filter("r is not null").groupBy("g", "r").agg(F.min(F.struct(*_PLACE, "n")).alias("x"), F.count("*").alias("m"))
+    longer = parted.filter("r is not null").join(parts.filter("m > 1").select("g", "r"), ["g", "r"], "left_semi").select(F.xxhash64("g", F.lit(by), "r").alias("g"), *_PLACE, (F.col("n") + by).alias("n"))
+    firsts = parts.select("g", "x.*").select("g", *_PLACE, "n").unionByName(parted.filter("r is null").select("g", *_PLACE, "n"))
+    return longer.unionByName(_beside(firsts))
+
+
 def later_runs(rows: DataFrame, min_lines: int, scratch: Scratch) -> DataFrame:
-    """(d, h, pos, n): each place where a run of min_lines lines or more begins that has an earlier copy, and the lines it has in common with the first one."""
+    """(d, h, pos, n): each place where a run of min_lines lines or more begins that has an earlier copy, and the most lines it has in common with any earlier place.
+
+    Of the longest prefix that a place isn't the first to have, a round knows the power of two: its interval splits in the next round into
+    parts that it is the first of.  The lines beyond are found from the ranks of shorter rounds, the longest first.
+    """
     levels = double(rows, scratch)
-    below = [x for x in levels if x[0] <= min_lines]
-    if not below or 2 * below[-1][0] <= min_lines:
+    if not levels:
         return rows.select(*_KEY, F.lit(0).alias("pos"), F.lit(0).alias("n")).limit(0)
-    length, wanted = below[-1]
-    if length < min_lines:
-        wanted = _ranked(_on(wanted, min_lines - length), scratch, "wanted")
-    state = wanted.filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE, F.col("first.d").alias("fd"), F.col("first.h").alias("fh"), F.col("first.pos").alias("fpos"), F.lit(0).alias("n"))
-
-    def grown(state: DataFrame, level: DataFrame, at: Column, by: int) -> DataFrame:
-        """state, its prefixes longer by `by` where copy and first have equal ranks at the place `at` lines on."""
-        mine = level.select(*_KEY, F.col("pos").alias("at"), F.col("rank").alias("x"))
-        theirs = level.select(F.col("d").alias("fd"), F.col("h").alias("fh"), F.col("pos").alias("fat"), F.col("rank").alias("y"))
-        both = state.withColumns({"at": F.col("pos") + at, "fat": F.col("fpos") + at}).join(mine, [*_KEY, "at"], "left").join(theirs, ["fd", "fh", "fat"], "left")
-        return both.select(*_PLACE, "fd", "fh", "fpos", (F.col("n") + F.when(F.col("x") == F.col("y"), by).otherwise(0)).alias("n"))
-
-    for length, level in reversed(levels):
+    state = None
+    for i in range(len(levels) - 1, -1, -1):
+        length, level = levels[i]
+        # of the interval's parts in the next round only the first places
+        again = [] if i + 1 == len(levels) else [levels[i + 1][1].filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE)]
+        fresh = level.select(F.xxhash64(F.lit(length), "rank").alias("g"), *_PLACE, F.lit(length).alias("n"))
+        for later in again:
+            fresh = _beside(fresh.join(later, _PLACE, "left_anti"))
         # stored each time: many small plans instead of a large one
-        state = scratch.store(grown(state, level, F.col("n"), length), f"state{length}")
-        scratch.drop(f"state{2 * length}")
+        state = scratch.store(fresh if state is None else _split(state, level, F.col("n"), length).unionByName(fresh), f"state{i}")
+        scratch.drop(f"state{i + 1}")
     # an odd line at the end: the pair that ends with it
-    return grown(state, levels[0][1], F.col("n") - 1, 1).select(*_PLACE, "n")
+    state = scratch.store(_split(state, levels[0][1], F.col("n") - 1, 1), "state")
+    scratch.drop("state0")
+    first = state.groupBy("g").agg(F.min(F.struct(*_PLACE)).alias("first"))
+    return state.join(first, "g").filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE, "n").filter(F.col("n") >= min_lines)
 
 
 def later_passages(rows: DataFrame, words: int, scratch: Scratch) -> DataFrame:

@@ -117,9 +117,9 @@ OP8 = rf"""
 WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(l))) AS p, l FROM l WHERE len(l) >= 2),
 h AS (SELECT doc_id, p, l[p] || chr(10) || l[p + 1] AS h FROM p),
-f AS (SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS fd, first_value(p) OVER w AS fp FROM h WINDOW w AS (PARTITION BY h ORDER BY doc_id, p)),
-m AS (SELECT f.doc_id, f.p, len(a.l) - f.p + 1 AS most, len(b.l) - f.fp + 1 AS theirs, a.l[f.p:] AS x, b.l[f.fp:] AS y FROM f JOIN l a ON a.doc_id = f.doc_id JOIN l b ON b.doc_id = f.fd WHERE f.n > 1),
-c AS (SELECT doc_id, p - 1 AS p, coalesce(list_position(list_transform(range(1, least(most, theirs) + 1), lambda i: x[i] = y[i]), false) - 1, least(most, theirs)) AS n FROM m),
+e AS (SELECT h FROM h GROUP BY h HAVING count(*) > 1), f AS (SELECT h.* FROM h SEMI JOIN e USING (h)),
+m AS (SELECT f.doc_id, f.p, len(a.l) - f.p + 1 AS most, len(b.l) - g.p + 1 AS theirs, a.l[f.p:] AS x, b.l[g.p:] AS y FROM f JOIN f g ON f.h = g.h AND (g.doc_id < f.doc_id OR g.doc_id = f.doc_id AND g.p < f.p) JOIN l a ON a.doc_id = f.doc_id JOIN l b ON b.doc_id = g.doc_id),
+c AS (SELECT doc_id, p - 1 AS p, max(coalesce(list_position(list_transform(range(1, least(most, theirs) + 1), lambda i: x[i] = y[i]), false) - 1, least(most, theirs))) AS n FROM m GROUP BY doc_id, p),
 o AS (SELECT doc_id, p, l FROM (SELECT doc_id, unnest(range(0, len(l))) AS p, unnest(l) AS l FROM l) WHERE len({_WORDS.format(text="l")}) >= {linedup.PASSAGE}),
 oo AS (SELECT doc_id, p, row_number() OVER (PARTITION BY l ORDER BY doc_id, p) AS n FROM o),
 u AS (SELECT doc_id, p, max(n) AS n FROM (SELECT * FROM c UNION ALL SELECT doc_id, p, 1 FROM oo WHERE n > 1) GROUP BY doc_id, p),

@@ -263,34 +263,47 @@ def test_substrings_of_odd_rows(spark):
 
 
 def line_runs(texts, m):
-    """(lines, deleted, left, runs) of each text, by the first place of each window of m lines; no line is a passage."""
-    first, out = {}, []
-    split = [t.split("\n") for t in texts]
-    for i, lines in enumerate(split):
-        for p in range(len(lines) - m + 1):
-            first.setdefault(tuple(lines[p : p + m]), (i, p))
+    """(lines, deleted, left, runs) of each text: at each line the most lines it has in common with any earlier place; no line is a passage."""
+    split, places, out = [t.split("\n") for t in texts], {}, []
     for i, lines in enumerate(split):
         runs, end, gone = [], 0, set()
-        for p in range(len(lines) - m + 1):
-            j, q = first[tuple(lines[p : p + m])]
-            if (j, q) != (i, p):
+        for p, line in enumerate(lines):
+            most = 0
+            for j, q in places.get(line, []):
                 n = 0
                 while p + n < len(lines) and q + n < len(split[j]) and lines[p + n] == split[j][q + n]:
                     n += 1
-                if p + n > end:
-                    runs.append(f"{p}:{n}")
-                    end = p + n
-                gone |= set(range(p, p + n))
+                most = max(most, n)
+            places.setdefault(line, []).append((i, p))
+            if most >= m:
+                if p + most > end:
+                    runs.append(f"{p}:{most}")
+                    end = p + most
+                gone |= set(range(p, p + most))
         out.append((i, len(lines), len(gone), "\n".join(x for q, x in enumerate(lines) if q not in gone), ",".join(runs)))
     return out
 
 
+def test_a_run_of_any_earlier_copy(spark):
+    """The longest copy counts, though the first two lines stand elsewhere before."""
+    texts = ["\n".join(t) for t in (["A", "B", "X"], ["Z", "A", "B", "C", "Y"], ["A", "B", "C", "Q"], ["B", "C", "A", "B", "C", "Y", "Z"])]
+    for m in (2, 3):
+        got = rows(linedup.dedup_lines(docs(spark, texts), min_lines=m), "doc_id", "n_lines", "n_deleted", "text", "runs")
+        assert got == sorted(line_runs(texts, m), key=repr)
+        assert got[2][4] == "0:3"
+
+
 def test_line_runs_equal_brute_force(spark):
     rng, texts = random.Random(11), []
     for _ in range(60):
         texts.append("\n".join(f"line {rng.randrange(25)}" for _ in range(rng.randrange(0, 9))))
     texts += ["\n".join(f"long {i}" for i in range(a, b)) for a, b in ((0, 37), (5, 30), (20, 37))] + ["\n".join(["same"] * 40)] * 2
-    for m in (2, 3, 4, 5):
+    for _ in range(40):  # pieces of a long text, some with a changed line
+        lines = [f"part {i % 50}" for i in range(200)]
+        a = rng.randrange(180)
+        lines[rng.randrange(200)] = "changed"
+        texts.append("\n".join(lines[a : a + rng.randrange(2, 40)]))
+    for m in (2, 5):
         got = linedup.dedup_lines(docs(spark, texts), min_lines=m)
         assert rows(got, "doc_id", "n_lines", "n_deleted", "text", "runs") == sorted(line_runs(texts, m), key=repr)
     assert set(docs(spark, []).columns) <= set(got.columns)
