@@ -221,26 +221,34 @@ def closed_universe(themes: DataFrame) -> DataFrame:
     return fixed.unionByName(slug.distinct())
 
 
-def open_universe(observations: DataFrame) -> DataFrame:
-    """(product_id, family, metric): the countries a product ever reported."""
-    return observations.filter("family = 'country'").select("product_id", "family", "metric").distinct()
+def snapshots_found(observations: DataFrame) -> DataFrame:
+    """(product_id, family, effective_date, found, ever): what each snapshot reports as a map, and for countries all that the product ever reported.
 
-
-def dense_snapshots(observations: DataFrame, themes: DataFrame) -> DataFrame:
-    """(product_id, family, effective_date, members): each snapshot with all members (metric, value) of its universe, missing ones as zero.
-
-    A universe is a closed one, or the countries that the product ever reported.  Everything below works on one dealing of the
-    rows by product and family; of a metric's several values in one snapshot the largest counts.
+    Everything works on one dealing of the rows by product and family; of a metric's several values in one snapshot the largest counts.
     """
     dealt = observations.select("product_id", "family", "metric", "effective_date", "value").repartition("product_id", "family")
     one = dealt.groupBy("product_id", "family", "effective_date", "metric").agg(F.max("value").alias("value"))
-    snaps = one.groupBy("product_id", "family", "effective_date").agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("found"))
+    ever = F.collect_set(F.when(F.col("family") == "country", F.col("metric"))).over(Window.partitionBy("product_id", "family"))
+    snaps = one.withColumn("ever", ever).groupBy("product_id", "family", "effective_date")
+    return snaps.agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("found"), F.first("ever").alias("ever"))
+
+
+def laid_out(snaps: DataFrame, themes: DataFrame) -> DataFrame:
+    """snaps with members (metric, value) in place of found and ever: all of the snapshot's universe, missing ones as zero.
+
+    A universe is a closed one, or the countries that the product ever reported.
+    """
     closed = closed_universe(themes).groupBy("family").agg(F.array_sort(F.collect_set("metric")).alias("closed"))
-    ever = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("found")).over(Window.partitionBy("product_id", "family")))))
-    universe = F.when(F.col("family") == "country", ever).otherwise(F.coalesce("closed", F.array().cast("array<string>")))
-    rows = snaps.join(F.broadcast(closed), "family", "left").withColumn("universe", universe)
+    rows = snaps.join(F.broadcast(closed), "family", "left")
+    universe = F.when(F.col("family") == "country", F.array_sort("ever")).otherwise(F.coalesce("closed", F.array().cast("array<string>")))
+    rows = rows.withColumn("universe", universe)
     members = F.transform("universe", lambda m: F.struct(m.alias("metric"), F.coalesce(F.try_element_at("found", m), F.lit(0.0)).alias("value")))
-    return rows.select("product_id", "family", "effective_date", members.alias("members"))
+    return rows.withColumn("members", members).drop("closed", "universe", "found", "ever")
+
+
+def dense_snapshots(observations: DataFrame, themes: DataFrame) -> DataFrame:
+    """(product_id, family, effective_date, members): each snapshot with all members of its universe; see laid_out()."""
+    return laid_out(snapshots_found(observations), themes).select("product_id", "family", "effective_date", "members")
 
 
 def densify(observations: DataFrame, themes: DataFrame) -> DataFrame:
@@ -290,9 +298,9 @@ def scalar_panel(observations: DataFrame, fx: DataFrame, bounds: DataFrame) -> D
 
 
 def default_zero_panel(observations: DataFrame, themes: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Snapshots are carried to the month ends first; their members are laid out last."""
-    live = validity(dense_snapshots(merge_style(observations), themes), ["product_id", "family"])
-    rows = on_spine(live, bounds).select("product_id", "as_of_date", "family", F.inline("members"))
+    """Snapshots are carried to the month ends with what they report; zeros are laid out last."""
+    live = validity(snapshots_found(merge_style(observations)), ["product_id", "family"])
+    rows = laid_out(on_spine(live, bounds), themes).select("product_id", "as_of_date", "family", F.inline("members"))
     return rows.select("product_id", "as_of_date", feature_id(F.col("family"), F.col("metric")).alias("feature_id"), "value")
 
 

@@ -56,6 +56,10 @@ FROM {orders} GROUP BY 1, 2, 3""",
     "payloads": """SELECT 'orders' AS url_prefix, concat(CASE WHEN o_orderkey % 97 = 0 THEN 'x' ELSE '' END, '{{"customer":{{"id":', CAST(o_custkey AS {text}), CASE WHEN o_custkey % 3 = 0 THEN ',"vip":true' ELSE '' END, '}},"financials":[{{"name_tag":"', lower(split_part(o_orderpriority, '-', 2)), '","value":', CAST(o_custkey % 100 AS {text}), '}}',
   CASE WHEN o_orderkey % 5 = 0 THEN ',{{"as_of_date":0}}' ELSE '' END, '],"holdings":[', CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat('{{"code":', CASE WHEN o_custkey % 2 = 0 THEN 'null' ELSE '"[x{{"' END, ',"name":"n', CAST(o_custkey % 50 AS {text}), '","tags":["a",null,1.5,[', CAST(o_orderkey % 3 AS {text}), ']]}}') END,
   '],"status":"', o_orderstatus, '"}}') AS payload FROM {orders} UNION ALL SELECT event_type, props FROM {events}""",
+    "holdings_payloads": """SELECT c_custkey AS snapshot_id, c_custkey % 90 AS product_id, TIMESTAMP '2024-03-05 10:00:00' AS created_at, CASE WHEN c_custkey % 5 <> 0 THEN 'USD' END AS currency, concat('{{"as_of_date":"2024-01-31","top_10_weight":"', CAST(c_custkey % 90 AS {text}), '.5%","industry":[{{"name":"Technology","weight":', CAST(c_custkey % 7 + 1 AS {text}), '}},{{"name":"Telecommunication Services-Discontinued eff 09/19/2020","weight":', CAST(c_custkey % 5 + 1 AS {text}), '}},{{"name":"Non Classified Equity","weight":', CAST(c_custkey % 3 + 1 AS {text}), '}}],"debtor":[{{"name":"% Quality/AAA","weight":', CAST(c_custkey % 4 + 1 AS {text}), '}},{{"name":"Not Rated","weight":', CAST(c_custkey % 6 + 1 AS {text}), '}},{{"name":"BB","weight":-3}}],"maturity":[{{"name":"Maturity Less Than 1 Year","weight":', CAST(c_custkey % 9 + 1 AS {text}), '}},{{"name":"Maturity Other","weight":', CAST(c_custkey % 2 + 1 AS {text}), '}}],"investor_country":[{{"name":"Guam","weight":', CAST(c_custkey % 8 + 1 AS {text}), ',"country_code":"XX"}},{{"name":"Unidentified","weight":', CAST(c_custkey % 3 + 1 AS {text}), '}},{{"name":"Japan","weight":', CAST(c_custkey % 5 + 1 AS {text}), ',"country_code":"JP"}}]}}') AS payload FROM {customer}""",
+    "profile_payloads": """SELECT c_custkey AS snapshot_id, c_custkey % 90 AS product_id, TIMESTAMP '2024-03-05 10:00:00' AS created_at, CASE WHEN c_custkey % 5 <> 0 THEN 'USD' END AS currency, concat('{{"expenses_allocation":[{{"name":"Management Expenses","value":"a","ratio":0.', CAST(c_custkey % 90 + 10 AS {text}), '}},{{"name":"Other","ratio":1}}],"fund_and_profile":[{{"name_tag":"Total_Expense_Ratio","value":"', CAST(c_custkey % 300 AS {text}), '.5%"}},{{"name":"Management Approach","value":"', CASE c_custkey % 3 WHEN 0 THEN 'Passive' WHEN 1 THEN 'Active' ELSE '-' END, '"}},{{"name":"Total Net Assets (Month End)","value":"', CASE c_custkey % 2 WHEN 0 THEN '$' ELSE 'EUR ' END, '', CAST(c_custkey % 900 AS {text}), ',5M (2024/01/31)"}},{{"name_tag":"Manager_Tenure","value":"20', lpad(CAST(c_custkey % 24 AS {text}), 2, '0'), '/03/01"}},{{"name_tag":"Inception_Date","value":"2001"}}],"reports":[{{"name":"Annual Report","as_of_date":"2024-01-15","fields":[{{"name":"Total Net Expense","value":"', CAST(c_custkey % 7 AS {text}), '.25%"}}]}},{{"name":"Prospectus Report","as_of_date":"2025-01-01","fields":[{{"name":"Prospectus Fee Waiver Ratio","value":"-"}},{{"name":"Prospectus Net 12b-1 Fee Ratio","value":"0.', CAST(c_custkey % 9 AS {text}), '"}}]}}],"mstar":{{"x_axis_tag":["Value","Core","Growth"],"y_axis_tag":["Large","Multi","Mid","Small"],"selected":[[', CAST(c_custkey % 3 AS {text}), ',', CAST(c_custkey % 4 AS {text}), ']]}}}}') AS payload FROM {customer}""",
+    "mstar_payloads": """SELECT c_custkey AS snapshot_id, c_custkey % 90 AS product_id, TIMESTAMP '2024-03-05 10:00:00' AS created_at, CASE WHEN c_custkey % 5 <> 0 THEN 'USD' END AS currency, concat('{{"as_of_date":"20240131","summary":[{{"id":"q_quantitative_rating","value":"', CASE c_custkey % 3 WHEN 0 THEN 'Gold' WHEN 1 THEN 'Silver' ELSE 'Neutral' END, '"}},{{"id":"people","value":"', CASE WHEN c_custkey % 4 = 0 THEN 'High' ELSE 'below average' END, '","publish_date":"20240215"}},{{"id":"process","value":"-"}},{{"id":"category","value":"x"}},{{"id":"', CASE WHEN c_custkey % 11 = 0 THEN 'weird' ELSE 'morningstar_rating' END, '","value":"', CAST(1 + c_custkey % 5 AS {text}), '"}}]}}') AS payload FROM {customer}""",
+    "lipper_payloads": """SELECT c_custkey AS snapshot_id, c_custkey % 90 AS product_id, TIMESTAMP '2024-03-05 10:00:00' AS created_at, CASE WHEN c_custkey % 5 <> 0 THEN 'USD' END AS currency, concat('{{"universes":[{{"name":"Japan","overall":[{{"name":"a","name_tag":"Total Return","rating":{{"name":"', CASE WHEN c_custkey % 4 = 0 THEN '5,000' ELSE '10' END, ' funds","value":', CAST(c_custkey % 5 AS {text}), '}}}}]}},{{"name":"UK","as_of_date":1706659200000,"overall":[{{"name":"a","name_tag":"Total Return","rating":{{"name":"1,200 funds","value":', CAST(c_custkey % 6 AS {text}), '}}}}],"3_year":[{{"name":"b","name_tag":"Expense","rating":{{"name":"900 funds","value":', CAST(c_custkey % 4 AS {text}), '}}}}]}}]}}') AS payload FROM {customer}""",
     "log_lines": """SELECT concat('run', CAST(user_id % 5 AS {text})) AS file, concat(CAST(date_trunc('second', ts) AS {text}), ' app.ingest.', CASE WHEN user_id % 5 = 4 THEN 'prices' ELSE 'details' END, ' INFO ', CASE
   WHEN user_id % 5 = 4 THEN concat('Product ', CAST(user_id AS {text}), ': incremental price update complete (', CAST(event_id % 40 AS {text}), ' bars)')
   WHEN event_type = 'error' THEN concat('Request to https://host/', CASE WHEN event_id % 2 = 0 THEN 'mf_holdings/' ELSE 'mf_ratios/' END, CAST(user_id AS {text}), ' failed (status ', CASE WHEN event_id % 3 = 0 THEN '503' ELSE '429' END, '), attempt ', CAST(1 + event_id % 4 AS {text}), '/5')

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .adapters import duckdb
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("panel_queries", "core_queries", "indicator_queries", "report_queries", "structure_queries", "state_queries")
+MODULES = ("panel_queries", "core_queries", "indicator_queries", "report_queries", "structure_queries", "state_queries", "extract_queries")
 
 
 def registered() -> dict[str, tuple[Query, str | None]]:
