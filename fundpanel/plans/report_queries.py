@@ -182,7 +182,8 @@ g AS (SELECT indicator_code, coalesce(coverage >= 0.5, false) AS g_coverage, coa
   FROM a LEFT JOIN b USING (indicator_code) JOIN d USING (indicator_code) JOIN e USING (indicator_code))
 SELECT indicator_code, g_coverage, g_recent, g_varied, g_recent_fill, g_per_country, g_moves, g_coverage AND g_recent AND g_varied AS level_ok, g_coverage AND g_recent AND g_varied AND g_recent_fill AND rp AND gf AND g_per_country AND g_moves AS change_ok FROM g""",
     ),
-    "indicator_scale_dependent": (indicator_scale_dependent, "SELECT o_orderkey, o_orderkey % 4 < 2 AS scale_dependent FROM {orders}"),
+    "indicator_scale_dependent": (indicator_scale_dependent, r"""WITH l AS (SELECT o_orderkey, lower(o_orderpriority || list_extract([' (Current US$)', ' (constant 2015)', ' per capita (current US$)', ', % of GDP (current)'], CAST(o_orderkey % 4 + 1 AS INTEGER))) AS label FROM {orders})
+SELECT o_orderkey, (contains(label, '(current') OR contains(label, '(constant')) AND NOT (contains(label, 'per capita') OR contains(label, '% of') OR regexp_matches(label, 'per \d')) AS scale_dependent FROM l"""),
     "indicator_fence_sweep": (
         indicator_fence_sweep,
         """WITH q AS (SELECT quantile_cont(c_acctbal, 0.5) - z * (quantile_cont(c_acctbal, 0.75) - quantile_cont(c_acctbal, 0.25)) AS a, quantile_cont(c_nationkey, 0.5) - z * (quantile_cont(c_nationkey, 0.75) - quantile_cont(c_nationkey, 0.25)) AS b, z FROM {customer}, (VALUES (0.25), (0.5), (1.0)) t(z) GROUP BY z),
@@ -219,7 +220,8 @@ SELECT leaf, name, idx, code, tier, coalesce(n, 0) AS countries, round(coalesce(
     ),
     "gauge_structure_checks": (
         gauge_structure_checks,
-        """SELECT 'duplicate code' AS "check", 'n7/m/' || code AS item FROM {tree_alternatives} WHERE leaf = 'n7' AND name = 'm' UNION ALL SELECT 'unresolved reference', 'n3' UNION ALL SELECT 'unknown leaf', 'n3'""",
+        f"""WITH n AS (SELECT path, CASE path WHEN 'n4' THEN 'n3' WHEN 'n5' THEN 'n6' END AS reference FROM {_TN} WHERE path <> 'n3'), a AS (SELECT * FROM {_TA} UNION ALL SELECT * FROM {_TA} WHERE leaf = 'n7' AND name = 'm')
+SELECT 'duplicate code' AS "check", leaf || '/' || name || '/' || code AS item FROM a GROUP BY leaf, name, code HAVING count(*) > 1 UNION ALL SELECT 'unresolved reference', reference FROM n WHERE reference NOT IN (SELECT path FROM n) UNION ALL SELECT DISTINCT 'unknown leaf', leaf FROM {_TC} WHERE leaf NOT IN (SELECT path FROM n)""",
     ),
     "gauge_proxy_candidates": (
         gauge_proxy_candidates,

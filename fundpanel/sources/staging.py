@@ -20,7 +20,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """df written as a table and read again: what several branches read is computed once, and plans stay short."""
+    """df written as a table and read again: what several branches read is computed once, and plans stay short.
+
+    Lazy results may read it as long as the session lives; the file system drops it when the driver ends.
+    """
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    where = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return df.sparkSession.read.schema(df.schema).parquet(path)

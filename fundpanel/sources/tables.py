@@ -59,7 +59,8 @@ def with_json(rows: DataFrame, payload: str = "payload") -> DataFrame:
 def rebuild(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> None:
     """Replaces a table: a new version is written beside the old one, then the pointer is swapped by one atomic rename.
 
-    A crash at any time leaves the old version or the new one as the table; versions that no pointer names go afterwards.
+    A crash at any time leaves the old version or the new one as the table.  The old version stays for those who still read it, until
+    the rebuild after this one; versions before it go.
     """
     spark = df.sparkSession
     path, files, jvm = _pointer(spark, root, name)
@@ -75,7 +76,10 @@ def rebuild(df: DataFrame, root: str, name: str, partition_by: str | None = None
     overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     files.rename(fresh, path, overwrite)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    held = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}.versions")
+    for f in fs.listStatus(held):
+        if f.getPath().getName() not in (old.rsplit("/", 1)[-1], version.rsplit("/", 1)[-1]):
+            fs.delete(f.getPath(), True)
 
 
 def clear(spark: SparkSession, root: str, *names: str) -> None:

@@ -178,6 +178,9 @@ def test_rebuild(spark, tmp_path):
         rows = spark.range(n).select(F.col("id").alias("product_id"), F.lit("2024-01-31").cast("date").alias("as_of_date"), F.lit("f").alias("feature_id"), F.lit(1.0).alias("value"))
         tables.rebuild(rows, root, "monthly_panel")
         assert tables.read_table(spark, root, "monthly_panel").count() == n
+    held = tables.read_table(spark, root, "monthly_panel")  # a reader of the last version goes on after the next rebuild
+    tables.rebuild(rows.filter("product_id < 4").union(rows.filter("product_id >= 4")), root, "monthly_panel")
+    assert held.count() == 5 and len(list(Path(f"{root}/monthly_panel.versions").iterdir())) == 2
     with pytest.raises(Exception, match="boom"):
         tables.rebuild(rows.withColumn("value", F.raise_error(F.lit("boom")).cast("double")), root, "monthly_panel")
     assert tables.read_table(spark, root, "monthly_panel").count() == 5
