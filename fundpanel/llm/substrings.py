@@ -3,30 +3,32 @@
 The reference is what repeats: stretches of words all of whose windows (of `window` words) begin
 in a second text, each in the text with the smallest id.  They are found by hashes: minimizers of
 the windows choose the texts that may share one, hashes of these texts' windows choose the owners.
-The reference is cut into shards of about SHARD words; a suffix automaton of each shard is built once
-and sent to all groups of texts that share a window with its owners.  A text is then streamed through the
+The reference is cut into shards of about SHARD words; a suffix automaton of each shard is built once.
+Shards are broadcast in rounds of ROUND bytes at most (or one shard, whose size SHARD bounds), each to tasks
+that read the texts which share a window with the owners of that round's shards.  A text is then streamed through the
 automaton; wherever the matching statistic reaches the window's length in words that an owner with a
-smaller id has, the window is removed.  The automaton alone decides; hashes only bring together.
+smaller id has, the window is removed.  The automaton alone decides; hashes only choose the shards of a text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sparkops import materialize, own_columns
+from .sparkops import materialize, own_columns, shared_dir
 from .textops import U64, grams, slices, utf8, words
 
 #: Words of a minimizer.
 GRAM = 12
-#: Words of a reference shard, and of the texts that one task streams through a copy of its automaton, about.
-SHARD, STREAM = 150_000, 1_500_000
+#: Words of a reference shard, and of the texts that one task streams through its automaton, about; bytes of automata that are broadcast together.
+SHARD, STREAM, ROUND = 150_000, 1_500_000, 1 << 26
 
 
 class SuffixAutomaton:
@@ -241,23 +243,42 @@ def build_shards(reference: DataFrame, window: int) -> DataFrame:
     return reference.repartition("shard").sortWithinPartitions("shard", "id").mapInArrow(run, "shard long, packed binary")
 
 
-def stream(dealt: DataFrame, window: int) -> DataFrame:
-    """(rid, spans) of what is to be removed.  dealt: rows (shard, part, rid, id, text, packed), in each group first the automaton."""
+def rounds_of(automata: DataFrame) -> DataFrame:
+    """(shard, round): shards in the order of their numbers, a new round where their bytes pass another ROUND / 2, so that a round of several has no more than ROUND.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = None
-        for batch in batches:
-            rids, spans = [], []
-            for r, i, hashes, packed in zip(batch.column("rid").to_pylist(), batch.column("id").to_pylist(), _texts(batch.column("text")), batch.column("packed"), strict=True):
-                if r is None:
-                    matcher = Matcher(packed.as_py())
-                elif found := matcher.repeats(hashes, i, window):
-                    rids.append(r)
-                    spans.append([x for span in found for x in span])
-            if rids:
-                yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["rid", "spans"])
+    One task sees two numbers per shard, that is per 150,000 words of reference.
+    """
+    sizes = materialize(automata.select("shard", F.octet_length("packed").alias("bytes")), "sizes")
+    before = F.coalesce(F.sum("bytes").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return sizes.select("shard", F.floor(before / (ROUND // 2)).cast("int").alias("round"))
 
-    return dealt.mapInArrow(run, "rid long, spans array<int>")
+
+def stream(routed: DataFrame, automata: DataFrame, window: int) -> DataFrame:
+    """(rid, spans) of what is to be removed.  routed: the stored rows (round, shard, rid, id, text) in the order of shards; automata: (round, shard, packed).
+
+    Each round's automata are broadcast; a task holds the one of the shard it is at.
+    """
+    spark, out = routed.sparkSession, None
+    for r in sorted(x["round"] for x in automata.select("round").distinct().collect()):
+        held = automata.filter(F.col("round") == r).select("shard", "packed").toArrow()  # ROUND bytes, or one shard
+        sent = spark.sparkContext.broadcast(dict(zip(held["shard"].to_pylist(), held["packed"].to_pylist(), strict=True)))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            shard, matcher = None, None
+            for batch in batches:
+                rids, spans = [], []
+                for s, r, i, hashes in zip(batch.column("shard").to_pylist(), batch.column("rid").to_pylist(), batch.column("id").to_pylist(), _texts(batch.column("text")), strict=True):
+                    if s != shard:
+                        shard, matcher = s, Matcher(sent.value[s])
+                    if found := matcher.repeats(hashes, i, window):
+                        rids.append(r)
+                        spans.append([x for span in found for x in span])
+                if rids:
+                    yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["rid", "spans"])
+
+        found = routed.filter(F.col("round") == r).select("shard", "rid", "id", "text").mapInArrow(run, "rid long, spans array<int>")
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], "rid long, spans array<int>") if out is None else out
 
 
 def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
@@ -308,10 +329,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     routes = found.filter("pos is null").select("rid", shard.alias("shard")).distinct()
     sizes = described.groupBy("rid").agg(F.max("n_words").alias("n"))
     load = routes.join(sizes, "rid").groupBy("shard").agg(F.ceil(F.sum("n") / STREAM).cast("int").alias("parts"))
-    copies = automata.join(load, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.greatest(F.col("parts"), F.lit(1)) - 1)).alias("part"), F.lit(None).cast("long").alias("rid"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"), "packed")
-    rows = routes.join(load, "shard").join(plain, "rid").select("shard", F.pmod(F.hash("rid"), F.greatest(F.col("parts"), F.lit(1))).alias("part"), "rid", "id", "text", F.lit(None).cast("binary").alias("packed"))
-    dealt = copies.unionByName(rows).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("rid").asc_nulls_first())
-    spans = materialize(stream(dealt, window), "spans").groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    automata = automata.join(rounds_of(automata), "shard")
+    rows = routes.join(load, "shard").join(automata.select("shard", "round"), "shard").join(plain, "rid").select("round", "shard", F.pmod(F.hash("rid"), F.greatest(F.col("parts"), F.lit(1))).alias("part"), "rid", "id", "text")
+    # a folder per round: each reads its own texts
+    path = f"{shared_dir(docs.sparkSession)}/routed-{uuid.uuid4().hex}"
+    rows.repartition("shard", "part").drop("part").sortWithinPartitions("round", "shard").write.partitionBy("round").option("compression", "zstd").parquet(path)
+    routed = docs.sparkSession.read.schema("shard long, rid long, id long, text string, round int").parquet(path)
+    spans = materialize(stream(routed, automata, window), "spans").groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     cut = materialize(_cut(plain.join(spans, "rid").select("rid", "text", "spans"), with_text), "cut").withColumnRenamed("kept_sha256", "cut_sha256")
     out = described.join(cut, "rid", "left").select(F.col("id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), "kept")
     return out if with_text else out.drop("kept")

@@ -240,7 +240,7 @@ def cut_windows(texts, window):
     return out
 
 
-def test_substrings_equal_brute_force(spark):
+def test_substrings_equal_brute_force(spark, monkeypatch):
     rng = random.Random(7)
     shared = [prose(rng, rng.randrange(12, 60), 10**6) for _ in range(6)]
     texts = []
@@ -252,8 +252,11 @@ def test_substrings_equal_brute_force(spark):
             parts += [" ".join(s[a:]), prose(rng, rng.randrange(0, 9), 10**6)]
         texts.append("\n".join(parts))
     texts += [texts[3], None, "", "short"]
-    got = rows(substrings.dedup_substrings(docs(spark, texts), window=15), "doc_id", "n_words", "n_removed", "kept_sha256")
-    assert got == sorted(cut_windows(list(enumerate(texts)), 15), key=repr) and sum(r[2] for r in got) > 300
+    for shard, bytes_ in ((substrings.SHARD, substrings.ROUND), (40, 10_000), (40, 1)):  # one round, several shards a round, one shard a round
+        monkeypatch.setattr(substrings, "SHARD", shard)
+        monkeypatch.setattr(substrings, "ROUND", max(bytes_, 2))
+        got = rows(substrings.dedup_substrings(docs(spark, texts), window=15), "doc_id", "n_words", "n_removed", "kept_sha256")
+        assert got == sorted(cut_windows(list(enumerate(texts)), 15), key=repr) and sum(r[2] for r in got) > 300
 
 
 def test_substrings_of_odd_rows(spark):
