@@ -3,6 +3,9 @@
 The stages, in order: toxic documents go; repeated runs of lines are cut out; of linked near
 copies one document stays; documents with benchmark passages go; what is left is encoded.
 Each stage's result is written as Parquet and read again before the next.
+
+All stages keep rows with a null id, a null or an empty text, rows that repeat and texts of any length (the classifier learns from none
+of over 100,000 characters, but scores it whole); an empty table stays empty; extra columns come through all stages but the last.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from fundpanel.llm.sparkops import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a classifier, trained on the labelled ones among them, doesn't take for toxic."""
+    """Documents that a classifier, trained on the labelled ones among them, doesn't take for toxic; without labels of both classes all."""
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -32,12 +35,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; all of them if that is empty."""
     return decontaminate.keep_unleaked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of what is left, and digests of ids and of the decoded text."""
+    """Token ids of what is left, and digests of ids and of the decoded text; a null text has no ids."""
     return piecebpe.encode_texts(docs, model_path(), with_ids=False, digests=True)
 
 
@@ -54,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents."""
+    """All stages over the table documents: one row (doc_id, n_tokens, ids_sha256, decoded_sha256) for each that is kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         if i:
