@@ -102,7 +102,7 @@ def flag_outliers(observations: DataFrame, span: int = 7, fences: float = 5.0) -
     metrics = continuous_metrics(observations).select("family", "metric", "skew", "lo", "hi")
     rows = observations.join(F.broadcast(metrics.withColumn("candidate", F.lit(True))), ["family", "metric"], "left")
     window = Window.partitionBy("product_id", "family", "metric").orderBy("effective_date").rowsBetween(-span, span)
-    tested = rows.filter("candidate").withColumn("z", unskewed()).withColumn("near", F.array_sort(F.collect_list("z").over(window)))
+    tested = rows.filter("candidate").withColumn("z", unskewed()).withColumn("near", F.sort_array(F.collect_list("z").over(window)))
     tested = tested.withColumns({"q1": quantile(F.col("near"), 0.25), "q2": quantile(F.col("near"), 0.5), "q3": quantile(F.col("near"), 0.75)})
     iqr = F.col("q3") - F.col("q1")
     flag = F.coalesce((iqr > 0) & (F.abs(F.col("z") - F.col("q2")) > fences * iqr), F.lit(False))
@@ -238,9 +238,9 @@ def laid_out(snaps: DataFrame, themes: DataFrame) -> DataFrame:
 
     A universe is a closed one, or the countries that the product ever reported.
     """
-    closed = closed_universe(themes).groupBy("family").agg(F.array_sort(F.collect_set("metric")).alias("closed"))
+    closed = closed_universe(themes).groupBy("family").agg(F.sort_array(F.collect_set("metric")).alias("closed"))
     rows = snaps.join(F.broadcast(closed), "family", "left")
-    universe = F.when(F.col("family") == "country", F.array_sort("ever")).otherwise(F.coalesce("closed", F.array().cast("array<string>")))
+    universe = F.when(F.col("family") == "country", F.sort_array("ever")).otherwise(F.coalesce("closed", F.array().cast("array<string>")))
     rows = rows.withColumn("universe", universe)
     members = F.transform("universe", lambda m: F.struct(m.alias("metric"), F.coalesce(F.try_element_at("found", m), F.lit(0.0)).alias("value")))
     return rows.withColumn("members", members).drop("closed", "universe", "found", "ever")

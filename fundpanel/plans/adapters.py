@@ -17,15 +17,16 @@ _DATE = "CAST(l_shipdate AS DATE)"
 _MONTH = "CAST(date_trunc('month', l_shipdate) AS DATE)"
 
 
-def _share(family: str, metric: str, code: str = "nullif('', '')", joins: str = "") -> str:
+def _share(family: str, metric: str, code: str = "nullif('', '')", source: str = "{lineitem}") -> str:
     """A monthly share of each supplier's sales."""
     return f"""SELECT product_id, '{family}' AS family, metric, code, effective_date, depth AS date_source_depth, fetched_at,
   CAST(cents AS DOUBLE) / sum(cents) OVER (PARTITION BY product_id, effective_date) AS value
 FROM (SELECT l_suppkey AS product_id, {metric} AS metric, {code} AS code, {_MONTH} AS effective_date, max(l_linenumber) AS depth, max(l_shipdate) AS fetched_at,
-  sum({_CENTS}) AS cents FROM {{lineitem}} {joins} GROUP BY 1, 2, 3, 4) x"""
+  sum({_CENTS}) AS cents FROM {source} GROUP BY 1, 2, 3, 4) x"""
 
 
-_NATION = "JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"
+#: Views that Spark stores: several others, or several branches of a query, read them.
+STORED = ("observations", "line_nation")
 
 VIEWS = {
     "prices": f"""SELECT product_id, date, CAST(cents AS DOUBLE) / n / 100 AS close, CAST(hi AS DOUBLE) / 100 AS high, CAST(lo AS DOUBLE) / 100 AS low, CAST(volume AS DOUBLE) AS volume
@@ -43,8 +44,9 @@ FROM (SELECT l_suppkey AS product_id, CASE WHEN l_linenumber < 4 THEN 'ratios' E
 FROM (SELECT l_suppkey AS product_id, max(CASE l_suppkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'URGENT' WHEN 2 THEN 'HIGH' ELSE 'XXX' END) AS code, {_DATE} AS effective_date, max(l_shipdate) AS fetched_at, sum({_CENTS}) AS cents
   FROM {{lineitem}} GROUP BY 1, 3) x""",
     "obs_asset": _share("asset_class", "CASE l_linenumber % 3 WHEN 0 THEN 'equity' WHEN 1 THEN 'fixed_income' ELSE 'cash' END"),
-    "obs_country": _share("country", "lower(n_name)", joins=_NATION),
-    "obs_theme": _share("theme", "lower(n_name)", "CASE WHEN n_nationkey % 2 = 0 THEN concat('n', CAST(n_nationkey AS {text})) END", _NATION),
+    "line_nation": "SELECT l_suppkey, l_linenumber, l_shipdate, l_extendedprice, n_name, n_nationkey FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey",
+    "obs_country": _share("country", "lower(n_name)", source="{line_nation}"),
+    "obs_theme": _share("theme", "lower(n_name)", "CASE WHEN n_nationkey % 2 = 0 THEN concat('n', CAST(n_nationkey AS {text})) END", "{line_nation}"),
     "obs_style": _share("style_box", "CASE l_linenumber % 3 WHEN 0 THEN 'large_value' WHEN 1 THEN 'mid_core' ELSE 'small_growth' END"),
     "obs_hist": _share("style_box_hist", "CASE l_linenumber % 2 WHEN 0 THEN 'large_core' ELSE 'multi_growth' END"),
     "observations": " UNION ALL ".join(f"SELECT product_id, family, metric, code, effective_date, date_source_depth, fetched_at, value FROM {{obs_{x}}}" for x in ("scalar", "aum", "asset", "country", "theme", "style", "hist")),
@@ -101,14 +103,16 @@ def needed(text: str) -> list[str]:
     return out
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table or view as a frame."""
+def view(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A table or view as a frame; a stored one is made once for all that it is part of."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = VIEWS[name].replace("{text}", "STRING")
-    parts = {x: view(spark, sf_dir, x) for x in set(re.findall(r"\{(\w+)\}", text))}
-    found = spark.sql(text, **parts)
-    return stage(found) if name == "observations" else found
+    known = {} if known is None else known
+    if name not in known:
+        text = VIEWS[name].replace("{text}", "STRING")
+        found = spark.sql(text, **{x: view(spark, sf_dir, x, known) for x in set(re.findall(r"\{(\w+)\}", text))})
+        known[name] = stage(found) if name in STORED else found
+    return known[name]
 
 
 def duckdb(text: str) -> str:

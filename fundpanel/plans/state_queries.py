@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import parsers
 from ..operators import capture, extract, gauges, keyed, macro, series
 from ..operators import indicators as ind
 from ..sources.staging import shared_dir, stage
@@ -248,6 +249,56 @@ def macro_summed_beta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(found.select("product_id", "n", F.col("beta")[1].alias("beta"), F.col("beta")[2].alias("lagged"), F.col("summed")["market"].alias("summed")), "beta", "lagged", "summed", digits=5)
 
 
+def macro_robust_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients on the market, with errors that allow for one lag."""
+    months = view(spark, sf_dir, "prices").groupBy("product_id", F.trunc("date", "month").alias("date")).agg(F.avg("close").alias("close"))
+    rets = stage(macro.returns(months))
+    design = macro.lagged_design(rets, rets.groupBy("date").agg(F.median("ret").alias("market")), ["market"], lags=0)
+    found = macro.regress(design, k=2, hac_lags=1)
+    return _r(found.select("product_id", "n", *(F.col(c)[i].alias(f"{c}{i}") for c in ("beta", "se") for i in (0, 1))), "beta0", "beta1", "se0", "se1", digits=5)
+
+
+def capture_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider's rows after a run that was cut short, with the codes that are left to fetch."""
+    rows = _rows(spark, sf_dir).select("indicator_code", "country_code", "year", "value")
+    stored = rows.filter("indicator_code IN ('HIGH', 'LOW') AND year < 1998")
+    kept = capture.append_pending(stored, rows.filter("indicator_code <> 'URGENT'").withColumn("value", F.col("value") + 1))
+    left = capture.pending_codes(rows.select(F.col("indicator_code").alias("code")).distinct(), kept.select(F.col("indicator_code").alias("code")))
+    return kept.unionByName(left.select(F.col("code").alias("indicator_code"), F.lit("left").alias("country_code"), F.lit(0).alias("year"), F.lit(0.0).alias("value")))
+
+
+def capture_last_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source whose new snapshot is empty keeps its stored one; one with new rows takes those."""
+    rows = _rows(spark, sf_dir).select("indicator_code", "country_code", "year", "value")
+    a = capture.keep_last_good(rows.filter("year > 3000"), rows.filter("indicator_code = 'LOW'"))
+    return a.unionByName(capture.keep_last_good(rows.filter("indicator_code = 'HIGH' AND year = 1996"), rows.filter("indicator_code = 'HIGH'")))
+
+
+def indicator_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual values of HIGH, else projected ones of LOW."""
+    of = lambda code: _rows(spark, sf_dir).filter(F.col("indicator_code") == code).select("country_code", "year", "value")
+    return ind.combine_first(of("HIGH").filter("year % 2 = 0"), of("LOW")).select("country_code", "year", "value")
+
+
+def indicator_weighted_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rows(spark, sf_dir).filter("indicator_code <> 'LOW' OR country_code < 'NATION_2'")
+    weights = ind.observation_weights(view(spark, sf_dir, "obs_country").withColumn("code", F.upper("metric")))
+    return _r(ind.weighted_coverage(rows, weights), "weighted_coverage")
+
+
+def gauge_rank_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _rows(spark, sf_dir).filter("indicator_code <> 'LOW' OR year < 1997")
+    return gauges.rank_support(rows, gauges.years(_rows(spark, sf_dir), 1995))
+
+
+def parse_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lenient booleans, credit labels and finite numbers."""
+    o = view(spark, sf_dir, "orders")
+    pick = lambda *v: F.element_at(F.array(*map(F.lit, v)), (F.col("o_orderkey") % len(v) + 1).cast("int"))
+    number = F.when(F.col("o_orderkey") % 4 == 0, F.lit(float("nan"))).when(F.col("o_orderkey") % 4 == 1, F.lit(float("inf"))).when(F.col("o_orderkey") % 4 == 2, F.col("o_totalprice"))
+    return o.select("o_orderkey", parsers.lenient_boolean(pick("T", "no", " yes ", "0", "", "maybe", "FALSE")).alias("flag"), parsers.credit_label(pick("% Quality/AAA", " BB ", "% Quality-Not Rated")).alias("label"), parsers.finite(number).alias("finite"))
+
+
 _A = _TA
 _S = "s AS (SELECT s_suppkey + 5 AS product_id, CASE s_nationkey % 3 WHEN 0 THEN 'error' WHEN 1 THEN 'ok' ELSE 'no_data' END AS status, TIMESTAMP '2024-01-01' + to_hours(s_suppkey) AS last_checked_at FROM {supplier}), l AS (SELECT product_id, max(date) AS last_date FROM {prices} GROUP BY 1), x AS (SELECT product_id, last_date, status, last_checked_at FROM l FULL JOIN s USING (product_id))"
 _RANKS = "k AS (SELECT *, rank() OVER (PARTITION BY {by} ORDER BY va) + (count(*) OVER (PARTITION BY {by}, va) - 1) / 2 AS ra, rank() OVER (PARTITION BY {by} ORDER BY vb) + (count(*) OVER (PARTITION BY {by}, vb) - 1) / 2 AS rb FROM {rows})"
@@ -353,4 +404,29 @@ UNION ALL SELECT 'unknown source', leaf || '/' || name || '/' || id, NULL FROM {
 s AS (SELECT product_id, count(*) AS n, covar_pop(x, x) AS xx, covar_pop(z, z) AS zz, covar_pop(x, z) AS xz, covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM r JOIN g USING (date) WHERE y IS NOT NULL AND z IS NOT NULL GROUP BY 1)
 SELECT product_id, n, round((zz * xy - xz * zy) / (xx * zz - xz * xz), 5) AS beta, round((xx * zy - xz * xy) / (xx * zz - xz * xz), 5) AS lagged, round((zz * xy - xz * zy + xx * zy - xz * xy) / (xx * zz - xz * xz), 5) AS summed FROM s""",
     ),
+    "macro_robust_errors": (
+        macro_robust_errors,
+        """WITH m AS (SELECT product_id, CAST(date_trunc('month', date) AS DATE) AS date, avg(close) AS close FROM {prices} GROUP BY 1, 2), r AS (SELECT product_id, date, close / lag(close) OVER (PARTITION BY product_id ORDER BY date) - 1 AS y FROM m), f AS (SELECT date, median(y) AS x FROM r WHERE y IS NOT NULL GROUP BY 1),
+d AS (SELECT product_id, date, y, x FROM r JOIN f USING (date) WHERE y IS NOT NULL), s AS (SELECT product_id, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM d GROUP BY 1), e AS (SELECT product_id, date, x, y - a - b * x AS e FROM d JOIN s USING (product_id)),
+l AS (SELECT *, lag(e) OVER w AS ep, lag(x) OVER w AS xp FROM e WINDOW w AS (PARTITION BY product_id ORDER BY date)), v AS (SELECT product_id, sum(e * e) + sum(e * ep) AS s00, sum(e * e * x) + 0.5 * (sum(e * ep * xp) + sum(ep * e * x)) AS s01, sum(e * e * x * x) + sum(e * x * ep * xp) AS s11 FROM l GROUP BY 1)
+SELECT product_id, n, round(a, 5) AS beta0, round(b, 5) AS beta1, round(sqrt(greatest(sxx * sxx * s00 - 2 * sxx * sx * s01 + sx * sx * s11, 0)) / (n * sxx - sx * sx), 5) AS se0, round(sqrt(greatest(sx * sx * s00 - 2 * n * sx * s01 + n * n * s11, 0)) / (n * sxx - sx * sx), 5) AS se1 FROM s JOIN v USING (product_id)""",
+    ),
+    "capture_pending": (
+        capture_pending,
+        "SELECT indicator_code, country_code, year, CASE WHEN indicator_code IN ('HIGH', 'LOW') AND year < 1998 THEN value ELSE value + 1 END AS value FROM {indicators} WHERE indicator_code <> 'URGENT' UNION ALL SELECT DISTINCT indicator_code, 'left', 0, 0 FROM {indicators} WHERE indicator_code = 'URGENT'",
+    ),
+    "capture_last_good": (capture_last_good, "SELECT indicator_code, country_code, year, value FROM {indicators} WHERE indicator_code = 'LOW' OR (indicator_code = 'HIGH' AND year = 1996)"),
+    "indicator_combined": (indicator_combined, "SELECT country_code, year, coalesce(a.value, b.value) AS value FROM (SELECT * FROM {indicators} WHERE indicator_code = 'HIGH' AND year % 2 = 0) a FULL JOIN (SELECT * FROM {indicators} WHERE indicator_code = 'LOW') b USING (country_code, year)"),
+    "indicator_weighted_coverage": (
+        indicator_weighted_coverage,
+        "WITH w AS (SELECT upper(metric) AS country_code, count(*) / sum(count(*)) OVER () AS weight FROM {obs_country} GROUP BY 1) SELECT indicator_code, round(sum(weight), 6) AS weighted_coverage FROM (SELECT DISTINCT indicator_code, country_code FROM {indicators} WHERE indicator_code <> 'LOW' OR country_code < 'NATION_2') x JOIN w USING (country_code) GROUP BY 1",
+    ),
+    "gauge_rank_support": (
+        gauge_rank_support,
+        "WITH y AS (SELECT DISTINCT year FROM {indicators} WHERE NOT is_projection AND year >= 1995), r AS (SELECT * FROM {indicators} WHERE indicator_code <> 'LOW' OR year < 1997) SELECT c.indicator_code, y.year, count(DISTINCT r.country_code) AS n FROM (SELECT DISTINCT indicator_code FROM r) c CROSS JOIN y LEFT JOIN r ON r.indicator_code = c.indicator_code AND r.year = y.year GROUP BY 1, 2",
+    ),
+    "parse_labels": (
+        parse_labels,
+        "SELECT o_orderkey, list_extract([true, false, true, false, false, true, false], CAST(o_orderkey % 7 + 1 AS INTEGER)) AS flag, list_extract(['AAA', 'BB', 'Not Rated'], CAST(o_orderkey % 3 + 1 AS INTEGER)) AS label, o_orderkey % 4 = 2 AS finite FROM {orders}",
+    ),
 }
