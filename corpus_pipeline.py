@@ -41,7 +41,8 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and digests of ids and of the decoded text; a null text has no ids."""
-    return piecebpe.encode_texts(docs, model_path(), with_ids=False, digests=True)
+    # the workers hold what the stages before left, so they remember fewer parts
+    return piecebpe.encode_texts(docs, model_path(), with_ids=False, digests=True, memory=60_000)
 
 
 STAGES = [

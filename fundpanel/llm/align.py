@@ -26,7 +26,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +48,8 @@ class ByteLevel:
     """The byte-level BPE of a tokenizers file, without special tokens."""
 
     def __init__(self, file: str):
+        import tiktoken  # by the workers alone
+
         with open(file, encoding="utf-8") as opened:
             stated = json.load(opened)
         symbols, vocab = byte_symbols(), stated["model"]["vocab"]

@@ -110,6 +110,23 @@ def later_runs(rows: DataFrame, min_lines: int, scratch: Scratch) -> DataFrame:
     return state.join(first, "g").filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE, "n").filter(F.col("n") >= min_lines)
 
 
+def later_windows(rows: DataFrame, min_lines: int, scratch: Scratch) -> DataFrame:
+    """(d, h, pos, n): the places that aren't the first of their interval, in each round of min_lines lines or more, with the round's length.
+
+    Together they cover what later_runs() covers, as all windows of a run are later copies if the run is; how long a run is needn't be known.
+    """
+    levels = double(rows, scratch)
+    wanted = [x for x in levels if x[0] >= min_lines]
+    below = [x for x in levels if x[0] < min_lines]
+    if below and min_lines & (min_lines - 1) and 2 * below[-1][0] > min_lines:
+        length, level = below[-1]
+        wanted.append((min_lines, _ranked(_on(level, min_lines - length), scratch, "wanted")))
+    none = rows.select(*_KEY, F.lit(0).alias("pos"), F.lit(0).alias("n")).limit(0)
+    for length, level in wanted:
+        none = none.unionByName(level.filter(F.struct(*_PLACE) > F.col("first")).select(*_PLACE, F.lit(length).alias("n")))
+    return none
+
+
 def later_passages(rows: DataFrame, words: int, scratch: Scratch) -> DataFrame:
     """(d, h, pos, n): the lines of so many words or more that stand at an earlier place, too; n is 1.  rows: (d, h, lines)."""
     # possessive, and no further than the last word needed; only ids of long lines are shuffled
@@ -128,8 +145,20 @@ def maximal(runs: DataFrame) -> DataFrame:
     return each.groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("pos", "n", F.greatest("pos", "before").alias("new")))).alias("runs"))
 
 
-def cut_lines(docs: DataFrame, id_col: str, text_col: str, min_lines: int, passage: int) -> DataFrame:
-    """(row, text, n_lines, n_deleted, runs): the caller's row and its text without later copies; see dedup_lines()."""
+def joined(windows: DataFrame) -> DataFrame:
+    """(d, h, runs): of each text its windows as stretches that don't touch, in the shape of maximal()."""
+    by_place = Window.partitionBy(*_KEY).orderBy("pos")
+    before = F.max(F.col("pos") + F.col("n")).over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    each = windows.groupBy(*_PLACE).agg(F.max("n").alias("n")).withColumn("apart", (F.col("pos") > F.coalesce(before, F.lit(-1))).cast("int"))
+    parts = each.withColumn("part", F.sum("apart").over(by_place)).groupBy(*_KEY, "part").agg(F.min("pos").alias("pos"), F.max(F.col("pos") + F.col("n")).alias("end"))
+    return parts.groupBy(*_KEY).agg(F.array_sort(F.collect_list(F.struct("pos", (F.col("end") - F.col("pos")).alias("n"), F.col("pos").alias("new")))).alias("runs"))
+
+
+def cut_lines(docs: DataFrame, id_col: str, text_col: str, min_lines: int, passage: int, runs_wanted: bool = True) -> DataFrame:
+    """(row, text, n_lines, n_deleted, runs): the caller's row and its text without later copies; see dedup_lines().
+
+    Where the maximal runs aren't wanted, runs are the deleted stretches, and their lengths aren't looked for.
+    """
     if min_lines < 2:
         raise ValueError("a run has two lines at least; single lines are passages")
     scratch = Scratch(docs.sparkSession, "lines")
@@ -137,8 +166,8 @@ def cut_lines(docs: DataFrame, id_col: str, text_col: str, min_lines: int, passa
     d = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(2**63)))
     h = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = docs.filter(text.isNotNull()).select(d.alias("d"), h.alias("h"), F.split(text, "\n", -1).alias("lines"))
-    runs = later_runs(rows, min_lines, scratch).unionByName(later_passages(rows, passage, scratch))
-    gone = scratch.store(maximal(runs), "gone")
+    runs = (later_runs if runs_wanted else later_windows)(rows, min_lines, scratch).unionByName(later_passages(rows, passage, scratch))
+    gone = scratch.store((maximal if runs_wanted else joined)(runs), "gone")
     scratch.drop(*(x for x in scratch.paths if x != "gone"))
     marked = maybe_among(in_struct(docs, d=d, h=h), gone, *_KEY)
     body = F.col("row").getField(text_col)
@@ -175,7 +204,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def without_later_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", min_lines: int = 2, passage: int = PASSAGE) -> DataFrame:
     """docs, exactly its columns, after dedup_lines(); rows of whose text nothing is left go, and length_col, if there, follows the text."""
-    cut = cut_lines(docs, id_col, text_col, min_lines, passage).filter("n_deleted < n_lines OR n_deleted = 0")
+    cut = cut_lines(docs, id_col, text_col, min_lines, passage, runs_wanted=False).filter("n_deleted < n_lines OR n_deleted = 0")
 
     def column(c: str) -> Column:
         old = F.col("row").getField(c)

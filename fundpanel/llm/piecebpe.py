@@ -38,7 +38,8 @@ COMPARE = 1 << 20
 class PieceBpe:
     """Encoder and decoder for one model file."""
 
-    def __init__(self, model_file: str):
+    def __init__(self, model_file: str, memory: int = MEMORY):
+        self.memory, self.memory_chars = memory, MEMORY_CHARS * memory // MEMORY
         self.library = lib = sentencepiece.SentencePieceProcessor(model_file=model_file)
         special = {i for i in range(len(lib)) if lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i) or lib.is_unused(i)}
         self.pieces = [lib.id_to_piece(i) for i in range(len(lib))]
@@ -127,7 +128,7 @@ class PieceBpe:
             if self.new_size > COMPARE:
                 self.compare()
         if len(part) <= LONGEST:
-            if len(self.young) >= MEMORY or self.young_chars > MEMORY_CHARS:
+            if len(self.young) >= self.memory or self.young_chars > self.memory_chars:
                 self.old, self.young, self.young_chars = self.young, {}, 0
             self.young[part] = ids
             self.young_chars += len(part)
@@ -192,24 +193,26 @@ class PieceBpe:
         return "".join(out)
 
 
-_coders: dict[str, PieceBpe] = {}
+_coders: dict[tuple[str, int], PieceBpe] = {}
 
 
-def coder(model_file: str) -> PieceBpe:
+def coder(model_file: str, memory: int = MEMORY) -> PieceBpe:
     """This process's coder for a model file, with what it remembers."""
-    if model_file not in _coders:
+    if (model_file, memory) not in _coders:
         # remembered parts are tuples that live on; the collector needn't look at them every few hundred objects
         gc.set_threshold(50_000)
-        _coders[model_file] = PieceBpe(model_file)
-    return _coders[model_file]
+        pa.default_memory_pool().release_unused()  # of what the worker did before
+        _coders[model_file, memory] = PieceBpe(model_file, memory)
+    return _coders[model_file, memory]
 
 
-def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, digests: bool = False) -> DataFrame:
+def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, digests: bool = False, memory: int = MEMORY) -> DataFrame:
     """One row per input row: doc_id, n_tokens, and by choice ids, decoded (the library's decode(ids)) and digests of both.
 
     A null or empty text has no ids and decodes to the empty text.  Repeated rows and null ids are
     kept as they are; an empty table gives an empty result; other columns are ignored.  The model
-    file must be readable at the same path on every executor.
+    file must be readable at the same path on every executor.  memory: parts that a worker remembers, which costs
+    about 500 bytes each and spares encoding them again.
     """
     kinds = {"doc_id": ("long", pa.int64()), "n_tokens": ("long", pa.int64())}
     if with_ids:
@@ -218,7 +221,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
         kinds |= {"ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(model_file)
+        bpe = coder(model_file, memory)
         names = [str(i) for i in range(len(bpe.pieces))]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

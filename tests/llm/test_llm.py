@@ -317,6 +317,16 @@ def test_line_runs_equal_brute_force(spark):
         linedup.dedup_lines(docs(spark, []), min_lines=1)
 
 
+def test_the_same_lines_go_without_the_runs(spark):
+    """What only needs the texts leaves the same lines."""
+    rng = random.Random(21)
+    texts = ["\n".join(f"line {rng.randrange(15)}" for _ in range(rng.randrange(0, 14))) for _ in range(60)] + ["\n".join(f"long {i}" for i in range(a, b)) for a, b in ((0, 37), (5, 30), (20, 37))] + ["\n".join(["same"] * 9)] * 2
+    for m in (2, 3, 4, 7):
+        kept = {i: left for i, n, gone, left, _ in line_runs(texts, m) if gone < n or not gone}
+        got = linedup.without_later_lines(docs(spark, texts), min_lines=m).collect()
+        assert {r.doc_id: r.text for r in got} == kept and len(got) == len(kept)
+
+
 def test_rounds_of_doubling(spark):
     """Forty equal lines: intervals of 2, 4, .., 32 lines, then none."""
     table = docs(spark, ["\n".join(["same"] * 40), "other\nlines"]).select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), F.split("text", "\n", -1).alias("lines"))
