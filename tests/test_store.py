@@ -154,7 +154,7 @@ def test_changes_stream_equals_batch(spark, tmp_path):
 
     want = capture.changelog(frame(data)).select("product_id", "url_prefix", "hash", "snapshot_id", "created_at", "last_checked_at")
     want = sorted((tuple(r) for r in want.collect()), key=repr)
-    for name, size in (("small", 7), ("large", 60)):
+    for name, size in (("small", 15), ("large", 60)):
         rng = random.Random(size)
         mixed = sorted(data, key=lambda x: x[4] + rng.randrange(7000))  # late by up to two hours
         parts = [mixed[i : i + size] for i in range(0, len(mixed), size)] + [end]
