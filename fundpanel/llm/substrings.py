@@ -28,7 +28,7 @@ from .textops import U64, grams, slices, utf8, words
 #: Words of a minimizer.
 GRAM = 12
 #: Words of a reference shard, and of the texts that one task streams through its automaton, about; bytes of automata that are broadcast together.
-SHARD, STREAM, ROUND = 150_000, 1_500_000, 1 << 26
+SHARD, STREAM, ROUND = 150_000, 1_500_000, 1 << 25
 
 
 class SuffixAutomaton:
@@ -256,12 +256,16 @@ def rounds_of(automata: DataFrame) -> DataFrame:
 def stream(routed: DataFrame, automata: DataFrame, window: int) -> DataFrame:
     """(rid, spans) of what is to be removed.  routed: the stored rows (round, shard, rid, id, text) in the order of shards; automata: (round, shard, packed).
 
-    Each round's automata are broadcast; a task holds the one of the shard it is at.
+    Each round's automata are broadcast, its spans are stored, and the broadcast goes before the next; a task holds the one of
+    the shard it is at.
     """
-    spark, out = routed.sparkSession, None
+    spark, kinds = routed.sparkSession, "rid long, spans array<int>"
+    path = f"{shared_dir(spark)}/spans-{uuid.uuid4().hex}"
+    spark.createDataFrame([], kinds).write.parquet(f"{path}/none")
     for r in sorted(x["round"] for x in automata.select("round").distinct().collect()):
         held = automata.filter(F.col("round") == r).select("shard", "packed").toArrow()  # ROUND bytes, or one shard
         sent = spark.sparkContext.broadcast(dict(zip(held["shard"].to_pylist(), held["packed"].to_pylist(), strict=True)))
+        del held
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             shard, matcher = None, None
@@ -276,9 +280,9 @@ def stream(routed: DataFrame, automata: DataFrame, window: int) -> DataFrame:
                 if rids:
                     yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], ["rid", "spans"])
 
-        found = routed.filter(F.col("round") == r).select("shard", "rid", "id", "text").mapInArrow(run, "rid long, spans array<int>")
-        out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], "rid long, spans array<int>") if out is None else out
+        routed.filter(F.col("round") == r).select("shard", "rid", "id", "text").mapInArrow(run, kinds).write.parquet(f"{path}/round{r}")
+        sent.destroy()
+    return spark.read.schema(kinds).option("recursiveFileLookup", True).parquet(path)
 
 
 def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
@@ -335,7 +339,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     path = f"{shared_dir(docs.sparkSession)}/routed-{uuid.uuid4().hex}"
     rows.repartition("shard", "part").drop("part").sortWithinPartitions("round", "shard").write.partitionBy("round").option("compression", "zstd").parquet(path)
     routed = docs.sparkSession.read.schema("shard long, rid long, id long, text string, round int").parquet(path)
-    spans = materialize(stream(routed, automata, window), "spans").groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = stream(routed, automata, window).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     cut = materialize(_cut(plain.join(spans, "rid").select("rid", "text", "spans"), with_text), "cut").withColumnRenamed("kept_sha256", "cut_sha256")
     out = described.join(cut, "rid", "left").select(F.col("id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), "kept")
     return out if with_text else out.drop("kept")
