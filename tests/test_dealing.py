@@ -51,3 +51,9 @@ def test_lines_without_and_with_several_orders(spark, tmp_path):
     assert {r.n_name: r.n for r in joined} == {"X": 3, "Y": 2}
     obs = adapters.view(spark, str(tmp_path), "observations")
     assert {r.family: r.value for r in obs.filter("family IN ('ratios', 'profile')").collect()} == {"ratios": 20.0, "profile": 80.0}
+
+
+def test_payloads_are_dealt_over_all_tasks(spark):
+    made = adapters.view(spark, TABLES, "profile_payloads")
+    assert made.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert made.count() == adapters.view(spark, TABLES, "customer").count()
