@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fundpanel.operators import panel
 from fundpanel.plans import adapters
+from fundpanel.sources.staging import stage
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -19,8 +20,8 @@ def test_observations_are_dealt_once(spark):
     assert "Exchange" not in plan(panel.staleness_caps(panel.snapshot_dates(obs), ["product_id", "family"]))
     assert "Exchange" not in plan(panel.validity(panel.snapshot_dates(obs), ["product_id", "family"]))
     assert "Exchange" not in plan(panel.snapshots_found(panel.merge_style(obs), adapters.parts(spark, TABLES)))
-    bounds = spark.createDataFrame([(1, dt.date(1992, 1, 5), dt.date(1999, 1, 5))], "product_id long, first_price date, last_price date")
     themes, n = adapters.view(spark, TABLES, "themes"), adapters.parts(spark, TABLES)
+    bounds = stage(spark.createDataFrame([(1, dt.date(1992, 1, 5), dt.date(1999, 1, 5))], "product_id long, first_price date, last_price date"), "product_id", n)
     assert "Exchange hashpartitioning(product_id" not in plan(panel.default_zero_panel(obs, themes, bounds, n))
 
 
