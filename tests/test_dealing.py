@@ -58,3 +58,20 @@ def test_payloads_are_dealt_over_all_tasks(spark):
     made = adapters.view(spark, TABLES, "profile_payloads")
     assert made.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert made.count() == adapters.view(spark, TABLES, "customer").count()
+
+
+def test_views_are_stored_one_after_another(spark, monkeypatch):
+    staged = []
+
+    def keep(df, by=None, parts=None, *more):
+        staged.extend((df, *more))
+        return stage(df, by, parts, *more)
+
+    monkeypatch.setattr(adapters, "stage", keep)
+    obs = adapters.view(spark, TABLES, "observations")
+    # a task that stores observations works on one view, not on all seven
+    assert len(staged) == 8 and not any("Union" in plan(x) for x in staged)
+    names = ("scalar", "aum", "asset", "country", "theme", "style", "hist")
+    want = spark.sql(adapters.VIEWS["observations"], **{f"obs_{x}": adapters.view(spark, TABLES, f"obs_{x}") for x in names})
+    assert obs.dtypes == want.dtypes and obs.count() == want.count()
+    assert obs.exceptAll(want).isEmpty() and want.exceptAll(obs).isEmpty()
