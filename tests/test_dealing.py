@@ -41,6 +41,22 @@ def test_values_are_counted_over_parts(spark):
     assert {(r.metric, r.n_distinct) for r in counted.collect()} == {("a", 4), ("b", 500)}
 
 
+def test_outliers_go_without_a_new_dealing(spark):
+    obs = adapters.view(spark, TABLES, "obs_scalar")
+    assert ", family" not in "".join(x for x in plan(panel.without_outliers(obs, parts=7)).split("\n") if "Exchange hashpartitioning" in x)
+    day = dt.date(2024, 1, 1)
+    rows = [(1, "esg", m, day + dt.timedelta(days=i), 1500.0 if i == 9 else 20.0 + i % 3 + i / 100) for i in range(20) for m in ("a", "b")]
+    rows += [(1, "esg", "a", day + dt.timedelta(days=9), 20.5), (1, "mstar", "a", day, 1.0), (None, "esg", "a", day, 21.25)]  # a key twice, a family that isn't tested, a key with a null
+    rows += [(2, "esg", "a", None if i == 9 else day + dt.timedelta(days=i), 900.0 if i == 9 else 30.0 + i % 3 + i / 70) for i in range(20)]  # an outlier without a date
+    df = spark.createDataFrame(rows, "product_id long, family string, metric string, effective_date date, value double")
+    found = panel.outliers(df)
+    assert sorted(r.value for r in found.collect()) == [900.0, 1500.0, 1500.0]
+    want = df.join(found, ["product_id", "family", "metric", "effective_date"], "left_anti").select(*df.columns)
+    got = panel.without_outliers(df)
+    assert got.columns == df.columns and got.count() == want.count() == len(rows) - 3
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_lines_without_and_with_several_orders(spark, tmp_path):
     when = dt.datetime(1996, 3, 2)
     rows = [(o, 1, line, when, 10.0 * o, 1.0, "A", "F") for o, line in ((1, 1), (2, 1), (2, 2), (3, 1))]
