@@ -12,7 +12,7 @@ from ..operators import capture, extract, gauges, keyed, macro, series
 from ..operators import indicators as ind
 from ..sources.staging import shared_dir, stage
 from ..sources.store import Change, Store
-from .adapters import view
+from .adapters import lines, view
 from .core_queries import _BOTH, _COUNTS, _KEPT, _NEW, SPEC, _pair
 from .indicator_queries import _r, _rows, view_alternatives, view_components, view_nodes
 from .report_queries import _CW, _EFF, _TA, _components
@@ -43,10 +43,11 @@ def series_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations kept in buckets; a batch of newer ones, a stale one and a repeated one are committed after them."""
-    obs = view(spark, sf_dir, "obs_scalar").select(*extract.KEY, "value", "date_source_depth", "fetched_at")
+    buckets = 16
+    obs = view(spark, sf_dir, "obs_scalar", {"lines": lines(spark, sf_dir, buckets)}).select(*extract.KEY, "value", "date_source_depth", "fetched_at")
     store = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
     merge = lambda stored, given: keyed.upsert_newer(stored, given, extract.KEY, ("date_source_depth", "fetched_at"))
-    put = lambda rows, n: store.commit(Change("observations", rows, ("product_id",), merge, buckets=16), stream="load", batch=n)
+    put = lambda rows, n: store.commit(Change("observations", rows, ("product_id",), merge, buckets, dealt=True), stream="load", batch=n)
     deeper = obs.filter("product_id % 10 = 3").withColumns({"value": F.col("value") + 1, "date_source_depth": F.col("date_source_depth") + 1})
     stale = obs.filter("product_id % 10 = 4").withColumns({"value": F.col("value") + 2, "date_source_depth": F.col("date_source_depth") - 1})
     put(obs, 0)

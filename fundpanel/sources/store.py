@@ -11,6 +11,7 @@ A commit can carry the number of a stream's batch: a batch that comes again chan
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -33,7 +34,10 @@ class Change:
     """Rows for a table: merge makes the new rows of the touched buckets from the stored and the given ones; without it they are added.
 
     bucket_by: the columns whose hash deals rows to buckets, part of the key by which merge matches.  The first change of a table fixes them, the number of
-    buckets and the columns.
+    buckets and the columns.  merge gets both sides dealt by them; groups, windows and joins by the key need no other exchange.
+
+    dealt: the rows are dealt by bucket_by into a multiple of the buckets already: as the first rows of a table they are neither staged nor dealt again, and a
+    merge that reads them twice makes them twice.
     """
 
     table: str
@@ -41,6 +45,11 @@ class Change:
     bucket_by: tuple[str, ...]
     merge: Merge | None = None
     buckets: int = 64
+    dealt: bool = False
+
+
+#: Rows that a task merges: more rows are dealt into more parts.
+PART_ROWS = 250_000
 
 
 class Store:
@@ -97,16 +106,28 @@ class Store:
         """Writes the touched buckets of a table as a version of their own; returns what the commit says of it."""
         if stated is None:
             stated = {"bucket_by": list(change.bucket_by), "buckets": change.buckets, "schema": ", ".join(f"`{n}` {kind}" for n, kind in change.rows.dtypes), "parts": {}}
-        bucket = F.pmod(F.hash(*stated["bucket_by"]), F.lit(stated["buckets"]))
-        given = stage(change.rows.withColumn("bucket", bucket))
-        touched = sorted(r.bucket for r in given.select("bucket").distinct().collect())  # as many as buckets at most
-        if not touched:
-            return stated
-        stored, given = self._read(change.table, stated, touched), given.drop("bucket")
+        by, n, parts = stated["bucket_by"], stated["buckets"], stated["parts"]
+        bucket = F.pmod(F.hash(*by), F.lit(n))
+        if change.dealt and not parts:
+            touched, given = [], change.rows
+            stored = given.limit(0)
+        else:
+            given = stage(change.rows.withColumn("bucket", bucket))
+            counts = {r["bucket"]: r["count"] for r in given.groupBy("bucket").count().collect()}  # as many as buckets at most
+            if not counts:
+                return stated
+            touched = sorted(counts)
+            stored = self._read(change.table, stated, touched)
+            # by the hash that tells a row's bucket, into a multiple or a divisor of the buckets: a task has rows of one bucket, or all of some
+            least = math.ceil((stored.count() + sum(counts.values())) / PART_ROWS)
+            tasks = n * math.ceil(least / n) if least > n else next(t for t in range(least, n + 1) if n % t == 0)
+            stored, given = stored.repartition(tasks, *by), given.drop("bucket").repartition(tasks, *by)
         rows = change.merge(stored, given) if change.merge else stored.unionByName(given)
-        version = uuid.uuid4().hex
-        rows.withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/data/{change.table}/{version}")
-        return stated | {"parts": stated["parts"] | {str(b): version for b in touched}}
+        version = f"{change.table}/{uuid.uuid4().hex}"
+        rows.withColumn("bucket", bucket).write.partitionBy("bucket").parquet(f"{self.root}/data/{version}")
+        written = [x.removeprefix("bucket=") for x in self._names(f"data/{version}") if x.startswith("bucket=")]
+        left = {b: v for b, v in parts.items() if int(b) not in touched}
+        return stated | {"parts": left | dict.fromkeys(written, version.split("/")[1])}
 
     def _publish(self, state: dict) -> None:
         """The commit itself: a rename that fails where the number is taken."""

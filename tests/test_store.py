@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fundpanel.operators import capture, extract, keyed
+from fundpanel.sources import store as store_module
+from fundpanel.sources.staging import stage
 from fundpanel.sources.store import Change, Conflict, Store
 from fundpanel.streaming import jobs
 
@@ -46,6 +48,47 @@ def test_upserts_rewrite_only_touched_buckets(spark, tmp_path):
     assert len({p.parent for p in Path(f"{tmp_path}/s/data/t").rglob("*.parquet")}) == 16  # one version of each bucket is left
 
 
+def test_a_change_is_dealt_once(spark, tmp_path, monkeypatch):
+    seen, staged = [], []
+
+    def spied(stored, given):
+        merged = newest(stored, given)
+        seen.append(merged._jdf.queryExecution().executedPlan().toString())
+        return merged
+
+    def keep(df, *more):
+        staged.append(df)
+        return stage(df, *more)
+
+    monkeypatch.setattr(store_module, "stage", keep)
+    store, root = Store(spark, str(tmp_path / "s")), f"{tmp_path}/s/data/t"
+    first = spark.range(500).select("id", F.lit(1).alias("at"), F.lit("old").alias("v"))
+    store.commit(Change("t", first.repartition(16, "id"), ("id",), spied, buckets=8, dealt=True))
+    assert not staged and seen[-1].count("Exchange") == 1 and len(files(root)) == 16 and rows(store.read("t")) == rows(first)
+    # stored and given rows are dealt, and nothing after that
+    monkeypatch.setattr(store_module, "PART_ROWS", 30)
+    new = first.filter("id % 3 = 0").withColumns({"at": F.lit(2), "v": F.lit("new")})
+    before = files(root)
+    store.commit(Change("t", new.repartition(16, "id"), ("id",), spied, dealt=True))
+    assert len(staged) == 1 and seen[-1].count("Exchange") == 2 == seen[-1].count("Exchange hashpartitioning(id")
+    assert rows(store.read("t")) == sorted((i, 1 + (i % 3 == 0), "old" if i % 3 else "new") for i in range(500))
+    made = [Path(f) for f in files(root) - before]
+    assert len(made) == 24 and len({f.parent for f in made}) == 8  # 667 rows in parts of 30: 24 tasks, three to a bucket
+    store.commit(Change("u", first.limit(0).repartition(16, "id"), ("id",), newest, dealt=True))
+    assert rows(store.read("u")) == []
+
+
+def test_a_bucket_that_gets_empty(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    first = spark.range(100).select("id")
+    store.commit(Change("t", first, ("id",), buckets=4))
+    gone = store.read("t", [2])
+    assert gone.count()
+    want = rows(first.exceptAll(gone))
+    store.commit(Change("t", gone, ("id",), lambda stored, given: stored.join(given, "id", "left_anti")))
+    assert rows(store.read("t")) == want and set(store.state()["tables"]["t"]["parts"]) == {"0", "1", "3"}
+
+
 def test_a_crash_leaves_the_state_before(spark, tmp_path, monkeypatch):
     store = Store(spark, str(tmp_path / "s"))
     a = spark.createDataFrame([(1, "a")], "id long, v string")
