@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from fundpanel.operators import panel
 from fundpanel.plans import adapters
 from fundpanel.sources.staging import stage
@@ -57,6 +58,24 @@ def test_outliers_go_without_a_new_dealing(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_outlier_tasks_are_bounded_by_parts(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "PART_ROWS", 500)
+    n, staged = adapters.parts(spark, TABLES), []
+
+    def keep(df, *more):
+        staged.append(df)
+        return stage(df, *more)
+
+    monkeypatch.setattr(panel, "stage", keep)
+    found = __spark_entry__.queries()["panel_outlier_summary"](spark, TABLES)
+    plans = "\n".join(plan(x) for x in (found, *staged))
+    dealt = [x for x in plans.split("\n") if "Exchange hashpartitioning" in x]
+    # lines by product and values by their hashes fall into as many parts as the table needs; else only a task's row per metric is dealt
+    whole = [x for x in dealt if "l_suppkey" in x or "share" in x]
+    assert len(staged) == 1 and len(whole) == 4 and all(f", {n}), REPARTITION_BY_NUM" in x for x in whole)
+    assert not any("product_id" in x or "value" in x for x in dealt)
+
+
 def test_lines_without_and_with_several_orders(spark, tmp_path):
     when = dt.datetime(1996, 3, 2)
     rows = [(o, 1, line, when, 10.0 * o, 1.0, "A", "F") for o, line in ((1, 1), (2, 1), (2, 2), (3, 1))]
