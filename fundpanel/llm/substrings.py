@@ -3,9 +3,9 @@
 The reference is what repeats: stretches of words all of whose windows (of `window` words) begin
 in a second text, each in the text with the smallest id.  They are found by hashes: minimizers of
 the windows choose the texts that may share one, hashes of these texts' windows choose the owners.
-The reference is cut into shards of about SHARD words; a suffix automaton of each shard is built once.
+The reference is cut into shards of about SHARD words; a suffix automaton of each shard is built once, by a task of its own.
 Shards are broadcast in rounds of ROUND bytes at most (or one shard, whose size SHARD bounds), each to tasks
-that read the texts which share a window with the owners of that round's shards.  A text is then streamed through the
+that read the texts which share a window with the owners of that round's shards; a round reads its own shards alone.  A text is then streamed through the
 automaton; wherever the matching statistic reaches the window's length in words that an owner with a
 smaller id has, the window is removed.  The automaton alone decides; hashes only choose the shards of a text.
 """
@@ -15,11 +15,12 @@ from __future__ import annotations
 import hashlib
 import pickle
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sparkops import materialize, own_columns, shared_dir
@@ -83,18 +84,18 @@ class SuffixAutomaton:
                 self.owner[p] = own
 
     def pack(self, alphabet: np.ndarray) -> bytes:
-        """The automaton as bytes; alphabet: the word hash of each number in the sequences."""
+        """The automaton as compressed bytes; alphabet: the word hash of each number in the sequences."""
         moves = [(s * len(alphabet) + c, t) for s, d in enumerate(self.next) for c, t in d.items()]
         keys, to = (np.array(x, np.int64) for x in zip(*moves, strict=True)) if moves else (np.zeros(0, np.int64),) * 2
         none = np.iinfo(np.int64).max
-        return pickle.dumps((alphabet, keys, to.astype(np.int32), np.array(self.link, np.int32), np.array(self.length, np.int32), np.array([none if x is None else x for x in self.owner])))
+        return zlib.compress(pickle.dumps((alphabet, keys, to.astype(np.int32), np.array(self.link, np.int32), np.array(self.length, np.int32), np.array([none if x is None else x for x in self.owner]))), 1)
 
 
 class Matcher:
     """Streams texts through a packed automaton."""
 
     def __init__(self, packed: bytes):
-        self.alphabet, keys, to, link, length, owner = pickle.loads(packed)
+        self.alphabet, keys, to, link, length, owner = pickle.loads(zlib.decompress(packed))
         self.moves = dict(zip(keys.tolist(), to.tolist(), strict=True))
         self.link, self.length, self.owner = link.tolist(), length.tolist(), owner.tolist()
 
@@ -216,31 +217,33 @@ def owners(rows: DataFrame) -> DataFrame:
     return rows.repartition("w").sortWithinPartitions("w", "id", "rid").mapInArrow(run, "rid long, owner long, pos int")
 
 
-def build_shards(reference: DataFrame, window: int) -> DataFrame:
-    """(shard, packed): an automaton for each shard of rows (shard, id, text, places)."""
+def reference_words(places: Column, window: int) -> Column:
+    """The words that windows at ascending places cover."""
+    n = F.size(places) - 1
+    steps = F.zip_with(F.slice(places, F.lit(2), n), F.slice(places, F.lit(1), n), lambda y, x: F.least(y - x, F.lit(window)).cast("long"))
+    return F.aggregate(steps, F.lit(window).cast("long"), lambda a, x: a + x)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
 
-        def close() -> Iterator[pa.RecordBatch]:
-            if shard is not None:
-                alphabet, automaton = np.unique(np.concatenate([h for h, _ in held])), SuffixAutomaton()
-                for h, own in held:
-                    automaton.add(np.searchsorted(alphabet, h).tolist(), own)
-                automaton.finish()
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([automaton.pack(alphabet)], pa.binary())], ["shard", "packed"])
+def build_shards(reference: DataFrame, window: int, shards: int) -> DataFrame:
+    """(shard, bytes, packed): an automaton for each shard of rows (shard, id, text, places), each by a task of its own."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held = None, []
         for batch in batches:
             for s, i, hashes, places in zip(batch.column("shard").to_pylist(), batch.column("id").to_pylist(), _texts(batch.column("text")), batch.column("places"), strict=True):
-                if s != shard:
-                    yield from close()
-                    shard, held = s, []
-                pos = np.sort(np.array(places.as_py(), np.int64))
+                shard = s
+                pos = np.array(places.as_py(), np.int64)
                 cut = np.flatnonzero(np.diff(pos) > window) + 1
-                held.extend((hashes[p[0] : p[-1] + window], i) for p in np.split(pos, cut))
-        yield from close()
+                held.extend((hashes[p[0] : p[-1] + window].copy(), i) for p in np.split(pos, cut))
+        if shard is not None:
+            alphabet, automaton = np.unique(np.concatenate([h for h, _ in held])), SuffixAutomaton()
+            for h, own in held:
+                automaton.add(np.searchsorted(alphabet, h).tolist(), own)
+            automaton.finish()
+            packed = automaton.pack(alphabet)
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(packed)], pa.int64()), pa.array([packed], pa.binary())], ["shard", "bytes", "packed"])
 
-    return reference.repartition("shard").sortWithinPartitions("shard", "id").mapInArrow(run, "shard long, packed binary")
+    return reference.repartitionById(shards, F.col("shard")).sortWithinPartitions("id").mapInArrow(run, "shard int, bytes long, packed binary")
 
 
 def rounds_of(automata: DataFrame) -> DataFrame:
@@ -248,22 +251,21 @@ def rounds_of(automata: DataFrame) -> DataFrame:
 
     One task sees two numbers per shard, that is per 150,000 words of reference.
     """
-    sizes = materialize(automata.select("shard", F.octet_length("packed").alias("bytes")), "sizes")
     before = F.coalesce(F.sum("bytes").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return sizes.select("shard", F.floor(before / (ROUND // 2)).cast("int").alias("round"))
+    return materialize(automata.select("shard", "bytes").select("shard", F.floor(before / (ROUND // 2)).cast("int").alias("round")), "rounds")
 
 
-def stream(routed: DataFrame, automata: DataFrame, window: int) -> DataFrame:
-    """(rid, spans) of what is to be removed.  routed: the stored rows (round, shard, rid, id, text) in the order of shards; automata: (round, shard, packed).
+def stream(routed: DataFrame, automata: DataFrame, rounds: DataFrame, window: int) -> DataFrame:
+    """(rid, spans) of what is to be removed.  routed: the rows (round, shard, rid, id, text), stored by round, in the order of shards; automata: (shard, packed), stored by shard; rounds: (shard, round).
 
-    Each round's automata are broadcast, its spans are stored, and the broadcast goes before the next; a task holds the one of
+    Each round's automata are read and broadcast, its spans are stored, and the broadcast goes before the next; a task holds the one of
     the shard it is at.
     """
     spark, kinds = routed.sparkSession, "rid long, spans array<int>"
     path = f"{shared_dir(spark)}/spans-{uuid.uuid4().hex}"
     spark.createDataFrame([], kinds).write.parquet(f"{path}/none")
-    for r in sorted(x["round"] for x in automata.select("round").distinct().collect()):
-        held = automata.filter(F.col("round") == r).select("shard", "packed").toArrow()  # ROUND bytes, or one shard
+    for r, lo, hi in sorted(map(tuple, rounds.groupBy("round").agg(F.min("shard"), F.max("shard")).collect())):
+        held = automata.filter(F.col("shard").between(lo, hi)).select("shard", "packed").toArrow()  # ROUND bytes, or one shard
         sent = spark.sparkContext.broadcast(dict(zip(held["shard"].to_pylist(), held["packed"].to_pylist(), strict=True)))
         del held
 
@@ -273,6 +275,7 @@ def stream(routed: DataFrame, automata: DataFrame, window: int) -> DataFrame:
                 rids, spans = [], []
                 for s, r, i, hashes in zip(batch.column("shard").to_pylist(), batch.column("rid").to_pylist(), batch.column("id").to_pylist(), _texts(batch.column("text")), strict=True):
                     if s != shard:
+                        matcher = None  # the one before goes first
                         shard, matcher = s, Matcher(sent.value[s])
                     if found := matcher.repeats(hashes, i, window):
                         rids.append(r)
@@ -323,23 +326,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts = materialize(docs.join(wanted, "rid").dropDuplicates(["rid"]).select("id", "rid", "text", "anchors"), "texts")
     found = materialize(owners(shared_windows(texts, window)), "owners")
 
-    places = found.filter("pos is not null").groupBy("owner").agg(F.collect_set("pos").alias("places"))
-    total = found.filter("pos is not null").count()
+    places = found.filter("pos is not null").groupBy("owner").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    places = materialize(places.withColumn("n", reference_words(F.col("places"), window)), "places")
+    total = places.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // SHARD))
-    shard = F.pmod(F.xxhash64("owner"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int")
     plain = texts.select("id", "rid", "text")
     reference = places.join(plain, places.owner == plain.rid).select(shard.alias("shard"), "id", "text", "places")
-    automata = materialize(build_shards(reference, window), "automata")
+    automata = materialize(build_shards(reference, window, shards), "automata", by="shard")
+    rounds = rounds_of(automata)
     routes = found.filter("pos is null").select("rid", shard.alias("shard")).distinct()
     sizes = described.groupBy("rid").agg(F.max("n_words").alias("n"))
     load = routes.join(sizes, "rid").groupBy("shard").agg(F.ceil(F.sum("n") / STREAM).cast("int").alias("parts"))
-    automata = automata.join(rounds_of(automata), "shard")
-    rows = routes.join(load, "shard").join(automata.select("shard", "round"), "shard").join(plain, "rid").select("round", "shard", F.pmod(F.hash("rid"), F.greatest(F.col("parts"), F.lit(1))).alias("part"), "rid", "id", "text")
+    rows = routes.join(load.join(rounds, "shard"), "shard").join(plain, "rid").select("round", "shard", F.pmod(F.hash("rid"), F.greatest(F.col("parts"), F.lit(1))).alias("part"), "rid", "id", "text")
     # a folder per round: each reads its own texts
-    path = f"{shared_dir(docs.sparkSession)}/routed-{uuid.uuid4().hex}"
-    rows.repartition("shard", "part").drop("part").sortWithinPartitions("round", "shard").write.partitionBy("round").option("compression", "zstd").parquet(path)
-    routed = docs.sparkSession.read.schema("shard long, rid long, id long, text string, round int").parquet(path)
-    spans = stream(routed, automata, window).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    routed = materialize(rows.repartition("shard", "part").drop("part").sortWithinPartitions("round", "shard"), "routed", by="round")
+    spans = stream(routed, automata, rounds, window).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     cut = materialize(_cut(plain.join(spans, "rid").select("rid", "text", "spans"), with_text), "cut").withColumnRenamed("kept_sha256", "cut_sha256")
     out = described.join(cut, "rid", "left").select(F.col("id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), "kept")
     return out if with_text else out.drop("kept")
