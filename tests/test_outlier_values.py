@@ -1,0 +1,74 @@
+"""The outlier test's quartiles and fences against plain Python, over batch and series borders, ties, nulls and NaN."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fundpanel.operators import panel
+
+KINDS = "product_id long, family string, metric string, effective_date date, value double, z double"
+
+
+def quantile(ordered, share):
+    at = (len(ordered) - 1) * share
+    low, high = ordered[math.floor(at)], ordered[math.ceil(at)]
+    return low + (high - low) * (at - math.floor(at))
+
+
+def plain(series, span, fences):
+    out = []
+    for i, z in enumerate(series):
+        near = sorted(x for x in series[max(0, i - span) : i + span + 1] if x is not None)
+        q1, q2, q3 = (quantile(near, share) for share in (0.25, 0.5, 0.75)) if near else (0, 0, 0)
+        out.append(z is not None and q3 - q1 > 0 and abs(z - q2) > fences * (q3 - q1))
+    return out
+
+
+@pytest.fixture
+def small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "5")
+    yield spark
+    spark.conf.set(name, before)
+
+
+def rows_of(rng):
+    """(product, day, value) of series shorter and longer than a window and a batch."""
+    for product in range(30):
+        for day in range(rng.choice([1, 2, 6, 7, 8, 15, 16, 40])):
+            yield product, day, None if rng.random() < 0.1 else float(rng.choice([1, 2, 3, 4, 5, 900]))
+
+
+@pytest.mark.parametrize("span", [1, 3, 7])
+def test_flags_against_plain_python(small_batches, span):
+    found = list(rows_of(random.Random(span)))
+    want = set()
+    for product in range(30):
+        of = [(d, v) for p, d, v in found if p == product]
+        want |= {(product, d) for (d, _), hit in zip(of, plain([v for _, v in of], span, 1.2), strict=True) if hit}
+    rows = small_batches.createDataFrame([(p, "f", "m", d, v) for p, d, v in found], "product_id long, family string, metric string, day int, value double")
+    rows = rows.select("product_id", "family", "metric", F.date_add(F.lit("2020-01-01").cast("date"), "day").alias("effective_date"), "value", F.col("value").alias("z"))
+    got = panel.flagged(rows, span, 1.2).select("product_id", F.datediff("effective_date", F.lit("2020-01-01").cast("date")).alias("day"), "value", "is_outlier", "hit").collect()
+    assert sorted((r.product_id, r.day, repr(r.value)) for r in got) == sorted((p, d, repr(v)) for p, d, v in found)
+    assert want and {(r.product_id, r.day) for r in got if r.is_outlier} == want == {(r.product_id, r.day) for r in got if r.hit}
+
+
+def test_a_date_with_an_outlier_is_hit_as_a_whole(small_batches):
+    rows = [(p, "f", "m", f"2020-01-{d:02}", float(v)) for p in range(3) for d in range(1, 29) for v in ((d % 3, 500.0, d % 2, d % 5, 1, 2, 3) if d == 9 else (d % 3,))]
+    df = small_batches.createDataFrame(rows, "product_id long, family string, metric string, d string, value double")
+    df = df.select("product_id", "family", "metric", F.to_date("d").alias("effective_date"), "value", F.col("value").alias("z"))
+    got = panel.flagged(df, 7, 5.0).collect()
+    assert len(got) == len(rows)
+    assert {(r.product_id, r.effective_date.day) for r in got if r.is_outlier} == {(r.product_id, r.effective_date.day) for r in got if r.hit} == {(p, 9) for p in range(3)}
+    assert sum(r.hit for r in got) == 21 and sum(r.is_outlier for r in got) == 3
+
+
+def test_nan_is_greater_than_all_numbers():
+    z = np.array([1.0, 2.0, np.nan, 3.0, 4.0, np.inf, 2.0, 1.0, 3.0])
+    got = panel.far_out(z, np.ones(9, bool), np.arange(1, 10), 7, 2.0)
+    assert got.tolist() == [False, False, True, False, False, True, False, False, False]
+
